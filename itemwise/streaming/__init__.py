@@ -1,0 +1,8 @@
+"""Intentionally empty.
+
+The recommendation job this library rebuilds is a daily batch job: it reads
+one day's partition and replaces one day's partition. It has no stream
+source, no watermark, no state and no incremental output, so there is no
+streaming operator to offer; a caller who wants a continuous schedule runs
+``itemwise.plans.run_recommendations`` once per day.
+"""
