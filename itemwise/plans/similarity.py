@@ -22,11 +22,17 @@ from ..operators.history import min_history, sample_users
 from ..operators.topn import normalize_rows, top_similar
 
 
-def similarity_base(interactions: DataFrame, cfg: RecConfig = RecConfig()) -> DataFrame:
-    """``(item, user_id, k, n)``: the filtered, sampled interactions that both
-    popularity and co-occurrence count (they must agree, MR:164 vs MR:185)."""
+def filtered_interactions(interactions: DataFrame, cfg: RecConfig = RecConfig()) -> DataFrame:
+    """``(user_id, item, k)``: sampled users (P7) with a long enough history
+    (P5). Popularity and co-occurrence both count exactly these rows."""
     sampled = sample_users(interactions, cfg.sample_rate, cfg.sample_seed)
-    return with_popularity(min_history(sampled, cfg.min_items, cfg.dedup))
+    return min_history(sampled, cfg.min_items, cfg.dedup)
+
+
+def similarity_base(interactions: DataFrame, cfg: RecConfig = RecConfig()) -> DataFrame:
+    """``(item, user_id, k, n)``: the filtered rows with their item's
+    popularity attached."""
+    return with_popularity(filtered_interactions(interactions, cfg))
 
 
 def cooccurrence(interactions: DataFrame, cfg: RecConfig = RecConfig()) -> DataFrame:
