@@ -55,8 +55,23 @@ def _hist(spark, sf):
     return fx.order_interactions(spark, sf)
 
 
-def _users(spark, sf):
-    return _hist(spark, sf).select("user_id").distinct()
+def materialize(df: DataFrame) -> DataFrame:
+    """Reliable checkpoint into the session's checkpoint directory: the
+    result is computed once, written to shared storage, and read back by
+    every later branch, so no branch recomputes it and a lost executor
+    costs a re-read."""
+    ensure_checkpoint_dir(df.sparkSession)
+    df.persist()            # else the checkpoint write recomputes the plan
+    out = df.checkpoint(eager=True)
+    df.unpersist()
+    return out
+
+
+def _chain(spark, sf, cfg=None):
+    """Interactions and similarity lists of a recommendation chain, each
+    materialized once (as the daily job does)."""
+    hist = materialize(_hist(spark, sf))
+    return hist, materialize(item_similarity(hist, cfg or PROD))
 
 
 def _labels(spark, sf, label="code", complete=False):
@@ -126,34 +141,34 @@ def q_similarity_summary(spark, sf):
 
 
 def q_candidates(spark, sf):
-    hist = _hist(spark, sf)
-    return candidates(hist, item_similarity(hist, PROD))
+    hist, sim = _chain(spark, sf)
+    return candidates(hist, sim)
 
 
 def q_unseen_candidates(spark, sf):
-    hist = _hist(spark, sf)
-    return drop_watched(candidates(hist, item_similarity(hist, PROD)), hist)
+    hist, sim = _chain(spark, sf)
+    return drop_watched(candidates(hist, sim), hist)
 
 
 def q_score_candidate_side(spark, sf):
-    hist = _hist(spark, sf)
-    return score_candidate_side(hist, item_similarity(hist, PROD))
+    hist, sim = _chain(spark, sf)
+    return score_candidate_side(hist, sim)
 
 
 def q_score_source_side(spark, sf):
-    hist = _hist(spark, sf)
-    return score_source_side(hist, item_similarity(hist, PROD))
+    hist, sim = _chain(spark, sf)
+    return score_source_side(hist, sim)
 
 
 def q_recommend_topk(spark, sf):
-    hist = _hist(spark, sf)
-    scored = score_candidate_side(hist, item_similarity(hist, PROD))
+    hist, sim = _chain(spark, sf)
+    scored = score_candidate_side(hist, sim)
     return top_per_group(scored, "user_id", [F.col("score").desc(), F.col("item").asc()], TOP_K)
 
 
 def q_recommend_labelled(spark, sf):
-    hist = _hist(spark, sf)
-    return recommend(hist, item_similarity(hist, PROD), _labels(spark, sf), PROD)
+    hist, sim = _chain(spark, sf)
+    return recommend(hist, sim, _labels(spark, sf), PROD)
 
 
 def q_watched_labels(spark, sf):
@@ -161,9 +176,9 @@ def q_watched_labels(spark, sf):
 
 
 def _sink_source_recom(spark, sf):
-    hist = _hist(spark, sf)
-    recs = recommend(hist, item_similarity(hist, PROD), _labels(spark, sf), PROD)
-    return source_recom(_users(spark, sf), recs)
+    hist, sim = _chain(spark, sf)
+    recs = recommend(hist, sim, _labels(spark, sf), PROD)
+    return source_recom(hist.select("user_id").distinct(), recs)
 
 
 def q_sink_source_recom(spark, sf):
@@ -171,17 +186,17 @@ def q_sink_source_recom(spark, sf):
 
 
 def q_sink_user_watched(spark, sf):
-    hist = _hist(spark, sf)
+    hist, sim = _chain(spark, sf)
     names = _labels(spark, sf, "name")
-    recs = recommend(hist, item_similarity(hist, PROD), names, PROD)
-    return user_watched(_users(spark, sf), watched_labels(hist, names), recs)
+    recs = recommend(hist, sim, names, PROD)
+    return user_watched(hist.select("user_id").distinct(), watched_labels(hist, names), recs)
 
 
 def q_sink_scored_list(spark, sf):
-    hist = _hist(spark, sf)
+    hist, sim = _chain(spark, sf, VECTOR_JOB)
     codes = _labels(spark, sf, "code", complete=True)
-    recs = recommend(hist, item_similarity(hist, VECTOR_JOB), codes, VECTOR_JOB)
-    return scored_list(_users(spark, sf), recs, VECTOR_JOB.score_decimals)
+    recs = recommend(hist, sim, codes, VECTOR_JOB)
+    return scored_list(hist.select("user_id").distinct(), recs, VECTOR_JOB.score_decimals)
 
 
 def q_vector_topk(spark, sf):
