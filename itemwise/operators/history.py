@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from ..functions.parse import feature_tokens, token_item, token_pref
 from ..functions.sampling import keep_user
+from ..functions.text import join_labels
 
 
 def explode_history(features: DataFrame, lenient: bool = False,
@@ -77,7 +78,13 @@ def watched_labels(interactions: DataFrame, labels: DataFrame, sep: str = ",",
     named = (hist.join(labels, hist.item == labels.column_index, "left")
              .select("user_id", F.coalesce("label", F.lit("")).alias("label"))
              .distinct())
-    from ..functions.text import join_labels
     return (named.groupBy("user_id")
             .agg(F.sort_array(F.collect_list("label")).alias("labels"))
             .select("user_id", join_labels(F.col("labels"), sep, trailing).alias("watched")))
+
+
+def unique_user_ids(users: DataFrame) -> DataFrame:
+    """``(user_id, uid)``: a unique numeric id per row, with gaps, that
+    depends on the partition layout, like the original ``zipWithUniqueId``
+    (P9). No shuffle and no driver step; nothing in the job ranks by it."""
+    return users.select("user_id", F.monotonically_increasing_id().alias("uid"))

@@ -35,3 +35,13 @@ def normalize_rows(sim: DataFrame) -> DataFrame:
 def preview(df: DataFrame, n: int, order: list[str]) -> DataFrame:
     """First ``n`` rows in a fixed order (T6); a top-n sort, not a full sort."""
     return df.orderBy(*order).limit(n)
+
+
+def nested_lists(sim: DataFrame) -> DataFrame:
+    """``(i, items, sims)``: each item's cut list as arrays in rank order
+    (A6). Gathers at most N entries per item, so the nested form stays
+    bounded; the long form remains the working form."""
+    ranked = F.array_sort(F.collect_list(F.struct("rk", "j", "sim")))
+    return (sim.groupBy("i").agg(ranked.alias("l"))
+            .select("i", F.transform("l", lambda x: x["j"]).alias("items"),
+                    F.transform("l", lambda x: x["sim"]).alias("sims")))

@@ -22,12 +22,12 @@ from ..config import RecConfig
 from ..functions.dates import day_before
 from ..operators.cooccurrence import item_popularity, popularity_summary, similarity_summary
 from ..operators.history import (explode_history, last_preference, min_history, sample_users,
-                                 watched_labels)
+                                 unique_user_ids, watched_labels)
 from ..operators.recommend import (candidates, drop_watched, score_candidate_side,
                                    score_source_side)
-from ..operators.topn import preview, top_per_group
+from ..operators.topn import nested_lists, preview, top_per_group
 from ..operators.vector_search import vector_topk
-from ..session import ensure_checkpoint_dir
+from ..session import ensure_checkpoint_dir, materialize
 from ..sinks.layouts import LAYOUT_COLUMNS, scored_list, source_recom, user_watched
 from ..sinks.tables import ensure_table, overwrite_partition
 from ..sources import fixtures as fx
@@ -55,18 +55,6 @@ def _hist(spark, sf):
     return fx.order_interactions(spark, sf)
 
 
-def materialize(df: DataFrame) -> DataFrame:
-    """Reliable checkpoint into the session's checkpoint directory: the
-    result is computed once, written to shared storage, and read back by
-    every later branch, so no branch recomputes it and a lost executor
-    costs a re-read."""
-    ensure_checkpoint_dir(df.sparkSession)
-    df.persist()            # else the checkpoint write recomputes the plan
-    out = df.checkpoint(eager=True)
-    df.unpersist()
-    return out
-
-
 def _chain(spark, sf, cfg=None):
     """Interactions and similarity lists of a recommendation chain, each
     materialized once (as the daily job does)."""
@@ -94,6 +82,14 @@ def q_min_history_filter(spark, sf):
     return min_history(fx.basket_interactions(spark, sf), PROD.min_items)
 
 
+def q_user_count(spark, sf):
+    return fx.order_features(spark, sf).agg(F.count(F.lit(1)).alias("users"))
+
+
+def q_user_ids(spark, sf):
+    return unique_user_ids(fx.order_features(spark, sf))
+
+
 def q_sample_users_md5(spark, sf):
     return sample_users(_hist(spark, sf), SAMPLE_RATE)
 
@@ -136,6 +132,10 @@ def q_topn_similar_normalized(spark, sf):
     return item_similarity(_hist(spark, sf), PROD)
 
 
+def q_similarity_lists(spark, sf):
+    return nested_lists(item_similarity(_hist(spark, sf), PROD))
+
+
 def q_similarity_summary(spark, sf):
     return similarity_summary(item_similarity(_hist(spark, sf), PROD))
 
@@ -225,6 +225,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "parse_feature": q_parse_feature,
     "history_last_pref": q_history_last_pref,
     "min_history_filter": q_min_history_filter,
+    "user_count": q_user_count,
+    "user_ids": q_user_ids,
     "sample_users_md5": q_sample_users_md5,
     "yesterday_partition": q_yesterday_partition,
     "dictionary_not_null": q_dictionary_not_null,
@@ -235,6 +237,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "cosine_similarity": q_cosine_similarity,
     "topn_similar": q_topn_similar,
     "topn_similar_normalized": q_topn_similar_normalized,
+    "similarity_lists": q_similarity_lists,
     "similarity_summary": q_similarity_summary,
     "candidates": q_candidates,
     "unseen_candidates": q_unseen_candidates,
@@ -410,6 +413,7 @@ SELECT user_id, item, arg_max(pref, pos) AS pref FROM parsed GROUP BY user_id, i
 SELECT bk.user_id, bk.item, ks.k
 FROM bk JOIN (SELECT user_id, COUNT(*) AS k FROM bk GROUP BY user_id) ks ON bk.user_id = ks.user_id
 WHERE ks.k >= 2"""),
+    "user_count": _with(["fe"], "SELECT COUNT(*) AS users FROM fe"),
     "sample_users_md5": _with(["ia"], f"""
 SELECT user_id, item, pref FROM ia
 WHERE ('0x' || substr(md5(user_id), 1, 7))::BIGINT % 1000000 < {int(SAMPLE_RATE * 1_000_000)}"""),
@@ -430,6 +434,8 @@ FROM pop"""),
     "cosine_similarity": _with(["cs"], "SELECT i, j, sim FROM cs"),
     "topn_similar": _with(["raw"], "SELECT i, j, sim, rk FROM raw"),
     "topn_similar_normalized": _with(["sim"], "SELECT i, j, sim, rk FROM sim"),
+    "similarity_lists": _with(["sim"], """
+SELECT i, list(j ORDER BY rk) AS items, list(sim ORDER BY rk) AS sims FROM sim GROUP BY i"""),
     "similarity_summary": _with(["sim"], """
 SELECT COUNT(DISTINCT i) AS items, COUNT(*) AS entries,
        COUNT(*) / COUNT(DISTINCT i) AS avg_list_len

@@ -6,7 +6,7 @@ from __future__ import annotations
 import os
 import tempfile
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
@@ -54,3 +54,15 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     raise RuntimeError(
         "spark.checkpoint.dir is not set; point it at a shared folder "
         "(HDFS/S3/ABFS) so checkpoints survive executor loss")
+
+
+def materialize(df: DataFrame) -> DataFrame:
+    """Reliable checkpoint into the session's checkpoint directory: computed
+    once, written to shared storage, read back by every later branch; a lost
+    executor costs a re-read, not a recomputation. The frame is persisted
+    first, or the checkpoint write would compute the plan a second time."""
+    ensure_checkpoint_dir(df.sparkSession)
+    df.persist()
+    out = df.checkpoint(eager=True)
+    df.unpersist()
+    return out
