@@ -19,6 +19,7 @@ class RecConfig:
     # recommendation
     top_k: int = 10                 # T3: recommendations kept per user
     scoring: str = "candidate"      # "candidate" (J5) or "source" (J6)
+    reverse_limit: int = 100        # J5: items in more lists are scored from the candidate side
     label: str = "code"             # S2: dictionary label column, "code" or "name"
     missing_label: str = "drop"     # J7 "drop", J8 "empty", J9 "error"
     score_decimals: int = 6         # ranking and output precision of scores

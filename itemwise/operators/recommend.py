@@ -33,18 +33,44 @@ def drop_watched(df: DataFrame, hist: DataFrame) -> DataFrame:
     return df.join(hist.select("user_id", "item"), ["user_id", "item"], "left_anti")
 
 
-def score_candidate_side(hist: DataFrame, sim: DataFrame, decimals: int = 6) -> DataFrame:
+def score_candidate_side(hist: DataFrame, sim: DataFrame, decimals: int = 6,
+                         reverse_limit: int = 100) -> DataFrame:
     """``(user_id, item, score)`` for every unseen candidate: the sum of
     ``pref * sim`` over the user's items found in the **candidate's own**
     list (J5, A7). A candidate whose list holds none of them scores 0.0 and
-    stays (Q7). Work is bounded by candidates x N rows."""
+    stays (Q7).
+
+    Each term (user u, candidate c, watched item m in the list of c) is found
+    by exactly one of two joins, chosen by how many lists contain m:
+
+    * at most ``reverse_limit`` lists: expand u's row for m by those lists
+      (``hist x lists on m``); rows <= reverse_limit x interactions, and
+      about N x interactions on average;
+    * more lists (m is in many lists): join each candidate with the entries
+      of its own list that are such items, then with u's row for m; rows <=
+      candidates x N.
+
+    So the work stays linear in the interactions even for an item that sits
+    in every list, and no candidate is capped or dropped.
+    """
     cand = drop_watched(candidates(hist, sim), hist)
-    lists = sim.select(F.col("i").alias("item"), F.col("j").alias("m"), "sim")
+    in_lists = sim.groupBy("j").agg(F.count(F.lit(1)).alias("r"))
+    lists = sim.select("i", "j", "sim").join(in_lists, "j")
+    short = lists.where(F.col("r") <= reverse_limit)
+    wide = lists.where(F.col("r") > reverse_limit)
     watched = hist.select("user_id", F.col("item").alias("m"), "pref")
-    contrib = cand.join(lists, "item", "left").join(watched, ["user_id", "m"], "left")
-    total = F.coalesce(F.sum(F.col("pref") * F.col("sim")), F.lit(0.0))
-    return (contrib.groupBy("user_id", "item")
-            .agg(F.round(total, decimals).alias("score")))
+    by_history = (watched.join(short.select(F.col("j").alias("m"), F.col("i").alias("item"), "sim"),
+                               "m")
+                  .select("user_id", "item", (F.col("pref") * F.col("sim")).alias("w")))
+    by_candidate = (cand.join(wide.select(F.col("i").alias("item"), F.col("j").alias("m"), "sim"),
+                              "item")
+                    .join(watched, ["user_id", "m"])
+                    .select("user_id", "item", (F.col("pref") * F.col("sim")).alias("w")))
+    sums = (by_history.unionByName(by_candidate)
+            .groupBy("user_id", "item").agg(F.sum("w").alias("total")))
+    total = F.coalesce(F.col("total"), F.lit(0.0))
+    return (cand.join(sums, ["user_id", "item"], "left")
+            .select("user_id", "item", F.round(total, decimals).alias("score")))
 
 
 def score_source_side(hist: DataFrame, sim: DataFrame, decimals: int = 6) -> DataFrame:
