@@ -31,7 +31,7 @@ def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = os.environ.get("BENCH_CPUS", "8")
     names = sys.argv[1:] or HEADLINE
-    spark = local_session(cpus, int(os.environ.get("BENCH_SHUFFLE_PARTITIONS", "16")),
+    spark = local_session(cpus, int(os.environ.get("BENCH_SHUFFLE_PARTITIONS", cpus)),
                           app="itemwise-bench")
     # warm-up: JVM, parquet footers, Python workers
     catalog.QUERIES["item_popularity"](spark, sf_dir).write.format("noop").mode(

@@ -67,10 +67,11 @@ def cosine_weight() -> F.Column:
 def mirror(half: DataFrame, value_cols: list[str]) -> DataFrame:
     """Both orientations of each ``i < j`` row, in one pass (no union, so the
     input is computed once). Exact because ``c`` and the cosine are symmetric."""
-    vals = [F.col(c) for c in value_cols]
-    both = F.array(F.struct(F.col("i").alias("i"), F.col("j").alias("j"), *vals),
-                   F.struct(F.col("j").alias("i"), F.col("i").alias("j"), *vals))
-    return half.select(F.inline(both))
+    flip = F.col("flip")
+    both = half.select("i", "j", *value_cols,
+                       F.explode(F.array(F.lit(False), F.lit(True))).alias("flip"))
+    return both.select(F.when(flip, F.col("j")).otherwise(F.col("i")).alias("i"),
+                       F.when(flip, F.col("i")).otherwise(F.col("j")).alias("j"), *value_cols)
 
 
 def positive_cosine(half: DataFrame) -> DataFrame:
