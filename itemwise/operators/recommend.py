@@ -66,11 +66,17 @@ def score_candidate_side(hist: DataFrame, sim: DataFrame, decimals: int = 6,
                               "item")
                     .join(watched, ["user_id", "m"])
                     .select("user_id", "item", (F.col("pref") * F.col("sim")).alias("w")))
-    sums = (by_history.unionByName(by_candidate)
-            .groupBy("user_id", "item").agg(F.sum("w").alias("total")))
-    total = F.coalesce(F.col("total"), F.lit(0.0))
-    return (cand.join(sums, ["user_id", "item"], "left")
-            .select("user_id", "item", F.round(total, decimals).alias("score")))
+    # Candidates enter the same aggregation with weight 0 and a flag, so a
+    # candidate with no term keeps score 0.0 and terms of non-candidates
+    # (watched or unreached items) fall away, with no join against the sums.
+    terms = (by_history.withColumn("is_cand", F.lit(False))
+             .unionByName(by_candidate.withColumn("is_cand", F.lit(False)))
+             .unionByName(cand.select("user_id", "item", F.lit(0.0).alias("w"),
+                                      F.lit(True).alias("is_cand"))))
+    return (terms.groupBy("user_id", "item")
+            .agg(F.sum("w").alias("total"), F.max("is_cand").alias("is_cand"))
+            .where(F.col("is_cand"))
+            .select("user_id", "item", F.round("total", decimals).alias("score")))
 
 
 def score_source_side(hist: DataFrame, sim: DataFrame, decimals: int = 6) -> DataFrame:
