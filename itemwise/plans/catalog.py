@@ -74,6 +74,11 @@ def q_parse_feature(spark, sf):
     return _parsed(spark, sf)
 
 
+def q_parse_item_ids(spark, sf):
+    return explode_history(fx.order_features(spark, sf), item_as_string=True).select(
+        "user_id", "pos", "item")
+
+
 def q_history_last_pref(spark, sf):
     return last_preference(_parsed(spark, sf))
 
@@ -223,6 +228,7 @@ def q_preview(spark, sf):
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "parse_feature": q_parse_feature,
+    "parse_item_ids": q_parse_item_ids,
     "history_last_pref": q_history_last_pref,
     "min_history_filter": q_min_history_filter,
     "user_count": q_user_count,
@@ -407,6 +413,8 @@ def _with(names: list[str], final: str) -> str:
 
 SQL: dict[str, str] = {
     "parse_feature": _with(["parsed"], "SELECT user_id, pos, item, pref FROM parsed"),
+    "parse_item_ids": _with(["ex"], """
+SELECT user_id, CAST(pos1 - 1 AS INTEGER) AS pos, split_part(tok, ':', 1) AS item FROM ex"""),
     "history_last_pref": _with(["parsed"], """
 SELECT user_id, item, arg_max(pref, pos) AS pref FROM parsed GROUP BY user_id, item"""),
     "min_history_filter": _with(["bk"], """
