@@ -42,7 +42,10 @@ def item_pairs(base: DataFrame, block_size: int) -> DataFrame:
     right = tagged.select("user_id", F.col("item").alias("c"), F.col("n").alias("nc"),
                           F.col("b").alias("bc"), F.col("b").alias("k2"),
                           F.explode(F.sequence(F.lit(0), F.col("b"))).alias("k1"))
-    pairs = (left.join(right, ["user_id", "k1", "k2"])
+    # Shuffle on the whole key, so a heavy user's block pairs land in many
+    # tasks even if the input is already partitioned by user_id alone.
+    keys = ["user_id", "k1", "k2"]
+    pairs = (left.repartition(*keys).join(right.repartition(*keys), keys)
              .where((F.col("ba") < F.col("bc")) | (F.col("a") < F.col("c"))))
     a_first = F.col("a") < F.col("c")
     return pairs.select(F.least("a", "c").alias("i"), F.greatest("a", "c").alias("j"),
