@@ -62,8 +62,8 @@ def cooccurrence_half(base: DataFrame, block_size: int) -> DataFrame:
 
 
 def cosine_weight() -> F.Column:
-    """``c / sqrt(n_i * n_j)`` with the product taken in double (F1, Q2);
-    pairs with a non-positive weight are dropped (P12)."""
+    """``c / sqrt(n_i * n_j)`` with the product taken in double, so it cannot
+    overflow (F1, Q2)."""
     return F.col("c") / F.sqrt(F.col("ni").cast("double") * F.col("nj"))
 
 
@@ -78,7 +78,8 @@ def mirror(half: DataFrame, value_cols: list[str]) -> DataFrame:
 
 
 def positive_cosine(half: DataFrame) -> DataFrame:
-    """``(i, j, sim)`` for ``i < j`` from the half co-occurrence table."""
+    """``(i, j, sim)`` for ``i < j`` from the half co-occurrence table; pairs
+    whose count or popularity product is not positive are dropped (P12)."""
     keep = (F.col("ni").cast("double") * F.col("nj") > 0) & (F.col("c") > 0)
     return half.where(keep).select("i", "j", cosine_weight().alias("sim"))
 

@@ -24,14 +24,6 @@ KEEP = re.compile(r"(Exchange|Join|Aggregate|WindowGroupLimit|Window |Generate|S
                   r"QueryStage|Reused|FlatMapGroupsInPandas|Union|Filter|AQEShuffleRead)")
 
 
-def final_plan(df) -> str:
-    df.write.format("noop").mode("overwrite").save()
-    df.collect() if False else None
-    qe = df._jdf.queryExecution()
-    plan = qe.executedPlan().toString()
-    return plan
-
-
 def trim(plan: str) -> str:
     out = []
     for line in plan.splitlines():
