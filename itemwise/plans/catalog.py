@@ -67,7 +67,7 @@ def _labels(spark, sf, label="code", complete=False):
 
 
 def _parsed(spark, sf):
-    return explode_history(fx.order_features(spark, sf))
+    return explode_history(fx.basket_features(spark, sf))
 
 
 def q_parse_feature(spark, sf):
@@ -75,7 +75,7 @@ def q_parse_feature(spark, sf):
 
 
 def q_parse_item_ids(spark, sf):
-    return explode_history(fx.order_features(spark, sf), item_as_string=True).select(
+    return explode_history(fx.basket_features(spark, sf), item_as_string=True).select(
         "user_id", "pos", "item")
 
 
@@ -88,11 +88,11 @@ def q_min_history_filter(spark, sf):
 
 
 def q_user_count(spark, sf):
-    return fx.order_features(spark, sf).agg(F.count(F.lit(1)).alias("users"))
+    return fx.basket_features(spark, sf).agg(F.count(F.lit(1)).alias("users"))
 
 
 def q_user_ids(spark, sf):
-    return unique_user_ids(fx.order_features(spark, sf))
+    return unique_user_ids(fx.basket_features(spark, sf))
 
 
 def q_sample_users_md5(spark, sf):
@@ -272,10 +272,10 @@ CTE = {
   GROUP BY 1, 2""",
     "users": "SELECT DISTINCT user_id FROM ia",
     "fe": """
-  SELECT CAST(o.o_custkey AS VARCHAR) AS user_id,
-         string_agg(CAST(l.l_partkey AS VARCHAR) || ':' || CAST(CAST(l.l_quantity AS INTEGER) AS VARCHAR),
-                    ' ' ORDER BY l.l_orderkey, l.l_linenumber, l.l_partkey, l.l_quantity) AS feature
-  FROM lineitem l JOIN orders o ON l.l_orderkey = o.o_orderkey
+  SELECT CAST(l_orderkey AS VARCHAR) AS user_id,
+         string_agg(CAST(l_partkey AS VARCHAR) || ':' || CAST(CAST(l_quantity AS INTEGER) AS VARCHAR),
+                    ' ' ORDER BY l_linenumber, l_partkey, l_quantity) AS feature
+  FROM lineitem
   GROUP BY 1""",
     "tk": """
   SELECT user_id, list_filter(string_split(feature, ' '), lambda t: t <> '') AS toks FROM fe""",

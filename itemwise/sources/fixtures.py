@@ -51,7 +51,9 @@ def basket_interactions(spark: SparkSession, sf_dir: str) -> DataFrame:
 def order_features(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The feature table of the original job, ``(user_id, feature)``: one
     row per customer, tokens ``part:quantity`` joined by spaces. Repeated
-    parts stay repeated (last token wins when parsed)."""
+    parts stay repeated (last token wins when parsed). A row holds a whole
+    customer history, so this builds small test inputs only (job tests);
+    registered queries parse ``basket_features``."""
     token = F.concat(F.col("l_partkey").cast("string"), F.lit(":"),
                      F.col("l_quantity").cast("int").cast("string"))
     entry = F.struct("l_orderkey", "l_linenumber", "l_partkey", "l_quantity", token.alias("tok"))
@@ -62,6 +64,21 @@ def order_features(spark: SparkSession, sf_dir: str) -> DataFrame:
                     F.array_join(F.transform("entries", lambda e: e["tok"]), " ").alias("feature")))
 
 
+def basket_features(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A feature table with orders as users, ``(user_id, feature)``: one row
+    per order, tokens ``part:quantity`` in line order. Each row gathers the
+    lines of one order only, so no row grows with the data; repeated parts in
+    an order stay repeated (last token wins when parsed)."""
+    token = F.concat(F.col("l_partkey").cast("string"), F.lit(":"),
+                     F.col("l_quantity").cast("int").cast("string"))
+    entry = F.struct("l_linenumber", "l_partkey", "l_quantity", token.alias("tok"))
+    return (table(spark, sf_dir, "lineitem")
+            .groupBy(F.col("l_orderkey").cast("string").alias("user_id"))
+            .agg(F.array_sort(F.collect_list(entry)).alias("entries"))
+            .select("user_id",
+                    F.array_join(F.transform("entries", lambda e: e["tok"]), " ").alias("feature")))
+
+
 def part_dictionary(spark: SparkSession, sf_dir: str, complete: bool = False) -> DataFrame:
     """Item dictionary ``(column_index bigint, name, code)`` from ``part``.
     Unless ``complete``, large parts get a null id."""
