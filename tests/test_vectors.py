@@ -22,12 +22,13 @@ def _brute(rows, k):
     return out
 
 
-@pytest.mark.parametrize("block_rows", [2048, 64, 7])
-def test_vector_topk_matches_brute_force(spark, block_rows):
+@pytest.mark.parametrize("block_rows,chunk_rows", [(8192, 1024), (64, 5), (7, 2)])
+def test_vector_topk_matches_brute_force(spark, block_rows, chunk_rows):
     emb = fx.embeddings(spark, SF_SMALL).where(F.col("vec_id") < 150)
     want = _brute(emb.collect(), 5)
     got = {(r.vec_id, r.nbr_id, round(r.sim, 6), r.rk)
-           for r in vector_topk(emb, "vec_id", "embedding", 5, block_rows=block_rows).collect()}
+           for r in vector_topk(emb, "vec_id", "embedding", 5, block_rows=block_rows,
+                                       chunk_rows=chunk_rows).collect()}
     assert got == want
 
 
