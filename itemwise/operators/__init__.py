@@ -4,7 +4,7 @@ from .cooccurrence import (cooccurrence_half, item_pairs, item_popularity, mirro
                            popularity_summary, positive_cosine, similarity_summary,
                            with_popularity)
 from .history import (explode_history, interactions_from_features, last_preference,
-                      min_history, sample_users, unique_user_ids, watched_labels,
+                      min_history, sample_feature_rows, sample_users, unique_user_ids, watched_labels,
                       with_history_size)
 from .recommend import (attach_labels, candidates, drop_watched, reach, score_candidate_side,
                         score_source_side)
@@ -15,7 +15,7 @@ __all__ = [
     "attach_labels", "candidates", "cooccurrence_half", "drop_watched", "explode_history",
     "interactions_from_features", "item_pairs", "item_popularity", "last_preference",
     "min_history", "mirror", "nested_lists", "normalize_rows", "popularity_summary",
-    "positive_cosine", "preview", "reach", "sample_users", "score_candidate_side",
+    "positive_cosine", "preview", "reach", "sample_feature_rows", "sample_users", "score_candidate_side",
     "score_source_side", "similarity_summary", "top_per_group", "top_similar",
     "unique_user_ids", "vector_topk", "watched_labels", "with_history_size", "with_popularity",
 ]

@@ -49,6 +49,16 @@ def sample_users(interactions: DataFrame, rate: float, seed: str = "") -> DataFr
     return interactions.where(keep_user(F.col("user_id"), rate, seed))
 
 
+def sample_feature_rows(features: DataFrame, rate: float, seed: int | None = None) -> DataFrame:
+    """Bernoulli sample of feature rows (one row per user), the original
+    ``sample(false, rate)`` (P7). Which users are kept depends on the
+    partition layout even with a seed (Q3), so the job uses the hash sample
+    of ``sample_users``; this is for callers who want the original draw."""
+    if not 0 < rate < 1:
+        return features
+    return features.sample(withReplacement=False, fraction=rate, seed=seed)
+
+
 def with_history_size(interactions: DataFrame, dedup: bool = True) -> DataFrame:
     """Adds ``k``: the number of distinct items (``dedup``) or of rows of the
     user. The per-user count is a partial aggregation (one row per user and

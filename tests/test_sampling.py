@@ -28,3 +28,12 @@ def test_seed_changes_sample(spark):
     a = {r.u for r in ids.where(keep_user(F.col("u"), 0.5, "x")).collect()}
     b = {r.u for r in ids.where(keep_user(F.col("u"), 0.5, "y")).collect()}
     assert a != b
+
+
+def test_bernoulli_feature_sample(spark):
+    from itemwise.operators import sample_feature_rows
+    feats = spark.range(0, 2000).select(F.col("id").cast("string").alias("user_id"),
+                                        F.lit("1:1").alias("feature"))
+    kept = sample_feature_rows(feats, 0.25, seed=7).count()
+    assert 350 < kept < 650
+    assert sample_feature_rows(feats, 1.0).count() == 2000
