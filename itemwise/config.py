@@ -3,7 +3,7 @@ the original batch job, plus the choices our contract makes explicit)."""
 
 from __future__ import annotations
 
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 
 
 @dataclass(frozen=True)
@@ -26,7 +26,6 @@ class RecConfig:
     # sink (K1-K6)
     layout: str = "source_recom"    # "source_recom" (K6), "user_watched" (K5), "scored_list" (K7)
     trailing_separator: bool = False  # Q14: old layouts end every item with the separator
-    extra: dict = field(default_factory=dict)
 
     def __post_init__(self):
         if self.top_n < 1 or self.top_k < 1:

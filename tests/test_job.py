@@ -80,3 +80,16 @@ def test_overwrite_keeps_other_days(spark):
     overwrite_partition(one.limit(1), table, 1)
     got = sorted((r.a, r.stat_date) for r in spark.table(table).collect())
     assert got == [("x", 1), ("x", 2), ("y", 2)]
+
+
+def test_command_line(spark, inputs):
+    from itemwise.__main__ import main, parse_args
+    table = f"recs_cli_{uuid.uuid4().hex[:8]}"
+    args = ["--features", f"{inputs}/features", "--dictionary", f"{inputs}/items",
+            "--table-out", table, "--stat-date", str(DAYS[1]), "--top-n", "5", "--top-k", "3",
+            "--normalize", "false"]
+    assert parse_args(args).normalize is False
+    assert main(args, spark) == 0
+    rows = spark.table(table).collect()
+    assert len(rows) == 150 and {r.stat_date for r in rows} == {DAYS[1]}
+    assert max(len(r.recom_id.split(",")) for r in rows if r.recom_id) <= 3
