@@ -197,6 +197,16 @@ def q_sink_user_watched(spark, sf):
     return user_watched(hist.select("user_id").distinct(), watched_labels(hist, names), recs)
 
 
+def q_sink_user_watched_trailing(spark, sf):
+    """The K5 layout as the original writes it: a separator after every
+    watched label (F6, Q14); the recommended list has no trailing comma."""
+    hist, sim = _chain(spark, sf)
+    names = _labels(spark, sf, "name")
+    recs = recommend(hist, sim, names, PROD)
+    watched = watched_labels(hist, names, ",", trailing=True)
+    return user_watched(hist.select("user_id").distinct(), watched, recs)
+
+
 def q_sink_scored_list(spark, sf):
     hist, sim = _chain(spark, sf, VECTOR_JOB)
     codes = _labels(spark, sf, "code", complete=True)
@@ -254,6 +264,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "watched_labels": q_watched_labels,
     "sink_source_recom": q_sink_source_recom,
     "sink_user_watched": q_sink_user_watched,
+    "sink_user_watched_trailing": q_sink_user_watched_trailing,
     "sink_scored_list": q_sink_scored_list,
     "vector_topk": q_vector_topk,
     "partition_overwrite": q_partition_overwrite,
@@ -349,6 +360,17 @@ CTE = {
            CAST(row_number() OVER (PARTITION BY s.user_id ORDER BY s.score DESC, s.item) AS INTEGER) AS rk
     FROM cscore s JOIN names l ON l.column_index = s.item) t
   WHERE rk <= {TOP_K}""",
+    "watched_trailing": """
+  SELECT user_id, string_agg(label || ',', '' ORDER BY label) AS watched FROM (
+    SELECT DISTINCT h.user_id, COALESCE(n.label, '') AS label
+    FROM ia h LEFT JOIN names n ON n.column_index = h.item) t
+  GROUP BY user_id""",
+    "sink_uwt": """
+  SELECT u.user_id AS "user", COALESCE(MAX(w.watched), '') AS watched,
+         COALESCE(string_agg(r.label, ',' ORDER BY r.rk), '') AS sim_items
+  FROM users u LEFT JOIN watched_trailing w ON w.user_id = u.user_id
+  LEFT JOIN name_recs r ON r.user_id = u.user_id
+  GROUP BY u.user_id""",
     "watched": """
   SELECT user_id, string_agg(label, ',' ORDER BY label) AS watched FROM (
     SELECT DISTINCT h.user_id, COALESCE(n.label, '') AS label
@@ -392,6 +414,7 @@ DEPS = {
     "unseen": ["cand"], "cscore": ["unseen"], "sscore": ["ia", "sim"],
     "recs": ["cscore", "codes"], "name_recs": ["cscore", "names"], "watched": ["ia", "names"],
     "sink_sr": ["users", "recs"], "sink_uw": ["users", "watched", "name_recs"],
+    "watched_trailing": ["ia", "names"], "sink_uwt": ["users", "watched_trailing", "name_recs"],
     "vsscore": ["ia", "raw"], "vrecs": ["vsscore", "all_codes"], "sink_sl": ["users", "vrecs"],
 }
 
@@ -462,6 +485,8 @@ WHERE rk <= {TOP_K}"""),
     "watched_labels": _with(["watched"], "SELECT user_id, watched FROM watched"),
     "sink_source_recom": _with(["sink_sr"], "SELECT source_id, recom_id FROM sink_sr"),
     "sink_user_watched": _with(["sink_uw"], 'SELECT "user", watched, sim_items FROM sink_uw'),
+    "sink_user_watched_trailing": _with(["sink_uwt"],
+                                        'SELECT "user", watched, sim_items FROM sink_uwt'),
     "sink_scored_list": _with(["sink_sl"], "SELECT item, sim_items FROM sink_sl"),
     "vector_topk": f"""
 WITH pairs AS (
