@@ -58,8 +58,8 @@ def _hist(spark, sf):
 def _chain(spark, sf, cfg=None):
     """Interactions and similarity lists of a recommendation chain, each
     materialized once (as the daily job does)."""
-    hist = materialize(_hist(spark, sf))
-    return hist, materialize(item_similarity(hist, cfg or PROD))
+    hist = materialize(_hist(spark, sf), "interactions")
+    return hist, materialize(item_similarity(hist, cfg or PROD), "similarity")
 
 
 def _labels(spark, sf, label="code", complete=False):

@@ -93,3 +93,19 @@ def test_command_line(spark, inputs):
     rows = spark.table(table).collect()
     assert len(rows) == 150 and {r.stat_date for r in rows} == {DAYS[1]}
     assert max(len(r.recom_id.split(",")) for r in rows if r.recom_id) <= 3
+
+
+def test_materialized_tables_are_dropped(spark, inputs):
+    import os
+    from itemwise.plans.jobs import build_output
+    from itemwise.session import drop_materialized
+    feats = read_features(spark, f"{inputs}/features", DAYS[0])
+    labels = read_dictionary(spark, f"{inputs}/items", DAYS[0])
+    keep = []
+    out = build_output(feats, labels, RecConfig(), keep=keep)
+    assert out.count() == 150 and len(keep) == 2
+    folders = [df.inputFiles()[0].rsplit("/", 1)[0].replace("file:", "") for df in keep]
+    assert all(os.path.isdir(f) for f in folders)
+    for df in keep:
+        drop_materialized(df)
+    assert not any(os.path.exists(f) for f in folders)
