@@ -14,6 +14,8 @@ most two blocks. Light users are one block and join as before.
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -30,9 +32,13 @@ def with_popularity(base: DataFrame) -> DataFrame:
     return base.join(item_popularity(base), "item")
 
 
-def item_pairs(base: DataFrame, block_size: int) -> DataFrame:
+def item_pairs(base: DataFrame, block_size: int, num_partitions: int | None = None) -> DataFrame:
     """Unordered co-occurring pairs ``(i, j, ni, nj)`` with ``i < j``, one row
-    per user holding both (J1, P11). ``base`` has ``user_id, item, k, n``."""
+    per user holding both (J1, P11). ``base`` has ``user_id, item, k, n``.
+
+    ``num_partitions`` sizes the join's shuffle by the pairs it will emit
+    (see ``pair_partitions``); without it AQE sizes it by its input, which
+    is tiny next to the pair stream it explodes into."""
     nb = F.greatest(F.lit(1), F.ceil(F.col("k") / F.lit(block_size))).cast("int")
     tagged = base.select("user_id", "item", "n", nb.alias("nb"))
     tagged = tagged.withColumn("b", F.pmod(F.xxhash64("item"), F.col("nb")).cast("int"))
@@ -45,7 +51,11 @@ def item_pairs(base: DataFrame, block_size: int) -> DataFrame:
     # Shuffle on the whole key, so a heavy user's block pairs land in many
     # tasks even if the input is already partitioned by user_id alone.
     keys = ["user_id", "k1", "k2"]
-    pairs = (left.repartition(*keys).join(right.repartition(*keys), keys)
+    if num_partitions:
+        left, right = left.repartition(num_partitions, *keys), right.repartition(num_partitions, *keys)
+    else:
+        left, right = left.repartition(*keys), right.repartition(*keys)
+    pairs = (left.join(right, keys)
              .where((F.col("ba") < F.col("bc")) | (F.col("a") < F.col("c"))))
     a_first = F.col("a") < F.col("c")
     return pairs.select(F.least("a", "c").alias("i"), F.greatest("a", "c").alias("j"),
@@ -53,10 +63,27 @@ def item_pairs(base: DataFrame, block_size: int) -> DataFrame:
                         F.when(a_first, F.col("nc")).otherwise(F.col("na")).alias("nj"))
 
 
-def cooccurrence_half(base: DataFrame, block_size: int) -> DataFrame:
+# Fixed value: pair rows per task of the pair join (about 200 MB of rows).
+PAIRS_PER_TASK = 4_000_000
+
+
+def pair_partitions(user_rows: DataFrame, min_items: int = 2) -> int:
+    """Partitions for the pair join: sum over users of k (k - 1) / 2, from a
+    per-user row count (partial aggregation; only a users-sized shuffle),
+    divided by ``PAIRS_PER_TASK``, and at least the cluster's parallelism.
+    Duplicate rows only make the estimate larger."""
+    sizes = user_rows.groupBy("user_id").agg(F.count(F.lit(1)).alias("k"))
+    pairs = (sizes.where(F.col("k") >= min_items)
+             .agg(F.sum(F.col("k") * (F.col("k") - 1) / 2).alias("p")).first().p) or 0
+    parallelism = user_rows.sparkSession.sparkContext.defaultParallelism
+    return max(parallelism, math.ceil(pairs / PAIRS_PER_TASK))
+
+
+def cooccurrence_half(base: DataFrame, block_size: int,
+                      num_partitions: int | None = None) -> DataFrame:
     """``(i, j, c, ni, nj)`` for ``i < j``: users holding both items (A1).
     Partial aggregation combines pairs map-side before the shuffle."""
-    return (item_pairs(base, block_size)
+    return (item_pairs(base, block_size, num_partitions)
             .groupBy("i", "j", "ni", "nj")
             .agg(F.count(F.lit(1)).alias("c")))
 

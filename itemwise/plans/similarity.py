@@ -16,8 +16,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 
 from ..config import RecConfig
-from ..operators.cooccurrence import (cooccurrence_half, mirror, positive_cosine,
-                                      with_popularity)
+from ..operators.cooccurrence import (cooccurrence_half, mirror, pair_partitions,
+                                      positive_cosine, with_popularity)
 from ..operators.history import min_history, sample_users
 from ..operators.topn import normalize_rows, top_similar
 
@@ -35,16 +35,22 @@ def similarity_base(interactions: DataFrame, cfg: RecConfig = RecConfig()) -> Da
     return with_popularity(filtered_interactions(interactions, cfg))
 
 
+def _half(interactions: DataFrame, cfg: RecConfig) -> DataFrame:
+    """The ``i < j`` co-occurrence table, its pair join sized by the pairs the
+    sampled users will emit (a small job over per-user counts)."""
+    sampled = sample_users(interactions, cfg.sample_rate, cfg.sample_seed)
+    parts = pair_partitions(sampled, cfg.min_items)
+    return cooccurrence_half(similarity_base(interactions, cfg), cfg.block_size, parts)
+
+
 def cooccurrence(interactions: DataFrame, cfg: RecConfig = RecConfig()) -> DataFrame:
     """``(i, j, c)`` for every ordered pair of distinct co-occurring items (A1)."""
-    half = cooccurrence_half(similarity_base(interactions, cfg), cfg.block_size)
-    return mirror(half, ["c"])
+    return mirror(_half(interactions, cfg), ["c"])
 
 
 def cosine_similarity(interactions: DataFrame, cfg: RecConfig = RecConfig()) -> DataFrame:
     """``(i, j, sim)`` for every ordered pair, uncut (F1)."""
-    half = cooccurrence_half(similarity_base(interactions, cfg), cfg.block_size)
-    return mirror(positive_cosine(half), ["sim"])
+    return mirror(positive_cosine(_half(interactions, cfg)), ["sim"])
 
 
 def item_similarity(interactions: DataFrame, cfg: RecConfig = RecConfig()) -> DataFrame:
