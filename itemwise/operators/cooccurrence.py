@@ -63,20 +63,24 @@ def item_pairs(base: DataFrame, block_size: int, num_partitions: int | None = No
                         F.when(a_first, F.col("nc")).otherwise(F.col("na")).alias("nj"))
 
 
-# Fixed value: pair rows per task of the pair join (about 200 MB of rows).
+# Pair rows per task of the pair join (about 200 MB of rows),
+# and a ceiling on its partitions, since shuffle bookkeeping on the driver
+# grows as map tasks x partitions (past it, tasks grow; nothing is dropped).
 PAIRS_PER_TASK = 4_000_000
+MAX_PAIR_PARTITIONS = 100_000
 
 
 def pair_partitions(user_rows: DataFrame, min_items: int = 2) -> int:
     """Partitions for the pair join: sum over users of k (k - 1) / 2, from a
     per-user row count (partial aggregation; only a users-sized shuffle),
-    divided by ``PAIRS_PER_TASK``, and at least the cluster's parallelism.
+    divided by ``PAIRS_PER_TASK``, at least the cluster's parallelism and at
+    most ``MAX_PAIR_PARTITIONS``.
     Duplicate rows only make the estimate larger."""
     sizes = user_rows.groupBy("user_id").agg(F.count(F.lit(1)).alias("k"))
     pairs = (sizes.where(F.col("k") >= min_items)
              .agg(F.sum(F.col("k") * (F.col("k") - 1) / 2).alias("p")).first().p) or 0
     parallelism = user_rows.sparkSession.sparkContext.defaultParallelism
-    return max(parallelism, math.ceil(pairs / PAIRS_PER_TASK))
+    return max(parallelism, min(MAX_PAIR_PARTITIONS, math.ceil(pairs / PAIRS_PER_TASK)))
 
 
 def cooccurrence_half(base: DataFrame, block_size: int,

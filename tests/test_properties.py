@@ -112,3 +112,16 @@ def test_hot_user_is_spread_over_tasks(spark, hist):
         spark.conf.set(key, "true")
     assert one_task == 1 and many_tasks >= 4
     assert plain == salted and len(plain) == 200 * 199 // 2
+
+
+def test_pair_partitions_follow_the_pair_count(spark):
+    from itemwise.operators import cooccurrence as co
+    cores = spark.sparkContext.defaultParallelism
+    rows = spark.createDataFrame([("u", i) for i in range(10)] + [("v", 1)],
+                                 "user_id string, item int")
+    assert co.pair_partitions(rows) == cores            # 45 pairs: parallelism floor
+    big = spark.range(0, 12000).selectExpr("'u' AS user_id", "CAST(id AS INT) AS item")
+    pairs = 12000 * 11999 // 2                            # about 72 M pairs
+    expected = max(cores, -(-pairs // co.PAIRS_PER_TASK))
+    assert expected == max(cores, 18)
+    assert co.pair_partitions(big) == expected
