@@ -1,0 +1,124 @@
+"""Substring deduplication by paragraph MinHash banding.
+
+A paragraph is a line of a text with at least ``MIN_WORDS`` words. Its
+distinct five-word shingles give a MinHash signature of ``BANDS`` bands of
+``ROWS`` values: a pair of Jaccard 0.8 shares a band with a probability of
+1 - (1 - 0.8^4)^20 = 0.99997, and more similar pairs surer still. Paragraphs
+that share a band are verified by exact Jaccard (``shingles.linked``) and
+clustered by components; of each cluster the first paragraph stays, by doc_id
+and place, and the others are removed.
+
+Contract: words as in the n-gram join (A-Z lower-cased, ASCII blanks). Equal
+shingle sets are one node, so thousands of copies of a passage are compared
+once. Null and empty texts have no paragraphs; rows repeated with the same
+doc_id are one document; an empty table returns none; other columns are not
+read. Result: one row per paragraph to remove: doc_id, paragraph (line
+number from 0), start and length (characters), n_words, cluster_id, keep_doc_id
+and keep_paragraph.
+"""
+
+from __future__ import annotations
+
+import numpy as np
+import pyarrow as pa
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from itemwise.llm.common import plain, same, stage
+from itemwise.llm.shingles import KEYS, deal_keys, linked, mix, name, shared_keys, shingle_set
+from itemwise.llm.tokens import in_slices
+
+WORDS, NUM, DEN, BANDS, ROWS, MIN_WORDS = 5, 80, 100, 20, 4, 20
+_SEEDS = mix(np.arange(1, BANDS * ROWS + 1, dtype=np.uint64))
+_BAND = mix(np.arange(1001, BANDS + 1001, dtype=np.uint64))
+
+
+def paragraphs(text: str | None, min_words: int = MIN_WORDS):
+    """(line number, start, length, words, shingles) of the paragraphs."""
+    start = 0
+    for i, line in enumerate((text or "").split("\n")):
+        raw = line.encode("utf-8", "surrogatepass")
+        n = len(raw.split())
+        if n >= max(min_words, 1):
+            yield i, start, len(line), n, shingle_set(raw, WORDS)
+        start += len(line) + 1
+
+
+def bands(shingles: np.ndarray) -> np.ndarray:
+    """One key per band of the MinHash signature."""
+    low = np.full(len(_SEEDS), np.iinfo(np.uint64).max, dtype=np.uint64)
+    for i in range(0, len(shingles), 4096):  # bounded memory for very long lines
+        part = (shingles[i: i + 4096, None] ^ _SEEDS[None]) * np.uint64(0x9E3779B97F4A7C15)
+        low = np.minimum(low, (part ^ (part >> np.uint64(32))).min(axis=0))
+    rows = low.reshape(BANDS, ROWS)
+    key = _BAND.copy()
+    for j in range(ROWS):
+        key = mix(key ^ rows[:, j])
+    return key
+
+
+def repeated_paragraphs(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
+    """Paragraphs to remove; see the module's contract."""
+    named = plain(docs).withColumn("h", F.xxhash64("text"))
+
+    def spans(batches):
+        for batch in batches:
+            for part in in_slices(batch):
+                rows = [(d, h, i, s, n, w, name(x)) for d, h, t in
+                        zip(*[part.column(c).to_pylist() for c in ("doc_id", "h", "text")],
+                            strict=True)
+                        for i, s, n, w, x in paragraphs(t, min_words)]
+                if rows:
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array(c, pa.int64()) for c in zip(*rows, strict=True)],
+                        names=["doc_id", "h", "paragraph", "start", "length", "n_words", "node"])
+
+    def banded(batches):
+        def rows():
+            for batch in batches:
+                for part in in_slices(batch):
+                    for t in part.column("text").to_pylist():
+                        for *_, x in paragraphs(t, min_words):
+                            yield bands(x), name(x)
+        yield from deal_keys(rows())
+
+    def contents(batches):
+        for batch in batches:
+            for part in in_slices(batch, 256):
+                rows = []
+                for t, want in zip(part.column("text").to_pylist(),
+                                   part.column("nodes").to_pylist(), strict=True):
+                    want = set(want)
+                    rows += [(k, x.tobytes()) for *_, x in paragraphs(t, min_words)
+                             if (k := name(x)) in want]
+                if rows:
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array([k for k, _ in rows], pa.int64()),
+                         pa.array([x for _, x in rows], pa.binary())], names=["node", "set"])
+
+    lines = stage(named.mapInArrow(
+        spans, "doc_id long, h long, paragraph long, start long, length long, n_words long, "
+        "node long"), "paragraphs").df
+    shared = shared_keys(named.select("text").mapInArrow(banded, KEYS))
+    speaker = stage(
+        lines.groupBy("node").agg(F.min(F.struct("doc_id", "h")).alias("of"))
+        .join(shared.select("node").distinct(), "node", "left_semi")
+        # bounded by the paragraphs of one document
+        .groupBy("of").agg(F.collect_list("node").alias("nodes"))
+        .select("of.doc_id", "of.h", "nodes"), "speakers").df
+    texts = (named.alias("l").join(speaker.alias("r"), same(named, speaker, ["doc_id", "h"]))
+             .select("l.text", "r.nodes"))
+    sets = stage(texts.mapInArrow(contents, "node long, set binary")
+                 .dropDuplicates(["node"]), "paragraph-sets").df
+    roots = linked(shared, sets, NUM, DEN)
+    rooted = stage(lines.join(roots, "node", "left")
+                   .withColumn("cluster_id", F.coalesce("root", "node")).drop("root", "node"),
+                   "rooted-paragraphs").df
+    keep = stage(rooted.groupBy("cluster_id").agg(
+        F.min(F.struct("doc_id", "paragraph")).alias("keep"), F.count("*").alias("n"))
+        .where("n > 1").select("cluster_id", F.col("keep.doc_id").alias("keep_doc_id"),
+                               F.col("keep.paragraph").alias("keep_paragraph")), "kept").df
+    return (rooted.join(keep, "cluster_id")
+            .where("not (doc_id <=> keep_doc_id and paragraph = keep_paragraph)")
+            .select("doc_id", "paragraph", "start", "length", "n_words", "cluster_id",
+                    "keep_doc_id", "keep_paragraph"))
