@@ -1,6 +1,6 @@
 """Exact ids of a ``tokenizers`` vocabulary, with each distinct word encoded once.
 
-A text is cut before every ASCII blank that follows a non-blank. The public
+A text is cut before every blank (0x20) that follows a non-blank. The public
 byte-level and word-end BPE vocabularies never form a token across such a
 place (their pre-tokenizer starts a new piece there, special strings hold no
 blank), so the ids of a text are the ids of its pieces, one after another.
@@ -11,12 +11,18 @@ from __future__ import annotations
 
 import os
 import re
+from array import array
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 
-CUT = re.compile(r"(?<=\S)(?=[ \t\n\r\f\v])")
-#: Characters of text that are cut at a time, and pieces that a worker remembers.
-CHUNK_CHARS, REMEMBERED, LONGEST = 2_000_000, 300_000, 64
+#: White space before a blank; without it, cutting at every blank is the same.
+ODD = "[\\s\\x0b\\x1c-\\x1f\\x{85}\\p{Z}] "
+CUT = re.compile(r"(?<=\S)(?= )")
+#: Characters of text that are cut at a time, pieces that a worker remembers
+#: (about 200 bytes each), and the longest piece worth remembering.
+CHUNK_CHARS, REMEMBERED, LONGEST = 6_000_000, 1_200_000, 24
 
 _encoders: dict[str, PieceEncoder] = {}
 
@@ -33,29 +39,83 @@ class PieceEncoder:
         self.tokenizer.no_padding()
         self.width = 2 if self.tokenizer.get_vocab_size(with_added_tokens=True) <= 1 << 16 else 4
         self.dtype = np.dtype(f"<u{self.width}")
+        self.code = "H" if self.width == 2 else "I"
         self.known: dict[str, bytes] = {}
+        self.again: set[str] = set()
+        self.marks = dict(zip(",.", self._ids([",", "."]), strict=True))
 
-    def _chunk(self, texts: list[str]) -> list[bytes]:
-        cut = [CUT.split(t) if t else [] for t in texts]
-        words = set()
-        for pieces in cut:
-            words.update(pieces)
+    def _ids(self, pieces: list[str]) -> list[bytes]:
+        found = self.tokenizer.encode_batch_fast(pieces, add_special_tokens=False)
+        return [array(self.code, e.ids).tobytes() for e in found]
+
+    def _known(self, words: list[str]) -> list[bytes]:
+        """Ids of " " + word for distinct words."""
         known = self.known
         new = [w for w in words if w not in known]
+        self.again.update(known.keys() & words if len(new) < len(words) else ())
         if len(known) + len(new) > REMEMBERED:
-            known = {w: known[w] for w in words if w in known}
-        found = self.tokenizer.encode_batch_fast(new, add_special_tokens=False)
-        for word, e in zip(new, found, strict=True):
-            known[word] = np.array(e.ids, dtype=self.dtype).tobytes()
-        get = known.__getitem__
-        out = [b"".join(map(get, pieces)) for pieces in cut]
-        if len(known) <= REMEMBERED:
-            for word in new:
-                if len(word) > LONGEST:
-                    del known[word]
-            self.known = known
+            # what came twice stays
+            known = {w: known[w] for w in self.again}
+            self.again = set()
+        # a comma or full stop after letters is always a piece of its own
+        base = {w[:-1]: None for w in new if w[-1:] in (",", ".") and w[:-1].isalpha()}
+        asked = [w for w in new if w[:-1] not in base or w[-1:] not in (",", ".")]
+        asked = list({**dict.fromkeys(asked), **{w: None for w in base if w not in known}})
+        known.update(zip(asked, self._ids([" " + w for w in asked]), strict=True))
+        for w in new:
+            if w not in known:
+                known[w] = known[w[:-1]] + self.marks[w[-1]]
+        out = list(map(known.__getitem__, words))
+        for word in asked:
+            if len(word) > LONGEST:
+                del known[word]
+        self.known = known
+        return out
+
+    def _join(self, pieces: pa.ListArray) -> list[bytes]:
+        """Ids of texts from their pieces, all but the first without their
+        leading blank; no text is without a piece."""
+        coded = pieces.values.dictionary_encode()
+        ends = pieces.offsets.to_numpy()
+        heads = ends[:-1]
+        words = self._known(coded.dictionary.to_pylist())
+        first = self._ids(pieces.values.take(pa.array(heads)).to_pylist())
+        found = words + first
+        size = np.fromiter(map(len, found), dtype=np.int64, count=len(found)) // self.width
+        begin = np.cumsum(size) - size
+        pool = np.frombuffer(b"".join(found), dtype=self.dtype)
+        word = coded.indices.to_numpy(zero_copy_only=False).astype(np.int64)
+        word[heads] = len(words) + np.arange(len(heads))
+        n = size[word]
+        till = np.cumsum(n)
+        ids = pool[np.repeat(begin[word] - (till - n), n) + np.arange(n.sum())]
+        cuts = [0, *till[ends[1:] - 1].tolist()]
+        return [ids[a:b].tobytes() for a, b in zip(cuts, cuts[1:], strict=False)]
+
+    def _chunk(self, texts: list[str | None]) -> list[bytes]:
+        if not texts:
+            return []
+        column = pa.array([t or "" for t in texts], pa.string())
+        odd = pc.match_substring_regex(column, ODD).to_numpy(zero_copy_only=False)
+        out: list[bytes] = [b""] * len(texts)
+        for rows, split in ((np.flatnonzero(~odd), self._at_blanks),
+                            (np.flatnonzero(odd), self._at_words)):
+            if len(rows):
+                for i, ids in zip(rows, self._join(split(column.take(pa.array(rows)))),
+                                  strict=True):
+                    out[i] = ids
         return out
 
+    @staticmethod
+    def _at_blanks(texts: pa.Array) -> pa.ListArray:
+        return pc.split_pattern(texts, " ")
+
+    @staticmethod
+    def _at_words(texts: pa.Array) -> pa.ListArray:
+        cut = [CUT.split(t) for t in texts.to_pylist()]
+        return pa.array([[first, *[w[1:] for w in rest]] for first, *rest in cut],
+                        pa.list_(pa.string()))
+
     def encode(self, texts: list[str | None]) -> list[bytes]:
         """Packed ids of each text; null counts as empty."""
         out: list[bytes] = []
