@@ -131,7 +131,7 @@ def near_classes(docs: DataFrame, words: int = 5, num: int = 80, den: int = 100)
         F.min(F.struct("doc_id", "h")).alias("of")).join(
         shared.select("node").distinct(), "node", "left_semi")
         .select("node", "of.doc_id", "of.h"), "speakers").df
-    texts = (named.alias("l").join(speaker.alias("r"), same(named, speaker, ["doc_id", "h"]))
+    texts = (named.alias("l").join(speaker.alias("r").hint("merge"), same(named, speaker, ["doc_id", "h"]))
              .select("r.node", "l.text"))
     sets = stage(texts.mapInArrow(contents, "node long, set binary")
                  .dropDuplicates(["node"]), "candidate-sets").df

@@ -106,7 +106,7 @@ def repeated_paragraphs(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFram
         # bounded by the paragraphs of one document
         .groupBy("of").agg(F.collect_list("node").alias("nodes"))
         .select("of.doc_id", "of.h", "nodes"), "speakers").df
-    texts = (named.alias("l").join(speaker.alias("r"), same(named, speaker, ["doc_id", "h"]))
+    texts = (named.alias("l").join(speaker.alias("r").hint("merge"), same(named, speaker, ["doc_id", "h"]))
              .select("l.text", "r.nodes"))
     sets = stage(texts.mapInArrow(contents, "node long, set binary")
                  .dropDuplicates(["node"]), "paragraph-sets").df

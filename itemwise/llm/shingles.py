@@ -17,7 +17,7 @@ from itemwise.llm.graph import components
 
 LOWER = bytes(c + 32 if 65 <= c <= 90 else c for c in range(256))
 #: Keys that a task holds before it deals them out, and shingles of one block.
-HELD_KEYS, BLOCK_SHINGLES = 1 << 20, 1 << 20
+HELD_KEYS, BLOCK_SHINGLES = 1 << 20, 1 << 17
 _P = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -130,8 +130,9 @@ def _verify(pairs: DataFrame, sets: DataFrame, num: int, den: int) -> DataFrame:
                     [part.column("lead").filter(mask), part.column("node").filter(mask)],
                     names=["lead", "node"])
 
-    member = sets.select("node", F.col("set").alias("right"))
-    lead = sets.select(F.col("node").alias("lead"), F.col("set").alias("left"))
+    # sets grow with the corpus: the same shuffle at every size
+    member = sets.select("node", F.col("set").alias("right")).hint("merge")
+    lead = sets.select(F.col("node").alias("lead"), F.col("set").alias("left")).hint("merge")
     return pairs.join(member, "node").join(lead, "lead").mapInArrow(run, "lead long, node long")
 
 
@@ -223,7 +224,8 @@ def _blocks(open_: DataFrame, sets: DataFrame) -> DataFrame:
             .select(*base, F.lit("rest").alias("kind"), F.least("own", "t").alias("i"),
                     F.greatest("own", "t").alias("j"),
                     (F.col("own") > F.col("t")).cast("int").alias("side")))
-    return main.unionByName(met).unionByName(rest).join(sets.select("node", "set"), "node")
+    return main.unionByName(met).unionByName(rest).join(
+        sets.select("node", "set").hint("merge"), "node")
 
 
 def linked(shared: DataFrame, sets: DataFrame, num: int, den: int) -> DataFrame:
