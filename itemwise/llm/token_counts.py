@@ -70,8 +70,8 @@ def token_counts(docs: DataFrame, vocabulary: str, cache: str) -> DataFrame:
     digests = stage(named.drop("text"), "content-digests").df
     stored = open_cache(spark, cache).where(F.col("tokenizer") == version)
     # any row of a group may speak for it: equal digests, equal texts
-    misses = (digests.join(stored, ["sha", "n_bytes"], "left_anti")
-              .groupBy("sha", "n_bytes").agg(F.min("doc_id").alias("doc_id")))
+    misses = (digests.groupBy("sha", "n_bytes").agg(F.min("doc_id").alias("doc_id"))
+              .join(stored, ["sha", "n_bytes"], "left_anti"))
     wanted = stage(misses, "cache-misses").df.alias("r")
     asked = (named.alias("l").join(wanted, same(named, misses, ["doc_id", "sha"]), "left_semi"))
     new = _encode(asked, vocabulary)
