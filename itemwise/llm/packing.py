@@ -60,6 +60,20 @@ def price(values: np.ndarray, size: int) -> tuple[float, np.ndarray]:
     return float(best[size]), pattern
 
 
+def _invert(a: np.ndarray) -> np.ndarray:
+    """Gauss-Jordan with row pivots; a few hundred rows at most."""
+    n = len(a)
+    both = np.hstack([a, np.eye(n)])
+    for i in range(n):
+        p = i + int(np.argmax(np.abs(both[i:, i])))
+        both[[i, p]] = both[[p, i]]
+        both[i] /= both[i, i]
+        rest = both[:, i].copy()
+        rest[i] = 0
+        both -= rest[:, None] * both[i]
+    return both[:, n:]
+
+
 def patterns(demand: np.ndarray, gap: float = GAP) -> list[tuple[np.ndarray, int]]:
     """Patterns and how often to use them, covering ``demand[u-1]`` pieces of
     u units each, with capacity len(demand) units; exactly, no piece twice."""
@@ -91,7 +105,7 @@ def patterns(demand: np.ndarray, gap: float = GAP) -> list[tuple[np.ndarray, int
         inverse -= np.outer(direction, row)
         inverse[out] = row
         if step % 100 == 99:  # keep rounding errors small
-            inverse = np.linalg.inv(columns[kinds].astype(float))
+            inverse = _invert(columns[kinds].astype(float))
         used = np.maximum(inverse @ need, 0)
     found: list[tuple[np.ndarray, int]] = []
     left = demand.astype(np.int64).copy()
