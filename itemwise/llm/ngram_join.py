@@ -1,20 +1,18 @@
 """N-gram Jaccard join: a blocked sparse product of documents and n-grams.
 
-The incidence matrix (documents x distinct word n-grams) is cut into column
-blocks by a hash of the n-gram. Sizes bound what a linked pair can differ in:
-with Jaccard >= t and sizes a, b it differs in at most
-(1-t)/(1+t) * (a+b) n-grams. With more blocks than that, a linked pair agrees
-completely in some block, so the product is taken only where two rows share
-the digest of a whole column block; all other pairs are below the bound and
-never formed. The overlap of what is left is counted exactly
-(``shingles.linked``), block pair by block pair, and components of the links
-are the classes.
-
-Sizes fall into classes whose bounds are t apart; linked rows are in the same
-or in neighbouring classes, so each row is blocked twice, as member of its
-own class and of the class below. A few spare blocks see to it that an
-agreement in blocks that are empty in both rows is not the only one; a row
-with more empty blocks than spare ones sends those as well.
+The incidence matrix (documents x distinct word n-grams) is multiplied with
+its own transpose in blocks of columns (the shuffle's partitions) and rows.
+Sizes bound what has to be formed: a row of n n-grams that reaches Jaccard t
+with another shares at least ceil(t * n) of them, so whatever one order all
+n-grams are put in, two linked rows meet among their first
+n - ceil(t * n) + 1. Only these entries of a row take part in the product;
+pairs that meet in none are below the bound and are never formed. The order
+puts rare n-grams first, so that a passage, line or phrase that very many
+documents share is in no short prefix: a table of ``BUCKETS`` counts over all
+n-grams of all documents, of fixed size at any scale, ranks them. The table
+steers the work only; any order gives the same links. The overlap of what is
+left is counted exactly (``shingles.linked``), block pair by block pair, and
+components of the links are the classes.
 
 Contract: A-Z are lower-cased, words are runs of non-blanks (ASCII); the set
 of a document is its distinct n-word shingles, the whole sequence when it is
@@ -26,61 +24,28 @@ columns are not read.
 
 from __future__ import annotations
 
-import bisect
-import functools
-
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from itemwise.llm.common import plain, same, stage
-from itemwise.llm.shingles import KEYS, deal_keys, linked, mix, name, shared_keys, shingle_set
+from itemwise.llm.shingles import KEYS, deal_keys, linked, name, shared_keys, shingle_set
 from itemwise.llm.tokens import in_slices
 
-SPARE = 3
-
-
-@functools.lru_cache(maxsize=8)
-def classes(num: int, den: int, size: int) -> list[int]:
-    """Lower bounds of the size classes up to beyond ``size``."""
-    low = [1]
-    while low[-1] <= size:
-        low.append(low[-1] * den // num + 1)
-    return low
+#: Counts that rank n-grams; a power of two.
+BUCKET_BITS = 18
 
 
-def blocks_of(cls: int, low: list[int], num: int, den: int) -> tuple[int, int]:
-    """Column blocks and spare ones for pairs whose smaller row is in ``cls``;
-    no blocks where such pairs cannot differ (equal sets are one row)."""
-    high = low[cls] * den // num
-    differ = (den - num) * (high + high * den // num) // (den + num)
-    spare = min(SPARE, differ)
-    return (differ + 1 + spare if differ else 0), spare
+def _bucket(shingles: np.ndarray) -> np.ndarray:
+    return (shingles >> np.uint64(64 - BUCKET_BITS)).astype(np.int64)
 
 
-def keys(shingles: np.ndarray, num: int, den: int) -> np.ndarray:
-    """Digests of the column blocks of one row, for both of its classes."""
+def keys(shingles: np.ndarray, counts: np.ndarray, num: int, den: int) -> np.ndarray:
+    """The entries of one row that take part: its rarest n - ceil(t * n) + 1."""
     n = len(shingles)
-    low = classes(num, den, 1 << max(10, int(n).bit_length()))
-    own = bisect.bisect_right(low, n) - 1
-    out = []
-    value = mix(shingles ^ np.uint64(0x5851F42D4C957F2D))
-    for cls in {own, max(own - 1, 0)}:
-        blocks, spare = blocks_of(cls, low, num, den)
-        if not blocks:
-            continue
-        at = (value % np.uint64(blocks)).astype(np.int64)
-        order = np.argsort(at, kind="stable")
-        held = np.bincount(at, minlength=blocks)
-        ends = np.cumsum(held)
-        sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(shingles[order],
-                                                                 dtype=np.uint64)])
-        total = sums[ends] - sums[ends - held]
-        digest = mix(total + held.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
-                     + mix(np.arange(blocks, dtype=np.uint64) + np.uint64(cls << 32)))
-        out.append(digest if (held == 0).sum() > spare else digest[held > 0])
-    return np.concatenate(out) if out else np.zeros(0, np.uint64)
+    order = np.lexsort((shingles, counts[_bucket(shingles)]))
+    return shingles[order[: n + num * n // -den + 1]]
 
 
 def _named(docs: DataFrame) -> DataFrame:
@@ -92,9 +57,31 @@ def _sets(part, words: int):
         yield shingle_set((text or "").encode("utf-8", "surrogatepass"), words)
 
 
+def _bucket_counts(named: DataFrame, words: int) -> np.ndarray:
+    """Occurrences of all n-grams of all documents by bucket: at most
+    2 ** BUCKET_BITS numbers, whatever the corpus."""
+
+    def run(batches):
+        total = np.zeros(1 << BUCKET_BITS, dtype=np.int64)
+        for batch in batches:
+            for part in in_slices(batch):
+                total += np.bincount(_bucket(np.concatenate(list(_sets(part, words)))),
+                                     minlength=len(total))
+        at = np.flatnonzero(total)
+        yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(total[at])],
+                                         names=["bucket", "n"])
+
+    rows = (named.select("text").mapInArrow(run, "bucket long, n long")
+            .groupBy("bucket").agg(F.sum("n").alias("n")).toPandas())
+    counts = np.zeros(1 << BUCKET_BITS, dtype=np.int64)
+    counts[rows["bucket"].to_numpy(dtype=np.int64)] = rows["n"].to_numpy(dtype=np.int64)
+    return counts
+
+
 def near_classes(docs: DataFrame, words: int = 5, num: int = 80, den: int = 100) -> DataFrame:
     """doc_id, h (hash of the text), n_shingles, component_id of every row."""
     named = _named(docs)
+    counts = _bucket_counts(named, words)
 
     def sizes(batches):
         for batch in batches:
@@ -112,7 +99,7 @@ def near_classes(docs: DataFrame, words: int = 5, num: int = 80, den: int = 100)
                 for part in in_slices(batch):
                     for s in _sets(part, words):
                         if len(s):
-                            yield keys(s, num, den), name(s)
+                            yield keys(s, counts, num, den), name(s)
         yield from deal_keys(rows())
 
     def contents(batches):
