@@ -45,6 +45,9 @@ def parse_args(argv: list[str] | None = None) -> argparse.Namespace:
     p.add_argument("--missing-label", choices=["drop", "empty", "error"], default=d.missing_label)
     p.add_argument("--layout", choices=["source_recom", "user_watched", "scored_list"],
                    default=d.layout)
+    p.add_argument("--dedup", type=_bool, default=d.dedup)
+    p.add_argument("--lenient", type=_bool, default=d.lenient)
+    p.add_argument("--trailing-separator", type=_bool, default=d.trailing_separator)
     p.add_argument("--block-size", type=int, default=d.block_size)
     return p.parse_args(argv)
 
@@ -53,7 +56,8 @@ def config_from(args: argparse.Namespace) -> RecConfig:
     return RecConfig(sample_rate=args.sample_rate, sample_seed=args.sample_seed,
                      top_n=args.top_n, top_k=args.top_k, normalize=args.normalize,
                      scoring=args.scoring, label=args.label, missing_label=args.missing_label,
-                     layout=args.layout, block_size=args.block_size)
+                     layout=args.layout, block_size=args.block_size, dedup=args.dedup,
+                     lenient=args.lenient, trailing_separator=args.trailing_separator)
 
 
 def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> int:

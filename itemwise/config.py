@@ -14,6 +14,7 @@ class RecConfig:
     top_n: int = 10                 # T1: similar items kept per item
     normalize: bool = True          # T5: divide by the row maximum
     dedup: bool = True              # Q4: count each (user, item) once
+    lenient: bool = False           # Q8: drop bad tokens instead of failing
     min_items: int = 2              # P5: history must hold more than one item
     block_size: int = 4096          # J1: items per block when a history is split
     # recommendation

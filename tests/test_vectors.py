@@ -39,3 +39,39 @@ def test_column_functions(spark):
                      cosine("a", "b").alias("c")).collect()
     assert rows[0].d == 24.0 and rows[0].n == 5.0 and abs(rows[0].c - 0.96) < 1e-12
     assert rows[1].c is None                     # zero vector: no defined cosine
+
+
+def _coarse(rows, k, decimals):
+    import numpy as np
+
+    out = set()
+    for i, v in rows:
+        scored = []
+        for j, w in rows:
+            if i != j:
+                sim = float(np.dot(v, w) / (np.linalg.norm(v) * np.linalg.norm(w)))
+                scored.append((-np.floor(sim * 10 ** decimals + 0.5) / 10 ** decimals, j))
+        out |= {(i, j) for _, j in sorted(scored)[:k]}
+    return out
+
+
+def test_few_vectors_and_coarse_rounding(spark):
+    """Blocks may be empty, scores may tie: k neighbours each, by id."""
+    import numpy as np
+    from itemwise.operators.vector_search import vector_topk
+
+    rng = np.random.default_rng(5)
+    for n, decimals in ((1, 6), (2, 6), (3, 2), (5, 6), (60, 1), (60, 2)):
+        rows = [(i, rng.random(4).tolist()) for i in range(n)]
+        df = spark.createDataFrame(rows, "id long, v array<double>")
+        got = {(r.id, r.nbr_id) for r in vector_topk(df, "id", "v", 3, decimals=decimals).collect()}
+        assert got == _coarse(rows, 3, decimals), (n, decimals)
+
+
+def test_equal_vectors_give_k_rows_each(spark):
+    from itemwise.operators.vector_search import vector_topk
+
+    df = spark.createDataFrame([(i, [1.0, 2.0]) for i in range(200)], "id long, v array<double>")
+    rows = vector_topk(df, "id", "v", 3).collect()
+    assert len(rows) == 600
+    assert {r.nbr_id for r in rows if r.id > 3} == {0, 1, 2}
