@@ -30,7 +30,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from itemwise.llm.common import plain, same, stage
-from itemwise.llm.shingles import KEYS, deal_keys, linked, name, shared_keys, shingle_set
+from itemwise.llm.shingles import (
+    KEYS,
+    deal_keys,
+    linked,
+    name,
+    packed,
+    shared_keys,
+    shingle_set,
+)
 from itemwise.llm.tokens import in_slices
 
 #: Counts that rank n-grams; a power of two.
@@ -105,26 +113,30 @@ def near_classes(docs: DataFrame, words: int = 5, num: int = 80, den: int = 100)
     def contents(batches):
         for batch in batches:
             for part in in_slices(batch, 256):
-                sets = list(_sets(part, words))
                 yield pa.RecordBatch.from_arrays(
-                    [part.column("node"), pa.array([s.tobytes() for s in sets], pa.binary())],
-                    names=["node", "set"])
+                    [part.column("node"), part.column("n"), packed(
+                        [t.encode("utf-8", "surrogatepass")
+                         for t in part.column("text").to_pylist()])],
+                    names=["node", "n", "body"])
 
     rows = stage(named.mapInArrow(
-        sizes, "doc_id long, h long, n_shingles long, node long"), "set-names").df
+        sizes, "doc_id long, h long, n_shingles long, node long"), "set-names")
     shared = shared_keys(named.select("text").mapInArrow(blocks, KEYS))
     # the text of one document of each set that shares a block with another
-    speaker = stage(rows.groupBy("node").agg(
-        F.min(F.struct("doc_id", "h")).alias("of")).join(
-        shared.select("node").distinct(), "node", "left_semi")
-        .select("node", "of.doc_id", "of.h"), "speakers").df
+    speaker = stage(rows.df.groupBy("node").agg(
+        F.min(F.struct("doc_id", "h", "n_shingles")).alias("of")).join(
+        shared.df.select("node").distinct(), "node", "left_semi")
+        .select("node", "of.doc_id", "of.h", F.col("of.n_shingles").alias("n")), "speakers").df
     texts = (named.alias("l").join(speaker.alias("r").hint("merge"), same(named, speaker, ["doc_id", "h"]))
-             .select("r.node", "l.text"))
-    sets = stage(texts.mapInArrow(contents, "node long, set binary")
-                 .dropDuplicates(["node"]), "candidate-sets").df
-    roots = linked(shared, sets, num, den)
-    rooted = stage(rows.join(roots, "node", "left").select(
+             .select("r.node", "r.n", "l.text"))
+    sets = stage(texts.mapInArrow(contents, "node long, n long, body binary")
+                 .dropDuplicates(["node"]), "candidate-texts")
+    roots = linked(shared.df, sets.df, words, num, den)
+    for done in (shared, sets):
+        done.drop()
+    rooted = stage(rows.df.join(roots, "node", "left").select(
         "doc_id", "h", "n_shingles", F.coalesce("root", "node").alias("root")), "rooted").df
+    rows.drop()
     least = stage(rooted.where("n_shingles > 0").groupBy("root").agg(
         F.min("doc_id").alias("least")), "smallest").df
     return rooted.join(least, "root", "left").select(

@@ -25,7 +25,16 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from itemwise.llm.common import plain, same, stage
-from itemwise.llm.shingles import KEYS, deal_keys, linked, mix, name, shared_keys, shingle_set
+from itemwise.llm.shingles import (
+    KEYS,
+    deal_keys,
+    linked,
+    mix,
+    name,
+    packed,
+    shared_keys,
+    shingle_set,
+)
 from itemwise.llm.tokens import in_slices
 
 WORDS, NUM, DEN, BANDS, ROWS, MIN_WORDS = 5, 80, 100, 20, 4, 20
@@ -34,13 +43,13 @@ _BAND = mix(np.arange(1001, BANDS + 1001, dtype=np.uint64))
 
 
 def paragraphs(text: str | None, min_words: int = MIN_WORDS):
-    """(line number, start, length, words, shingles) of the paragraphs."""
+    """(line number, start, length, words, bytes, shingles) of the paragraphs."""
     start = 0
     for i, line in enumerate((text or "").split("\n")):
         raw = line.encode("utf-8", "surrogatepass")
         n = len(raw.split())
         if n >= max(min_words, 1):
-            yield i, start, len(line), n, shingle_set(raw, WORDS)
+            yield i, start, len(line), n, raw, shingle_set(raw, WORDS)
         start += len(line) + 1
 
 
@@ -67,7 +76,7 @@ def repeated_paragraphs(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFram
                 rows = [(d, h, i, s, n, w, name(x)) for d, h, t in
                         zip(*[part.column(c).to_pylist() for c in ("doc_id", "h", "text")],
                             strict=True)
-                        for i, s, n, w, x in paragraphs(t, min_words)]
+                        for i, s, n, w, _, x in paragraphs(t, min_words)]
                 if rows:
                     yield pa.RecordBatch.from_arrays(
                         [pa.array(c, pa.int64()) for c in zip(*rows, strict=True)],
@@ -89,12 +98,13 @@ def repeated_paragraphs(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFram
                 for t, want in zip(part.column("text").to_pylist(),
                                    part.column("nodes").to_pylist(), strict=True):
                     want = set(want)
-                    rows += [(k, x.tobytes()) for *_, x in paragraphs(t, min_words)
+                    rows += [(k, len(x), raw) for *_, raw, x in paragraphs(t, min_words)
                              if (k := name(x)) in want]
                 if rows:
                     yield pa.RecordBatch.from_arrays(
-                        [pa.array([k for k, _ in rows], pa.int64()),
-                         pa.array([x for _, x in rows], pa.binary())], names=["node", "set"])
+                        [pa.array([k for k, _, _ in rows], pa.int64()),
+                         pa.array([n for _, n, _ in rows], pa.int64()),
+                         packed([raw for _, _, raw in rows])], names=["node", "n", "body"])
 
     lines = stage(named.mapInArrow(
         spans, "doc_id long, h long, paragraph long, start long, length long, n_words long, "
@@ -102,15 +112,17 @@ def repeated_paragraphs(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFram
     shared = shared_keys(named.select("text").mapInArrow(banded, KEYS))
     speaker = stage(
         lines.groupBy("node").agg(F.min(F.struct("doc_id", "h")).alias("of"))
-        .join(shared.select("node").distinct(), "node", "left_semi")
+        .join(shared.df.select("node").distinct(), "node", "left_semi")
         # bounded by the paragraphs of one document
         .groupBy("of").agg(F.collect_list("node").alias("nodes"))
         .select("of.doc_id", "of.h", "nodes"), "speakers").df
     texts = (named.alias("l").join(speaker.alias("r").hint("merge"), same(named, speaker, ["doc_id", "h"]))
              .select("l.text", "r.nodes"))
-    sets = stage(texts.mapInArrow(contents, "node long, set binary")
-                 .dropDuplicates(["node"]), "paragraph-sets").df
-    roots = linked(shared, sets, NUM, DEN)
+    sets = stage(texts.mapInArrow(contents, "node long, n long, body binary")
+                 .dropDuplicates(["node"]), "paragraph-texts")
+    roots = linked(shared.df, sets.df, WORDS, NUM, DEN)
+    for done in (shared, sets):
+        done.drop()
     rooted = stage(lines.join(roots, "node", "left")
                    .withColumn("cluster_id", F.coalesce("root", "node")).drop("root", "node"),
                    "rooted-paragraphs").df

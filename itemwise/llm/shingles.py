@@ -8,11 +8,12 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import xxhash
+import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from itemwise.llm.common import stage
+from itemwise.llm.common import Table, stage
 from itemwise.llm.graph import components
 
 LOWER = bytes(c + 32 if 65 <= c <= 90 else c for c in range(256))
@@ -49,6 +50,18 @@ def name(shingles: np.ndarray) -> int:
                           signed=True)
 
 
+def packed(texts: list[bytes]) -> pa.Array:
+    """Texts as they travel: a set of 64-bit hashes does not compress and is
+    larger than its text, so tasks rebuild sets from compressed texts."""
+    squeeze = zstandard.ZstdCompressor(level=3).compress
+    return pa.array([squeeze(t) for t in texts], pa.binary())
+
+
+def unpacked(body: bytes, words: int) -> np.ndarray:
+    """The shingle set of a packed text."""
+    return shingle_set(zstandard.ZstdDecompressor().decompress(body), words)
+
+
 def similar(shared, a, b, num: int, den: int):
     """Jaccard of at least num / den, in integers."""
     return den * shared >= num * (a + b - shared)
@@ -101,54 +114,64 @@ def deal_keys(pairs):
 KEYS = "key long, salt long, node long, many boolean"
 
 
-def shared_keys(dealt: DataFrame) -> DataFrame:
+def shared_keys(dealt: DataFrame) -> Table:
     """key, node of every key that at least two nodes share, written once."""
     group = Window.partitionBy("key", "salt")
     kept = (dealt.withColumn("other", (F.min("node").over(group) != F.max("node").over(group))
                              | F.max("many").over(group))
             .where("other").select("key", "node").distinct())
-    return stage(kept, "shared-keys").df
+    return stage(kept, "shared-keys")
 
 
-def _verify(pairs: DataFrame, sets: DataFrame, num: int, den: int) -> DataFrame:
+def _could_link(pairs: DataFrame, sets: DataFrame, num: int, den: int) -> DataFrame:
+    """Pairs whose sizes allow the link: the overlap cannot pass the smaller set."""
+    sizes = sets.select("node", F.col("n").alias("a"))
+    other = sets.select(F.col("node").alias("lead"), F.col("n").alias("b"))
+    return (pairs.join(sizes, "node").join(other, "lead")
+            .where(F.lit(den) * F.least("a", "b") >= F.lit(num) * F.greatest("a", "b"))
+            .select("lead", "node"))
+
+
+def _verify(pairs: DataFrame, sets: DataFrame, words: int, num: int, den: int) -> DataFrame:
     """The pairs (lead, node) that link."""
 
     def run(batches):
+        last, x = None, None
         for batch in batches:
             for at in range(0, batch.num_rows, 512):
                 part = batch.slice(at, 512)
-                a, b = part.column("left").to_pylist(), part.column("right").to_pylist()
                 keep = []
-                for x, y in zip(a, b, strict=True):
-                    x, y = np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)
-                    low, high = min(len(x), len(y)), max(len(x), len(y))
-                    # a size-derived bound: the overlap cannot pass the smaller set
-                    keep.append(den * low >= num * high and bool(similar(
-                        len(np.intersect1d(x, y, assume_unique=True)), len(x), len(y), num, den)))
+                for lead, a, b in zip(*[part.column(c).to_pylist()
+                                        for c in ("lead", "left", "right")], strict=True):
+                    if lead != last:  # the join leaves a lead's pairs together
+                        last, x = lead, unpacked(a, words)
+                    y = unpacked(b, words)
+                    keep.append(bool(similar(len(np.intersect1d(x, y, assume_unique=True)),
+                                             len(x), len(y), num, den)))
                 mask = pa.array(keep, pa.bool_())
                 yield pa.RecordBatch.from_arrays(
                     [part.column("lead").filter(mask), part.column("node").filter(mask)],
                     names=["lead", "node"])
 
-    # sets grow with the corpus: the same shuffle at every size
-    member = sets.select("node", F.col("set").alias("right")).hint("merge")
-    lead = sets.select(F.col("node").alias("lead"), F.col("set").alias("left")).hint("merge")
+    # texts grow with the corpus: the same shuffle at every size
+    member = sets.select("node", F.col("body").alias("right")).hint("merge")
+    lead = sets.select(F.col("node").alias("lead"), F.col("body").alias("left")).hint("merge")
     return pairs.join(member, "node").join(lead, "lead").mapInArrow(run, "lead long, node long")
 
 
-def block_links(rows: pd.DataFrame, num: int, den: int) -> list[tuple[int, int]]:
+def block_links(rows: pd.DataFrame, words: int, num: int, den: int) -> list[tuple[int, int]]:
     """Links between the components of one block pair, enough to join them.
 
-    ``rows`` has side, node, root, set. The rows' incidence with shingles is
+    ``rows`` has side, node, root, body. The rows' incidence with shingles is
     multiplied row by row through the inverted index; a row is passed over
     once its component is the same as all it could meet.
     """
-    sets = [np.frombuffer(x, np.uint64) for x in rows["set"]]
-    sizes = np.array([len(s) for s in sets])
     nodes, side = rows["node"].to_numpy(), rows["side"].to_numpy()
     _, root = np.unique(rows["root"].to_numpy(), return_inverse=True)
     if len(rows) < 2 or root.max() == 0:
         return []
+    sets = [unpacked(x, words) for x in rows["body"]]
+    sizes = np.array([len(s) for s in sets])
     _, column = np.unique(np.concatenate(sets), return_inverse=True)
     ends = np.cumsum(sizes)
     owner = np.repeat(np.arange(len(sets)), sizes)
@@ -178,21 +201,23 @@ def block_links(rows: pd.DataFrame, num: int, den: int) -> list[tuple[int, int]]
     return found
 
 
-def _leaders(shared: DataFrame) -> DataFrame:
+def _leaders(shared: DataFrame) -> Table:
     """(lead, node): every member of a key with the member of most keys."""
-    degree = stage(shared.groupBy("node").agg(F.count("*").alias("degree")), "degrees").df
-    weighed = stage(shared.join(degree, "node"), "weighed-keys").df
-    lead = stage(weighed.groupBy("key").agg(
+    degree = stage(shared.groupBy("node").agg(F.count("*").alias("degree")), "degrees")
+    weighed = stage(shared.join(degree.df, "node"), "weighed-keys")
+    lead = stage(weighed.df.groupBy("key").agg(
         F.max(F.struct("degree", "node")).alias("top")).select(
-        "key", F.col("top.node").alias("lead")), "leads").df
-    return stage(shared.join(lead, "key").where("node <> lead").select("lead", "node").distinct(),
-                 "candidate-pairs").df
+        "key", F.col("top.node").alias("lead")), "leads")
+    pairs = stage(shared.join(lead.df, "key").where("node <> lead").select("lead", "node")
+                  .distinct(), "candidate-pairs")
+    for done in (degree, weighed, lead):
+        done.drop()
+    return pairs
 
 
 def _blocks(open_: DataFrame, sets: DataFrame) -> DataFrame:
     """Rows of block pairs of every bundle in ``open_`` (node, root, bundle)."""
-    sized = stage(open_.join(sets.select("node", F.octet_length("set").alias("bytes")), "node"),
-                  "bundles").df
+    sized = stage(open_.join(sets.select("node", "n"), "node"), "bundles").df
     largest = (sized.groupBy("bundle", "root").agg(F.count("*").alias("n")).groupBy("bundle")
                .agg(F.max(F.struct("n", "root")).alias("top"))
                .select("bundle", F.col("top.root").alias("main")))
@@ -200,8 +225,8 @@ def _blocks(open_: DataFrame, sets: DataFrame) -> DataFrame:
                   .withColumn("rest", F.col("root") != F.col("main")), "kinds").df
 
     def blocks(of):
-        held = F.sum(F.when(of, F.col("bytes")).otherwise(0))
-        return F.greatest(F.lit(1), F.ceil(held / (8 * BLOCK_SHINGLES)))
+        held = F.sum(F.when(of, F.col("n")).otherwise(0))
+        return F.greatest(F.lit(1), F.ceil(held / BLOCK_SHINGLES))
 
     count = stage(kinds.groupBy("bundle").agg(blocks(~F.col("rest")).alias("mains"),
                                               blocks(F.col("rest")).alias("rests")),
@@ -225,37 +250,43 @@ def _blocks(open_: DataFrame, sets: DataFrame) -> DataFrame:
                     F.greatest("own", "t").alias("j"),
                     (F.col("own") > F.col("t")).cast("int").alias("side")))
     return main.unionByName(met).unionByName(rest).join(
-        sets.select("node", "set").hint("merge"), "node")
+        sets.select("node", "body").hint("merge"), "node")
 
 
-def linked(shared: DataFrame, sets: DataFrame, num: int, den: int) -> DataFrame:
+def linked(shared: DataFrame, sets: DataFrame, words: int, num: int, den: int) -> DataFrame:
     """node and root of every node that has a link of Jaccard num / den or more.
 
     ``shared`` (key, node) must hold a common key for every pair that links;
-    ``sets`` holds the shingles (bytes) of its nodes. No row per pair of a key
+    ``sets`` holds the packed text (``body``) and set size (``n``) of its nodes. No row per pair of a key
     is made: first every node is verified against its keys' leads, then keys
     whose members are not all connected are bundled, and inside a bundle all
     rows outside the largest component are multiplied with all others, block
     by block. Two nodes that link and are not connected by the first step
     share such a key, so nothing is lost.
     """
-    links = stage(_verify(_leaders(shared), sets, num, den), "links").df
-    first = stage(components(links), "components").df
+    pairs = _leaders(shared)
+    close = stage(_could_link(pairs.df, sets, num, den), "close-pairs")
+    links = stage(_verify(close.df, sets, words, num, den), "links")
+    first = stage(components(links.df), "components").df
+    for done in (pairs, close, links):
+        done.drop()
     rooted = stage(shared.join(first, "node", "left").select(
-        "key", "node", F.coalesce("root", "node").alias("root")), "rooted-keys").df
-    still = stage(rooted.groupBy("key").agg(F.min("root").alias("a"), F.max("root").alias("b"),
-                                            F.min("node").alias("low"), F.count("*").alias("n"))
+        "key", "node", F.coalesce("root", "node").alias("root")), "rooted-keys")
+    still = stage(rooted.df.groupBy("key").agg(F.min("root").alias("a"), F.max("root").alias("b"),
+                                               F.min("node").alias("low"), F.count("*").alias("n"))
                   .where("a <> b and n > 2").select("key", "low"), "open-keys").df
     if not still.head(1):
+        rooted.drop()
         return first
-    members = stage(rooted.join(still, "key"), "open-members").df
+    members = stage(rooted.df.join(still, "key"), "open-members").df
+    rooted.drop()
     bundles = stage(components(members.select("node", "low")), "bundle-roots").df
     open_ = (members.select("node", "root").distinct()
              .join(bundles.withColumnRenamed("root", "bundle"), "node"))
     rows = _blocks(open_, sets)
 
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        return pd.DataFrame(block_links(pdf, num, den), columns=["a", "b"]).astype("int64")
+        return pd.DataFrame(block_links(pdf, words, num, den), columns=["a", "b"]).astype("int64")
 
     more = stage(rows.groupBy("bundle", "kind", "i", "j").applyInPandas(run, "a long, b long"),
                  "block-links").df
@@ -266,5 +297,5 @@ def linked(shared: DataFrame, sets: DataFrame, num: int, den: int) -> DataFrame:
     return stage(components(edges), "components").df
 
 
-__all__ = ["KEYS", "block_links", "deal_keys", "linked", "mix", "name", "shared_keys",
-           "shingle_set", "similar"]
+__all__ = ["KEYS", "block_links", "deal_keys", "linked", "mix", "name", "packed", "shared_keys",
+           "shingle_set", "similar", "unpacked"]
