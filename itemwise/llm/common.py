@@ -52,6 +52,23 @@ def same(left: DataFrame, right: DataFrame, keys: list[str]) -> Column:
     return cond
 
 
+def id_key(doc_id: Column) -> Column:
+    """An id as a join key that is never null, so that the join's
+    partitioning serves later steps by the same key."""
+    return F.coalesce(doc_id.cast("string"), F.lit("null"))
+
+
+def fresh(docs: DataFrame, *names: str) -> list[str]:
+    """``names``, underscored until no column of ``docs`` is called so."""
+    taken = {c.lower() for c in docs.columns}
+    out = []
+    for n in names:
+        while n.lower() in taken:
+            n = f"_{n}"
+        out.append(n)
+    return out
+
+
 def number(table: DataFrame, keys: list[str], order: list[str], name: str,
            seed: int = 0, chunk_rows: int = 4096) -> DataFrame:
     """Add column ``name``: 0, 1, ... without gaps within each value of

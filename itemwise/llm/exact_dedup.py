@@ -27,7 +27,7 @@ import math
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from itemwise.llm.common import A_Z, LOWER_A_Z, plain, stage
+from itemwise.llm.common import A_Z, LOWER_A_Z, fresh, id_key, plain, stage
 
 _KEY = ["d64", "sha", "n_bytes"]
 
@@ -77,12 +77,13 @@ def exact_dedup(docs: DataFrame, keep: str = "max", fan_in: int = 16) -> DataFra
 
 def drop_copies(docs: DataFrame, keep: str = "max") -> DataFrame:
     """``docs`` with one row of each group of equal texts, all columns kept."""
+    one, digest, n = fresh(docs, "_id", "_digest", "_n")
     kept = (exact_dedup(docs, keep).where("kept")
-            .select(F.col("doc_id").alias("_id"), F.col("text_sha256").alias("_sha")))
-    named = docs.withColumn("_digest", F.sha2(normalised(F.col("text").cast("string")), 256))
-    found = named.join(kept, named["doc_id"].cast("long").eqNullSafe(kept["_id"])
-                       & (named["_digest"] == kept["_sha"]), "left_semi")
+            .select(id_key(F.col("doc_id")).alias(one), F.col("text_sha256").alias(digest)))
+    named = (docs.withColumn(one, id_key(F.col("doc_id").cast("long")))
+             .withColumn(digest, F.sha2(normalised(F.col("text").cast("string")), 256)))
+    found = named.join(kept, [one, digest], "left_semi")
     # identical rows share id and digest: the join's partitioning serves this too
-    first = Window.partitionBy(F.col("doc_id").cast("long"), "_digest").orderBy(F.lit(1))
-    return (found.withColumn("_n", F.row_number().over(first)).where("_n = 1")
-            .drop("_n", "_digest"))
+    first = Window.partitionBy(one, digest).orderBy(F.lit(1))
+    return found.withColumn(n, F.row_number().over(first)).where(F.col(n) == 1).select(
+        *docs.columns)

@@ -29,10 +29,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from itemwise.llm.common import plain, same, stage
+from itemwise.llm.common import id_key, plain, stage
 from itemwise.llm.shingles import (
     KEYS,
     deal_keys,
+    in_windows,
     linked,
     name,
     packed,
@@ -122,17 +123,20 @@ def near_classes(docs: DataFrame, words: int = 5, num: int = 80, den: int = 100)
     rows = stage(named.mapInArrow(
         sizes, "doc_id long, h long, n_shingles long, node long"), "set-names")
     shared = shared_keys(named.select("text").mapInArrow(blocks, KEYS))
-    # the text of one document of each set that shares a block with another
-    speaker = stage(rows.df.groupBy("node").agg(
-        F.min(F.struct("doc_id", "h", "n_shingles")).alias("of")).join(
-        shared.df.select("node").distinct(), "node", "left_semi")
-        .select("node", "of.doc_id", "of.h", F.col("of.n_shingles").alias("n")), "speakers").df
-    texts = (named.alias("l").join(speaker.alias("r").hint("merge"), same(named, speaker, ["doc_id", "h"]))
-             .select("r.node", "r.n", "l.text"))
-    sets = stage(texts.mapInArrow(contents, "node long, n long, body binary")
-                 .dropDuplicates(["node"]), "candidate-texts")
-    roots = linked(shared.df, sets.df, words, num, den)
-    for done in (shared, sets):
+    sizes = stage(rows.df.groupBy("node").agg(
+        F.min(F.struct("doc_id", "h")).alias("of"), F.max("n_shingles").alias("n")), "sizes")
+    members = in_windows(shared.df, sizes.df.select("node", "n"), num, den)
+    # the text of one document of each set that shares a window with another
+    speaker = stage(sizes.df.join(members.df.select("node").distinct(), "node", "left_semi")
+                    .select("node", "n", id_key(F.col("of.doc_id")).alias("id"), "of.h"),
+                    "speakers")
+    # rows that repeat a document are one: the join's partitioning serves this too
+    texts = (named.withColumn("id", id_key(F.col("doc_id")))
+             .join(speaker.df.hint("merge"), ["id", "h"]).dropDuplicates(["id", "h"])
+             .select("node", "n", "text"))
+    sets = stage(texts.mapInArrow(contents, "node long, n long, body binary"), "candidate-texts")
+    roots = linked(members.df, sets.df, words, num, den)
+    for done in (shared, sizes, members, speaker, sets):
         done.drop()
     rooted = stage(rows.df.join(roots, "node", "left").select(
         "doc_id", "h", "n_shingles", F.coalesce("root", "node").alias("root")), "rooted").df
@@ -148,7 +152,7 @@ def near_classes(docs: DataFrame, words: int = 5, num: int = 80, den: int = 100)
 def drop_near_copies(docs: DataFrame, words: int = 5, num: int = 80, den: int = 100) -> DataFrame:
     """``docs`` with the smallest doc_id of every class only, all columns kept."""
     kept = (near_classes(docs, words, num, den).where("doc_id <=> component_id")
-            .select(F.col("doc_id").alias("_id"), F.col("h").alias("_h")))
+            .select(id_key(F.col("doc_id")).alias("_id"), F.col("h").alias("_h")))
     key = F.xxhash64(F.col("text").cast("string"))
-    return docs.join(kept, docs["doc_id"].cast("long").eqNullSafe(kept["_id"])
+    return docs.join(kept, (id_key(docs["doc_id"].cast("long")) == kept["_id"])
                      & (key == kept["_h"]), "left_semi")

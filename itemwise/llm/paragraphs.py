@@ -24,10 +24,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from itemwise.llm.common import plain, same, stage
+from itemwise.llm.common import id_key, plain, stage
 from itemwise.llm.shingles import (
     KEYS,
     deal_keys,
+    in_windows,
     linked,
     mix,
     name,
@@ -73,14 +74,15 @@ def repeated_paragraphs(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFram
     def spans(batches):
         for batch in batches:
             for part in in_slices(batch):
-                rows = [(d, h, i, s, n, w, name(x)) for d, h, t in
+                rows = [(d, h, i, s, n, w, len(x), name(x)) for d, h, t in
                         zip(*[part.column(c).to_pylist() for c in ("doc_id", "h", "text")],
                             strict=True)
                         for i, s, n, w, _, x in paragraphs(t, min_words)]
                 if rows:
                     yield pa.RecordBatch.from_arrays(
                         [pa.array(c, pa.int64()) for c in zip(*rows, strict=True)],
-                        names=["doc_id", "h", "paragraph", "start", "length", "n_words", "node"])
+                        names=["doc_id", "h", "paragraph", "start", "length", "n_words", "n",
+                               "node"])
 
     def banded(batches):
         def rows():
@@ -108,23 +110,27 @@ def repeated_paragraphs(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFram
 
     lines = stage(named.mapInArrow(
         spans, "doc_id long, h long, paragraph long, start long, length long, n_words long, "
-        "node long"), "paragraphs").df
+        "n long, node long"), "paragraphs").df
     shared = shared_keys(named.select("text").mapInArrow(banded, KEYS))
+    sizes = stage(lines.groupBy("node").agg(
+        F.min(F.struct("doc_id", "h")).alias("of"), F.max("n").alias("n")), "sizes")
+    members = in_windows(shared.df, sizes.df.select("node", "n"), NUM, DEN)
     speaker = stage(
-        lines.groupBy("node").agg(F.min(F.struct("doc_id", "h")).alias("of"))
-        .join(shared.df.select("node").distinct(), "node", "left_semi")
+        sizes.df.join(members.df.select("node").distinct(), "node", "left_semi")
         # bounded by the paragraphs of one document
         .groupBy("of").agg(F.collect_list("node").alias("nodes"))
-        .select("of.doc_id", "of.h", "nodes"), "speakers").df
-    texts = (named.alias("l").join(speaker.alias("r").hint("merge"), same(named, speaker, ["doc_id", "h"]))
-             .select("l.text", "r.nodes"))
+        .select(id_key(F.col("of.doc_id")).alias("id"), "of.h", "nodes"), "speakers")
+    # rows that repeat a document are one: the join's partitioning serves this too
+    texts = (named.withColumn("id", id_key(F.col("doc_id")))
+             .join(speaker.df.hint("merge"), ["id", "h"]).dropDuplicates(["id", "h"])
+             .select("text", "nodes"))
     sets = stage(texts.mapInArrow(contents, "node long, n long, body binary")
                  .dropDuplicates(["node"]), "paragraph-texts")
-    roots = linked(shared.df, sets.df, WORDS, NUM, DEN)
-    for done in (shared, sets):
+    roots = linked(members.df, sets.df, WORDS, NUM, DEN)
+    for done in (shared, sizes, members, speaker, sets):
         done.drop()
     rooted = stage(lines.join(roots, "node", "left")
-                   .withColumn("cluster_id", F.coalesce("root", "node")).drop("root", "node"),
+                   .withColumn("cluster_id", F.coalesce("root", "node")).drop("root", "node", "n"),
                    "rooted-paragraphs").df
     keep = stage(rooted.groupBy("cluster_id").agg(
         F.min(F.struct("doc_id", "paragraph")).alias("keep"), F.count("*").alias("n"))

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import hashlib
+import math
 
 import numpy as np
 import pandas as pd
@@ -19,6 +20,9 @@ from itemwise.llm.graph import components
 LOWER = bytes(c + 32 if 65 <= c <= 90 else c for c in range(256))
 #: Keys that a task holds before it deals them out, and shingles of one block.
 HELD_KEYS, BLOCK_SHINGLES = 1 << 20, 1 << 17
+#: Rounds of leads before what is still open is multiplied in blocks; any
+#: number gives the same links.
+ROUNDS = 3
 _P = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -123,6 +127,28 @@ def shared_keys(dealt: DataFrame) -> Table:
     return stage(kept, "shared-keys")
 
 
+def in_windows(shared: DataFrame, sizes: DataFrame, num: int, den: int) -> Table:
+    """key, w, node: the keys cut by set size, those of one node left out.
+
+    Sizes (node, n) are put on levels so wide that two sets which can link are
+    at most one level apart. Window w of a key holds its nodes of levels w and
+    w + 1; a pair that links meets in the window of its smaller set.
+    """
+    # a little wider than den / num, so that rounding cannot part a pair
+    width = math.log(den / num * (1 + 1e-6))
+    level = stage(shared.join(sizes, "node").select(
+        "key", "node", F.floor(F.log("n") / width).alias("level")), "levels")
+    both = level.df.withColumn("w", F.explode(F.array("level", F.col("level") - 1)))
+    met = stage(both.groupBy("key", "w").agg(F.count("*").alias("many"),
+                                             F.min("level").alias("low"))
+                .where("many > 1 and low = w").select("key", "w"), "windows")
+    found = stage(both.join(met.df, ["key", "w"]).select(
+        F.xxhash64("key", "w").alias("key"), "w", "node"), "window-members")
+    for done in (level, met):
+        done.drop()
+    return found
+
+
 def _could_link(pairs: DataFrame, sets: DataFrame, num: int, den: int) -> DataFrame:
     """Pairs whose sizes allow the link: the overlap cannot pass the smaller set."""
     sizes = sets.select("node", F.col("n").alias("a"))
@@ -154,8 +180,10 @@ def _verify(pairs: DataFrame, sets: DataFrame, words: int, num: int, den: int) -
                     names=["lead", "node"])
 
     # texts grow with the corpus: the same shuffle at every size
-    member = sets.select("node", F.col("body").alias("right")).hint("merge")
-    lead = sets.select(F.col("node").alias("lead"), F.col("body").alias("left")).hint("merge")
+    member = (sets.join(pairs.select("node").distinct(), "node", "left_semi")
+              .select("node", F.col("body").alias("right")).hint("merge"))
+    lead = (sets.select(F.col("node").alias("lead"), F.col("body").alias("left"))
+            .join(pairs.select("lead").distinct(), "lead", "left_semi").hint("merge"))
     return pairs.join(member, "node").join(lead, "lead").mapInArrow(run, "lead long, node long")
 
 
@@ -201,8 +229,9 @@ def block_links(rows: pd.DataFrame, words: int, num: int, den: int) -> list[tupl
     return found
 
 
-def _leaders(shared: DataFrame) -> Table:
-    """(lead, node): every member of a key with the member of most keys."""
+def _leaders(shared: DataFrame) -> tuple[Table, Table]:
+    """(lead, node), every member of a key with the member of most keys, and
+    the lead of every key."""
     degree = stage(shared.groupBy("node").agg(F.count("*").alias("degree")), "degrees")
     weighed = stage(shared.join(degree.df, "node"), "weighed-keys")
     lead = stage(weighed.df.groupBy("key").agg(
@@ -210,9 +239,9 @@ def _leaders(shared: DataFrame) -> Table:
         "key", F.col("top.node").alias("lead")), "leads")
     pairs = stage(shared.join(lead.df, "key").where("node <> lead").select("lead", "node")
                   .distinct(), "candidate-pairs")
-    for done in (degree, weighed, lead):
+    for done in (degree, weighed):
         done.drop()
-    return pairs
+    return pairs, lead
 
 
 def _blocks(open_: DataFrame, sets: DataFrame) -> DataFrame:
@@ -253,36 +282,67 @@ def _blocks(open_: DataFrame, sets: DataFrame) -> DataFrame:
         sets.select("node", "body").hint("merge"), "node")
 
 
-def linked(shared: DataFrame, sets: DataFrame, words: int, num: int, den: int) -> DataFrame:
+def _new_pairs(pairs: DataFrame, roots: DataFrame, checked: DataFrame) -> DataFrame:
+    """Pairs of unlike roots that no round before has verified."""
+    a = roots.select("node", F.col("root").alias("a"))
+    b = roots.select(F.col("node").alias("lead"), F.col("root").alias("b"))
+    return (pairs.join(a, "node", "left").join(b, "lead", "left")
+            .where(F.coalesce("a", "node") != F.coalesce("b", "lead")).select("lead", "node")
+            .join(checked, ["lead", "node"], "left_anti"))
+
+
+def _still_open(members: DataFrame, leads: DataFrame, roots: DataFrame) -> Table:
+    """key, w, node, root of the keys whose members but the lead, which has
+    met them all, are not connected yet."""
+    rooted = stage(members.join(leads, "key").where("node <> lead").join(roots, "node", "left")
+                   .select("key", "w", "node", F.coalesce("root", "node").alias("root")),
+                   "rooted-members")
+    apart = stage(rooted.df.groupBy("key").agg(F.min("root").alias("a"), F.max("root").alias("b"))
+                  .where("a <> b").select("key"), "open-keys")
+    found = stage(rooted.df.join(apart.df, "key"), "open-members")
+    for done in (rooted, apart):
+        done.drop()
+    return found
+
+
+def linked(members: DataFrame, sets: DataFrame, words: int, num: int, den: int) -> DataFrame:
     """node and root of every node that has a link of Jaccard num / den or more.
 
-    ``shared`` (key, node) must hold a common key for every pair that links;
-    ``sets`` holds the packed text (``body``) and set size (``n``) of its nodes. No row per pair of a key
-    is made: first every node is verified against its keys' leads, then keys
-    whose members are not all connected are bundled, and inside a bundle all
-    rows outside the largest component are multiplied with all others, block
-    by block. Two nodes that link and are not connected by the first step
-    share such a key, so nothing is lost.
+    ``members`` (key, w, node; from ``in_windows``) must hold a common key for
+    every pair that links; ``sets`` holds the packed text (``body``) and set
+    size (``n``) of its nodes. No row per pair of a key is made: in rounds,
+    the members of a key are verified against its lead, which then leaves the
+    key, and keys with all members connected close. Keys still open after
+    ``ROUNDS`` are bundled by their windows, and inside a bundle all rows
+    outside the largest component are multiplied with all others, block by
+    block. Two nodes that link and are not connected by a round share an open
+    key, so nothing is lost.
     """
-    pairs = _leaders(shared)
-    close = stage(_could_link(pairs.df, sets, num, den), "close-pairs")
-    links = stage(_verify(close.df, sets, words, num, den), "links")
-    first = stage(components(links.df), "components").df
-    for done in (pairs, close, links):
-        done.drop()
-    rooted = stage(shared.join(first, "node", "left").select(
-        "key", "node", F.coalesce("root", "node").alias("root")), "rooted-keys")
-    still = stage(rooted.df.groupBy("key").agg(F.min("root").alias("a"), F.max("root").alias("b"),
-                                               F.min("node").alias("low"), F.count("*").alias("n"))
-                  .where("a <> b and n > 2").select("key", "low"), "open-keys").df
-    if not still.head(1):
-        rooted.drop()
-        return first
-    members = stage(rooted.df.join(still, "key"), "open-members").df
-    rooted.drop()
-    bundles = stage(components(members.select("node", "low")), "bundle-roots").df
-    open_ = (members.select("node", "root").distinct()
-             .join(bundles.withColumnRenamed("root", "bundle"), "node"))
+    roots = checked = None
+    for _ in range(ROUNDS):
+        pairs, leads = _leaders(members)
+        close = _could_link(pairs.df, sets, num, den)
+        if roots is not None:
+            close = _new_pairs(close, roots, checked)
+        close = stage(close, "close-pairs")
+        links = stage(_verify(close.df, sets, words, num, den), "links")
+        edges = links.df.select("node", F.col("lead").alias("root"))
+        if roots is not None:
+            edges = edges.unionByName(roots.select("node", "root"))
+        roots = stage(components(edges), "components").df
+        checked = close.df if checked is None else checked.unionByName(close.df)
+        members = _still_open(members, leads.df, roots).df
+        for done in (pairs, leads, links):
+            done.drop()
+        if not members.head(1):
+            return roots
+    first = roots
+    placed = members.withColumn("u", F.xxhash64("node", "w"))
+    low = stage(placed.groupBy("key").agg(F.min("u").alias("low")), "lowest").df
+    bundles = stage(components(placed.join(low, "key").select("u", "low")), "bundle-roots").df
+    open_ = (stage(placed.select("node", "root", "u").distinct(), "open-nodes").df
+             .join(bundles.select(F.col("node").alias("u"), F.col("root").alias("bundle")), "u")
+             .select("node", "root", "bundle"))
     rows = _blocks(open_, sets)
 
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
@@ -297,5 +357,5 @@ def linked(shared: DataFrame, sets: DataFrame, words: int, num: int, den: int) -
     return stage(components(edges), "components").df
 
 
-__all__ = ["KEYS", "block_links", "deal_keys", "linked", "mix", "name", "packed", "shared_keys",
+__all__ = ["KEYS", "block_links", "deal_keys", "in_windows", "linked", "mix", "name", "packed", "shared_keys",
            "shingle_set", "similar", "unpacked"]

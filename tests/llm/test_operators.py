@@ -284,3 +284,10 @@ def test_token_counts_grow_the_cache(spark, docs, none):
     texts = {t or "" for t in TEXTS} | {"no id"}
     assert first < spark.read.parquet(cache).count() == len(texts)
     assert token_counts.token_counts(none, BYTE, cache).count() == 0
+
+
+def test_drop_copies_keeps_columns_of_clashing_names(spark):
+    rows = [(1, "a b", "x", 5), (2, "A b", "y", 6), (2, "A b", "z", 7), (None, None, "w", 8)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, _id string, _digest long")
+    got = [tuple(r) for r in exact_dedup.drop_copies(docs).collect()]
+    assert len(got) == 2 and set(got) <= set(rows)
