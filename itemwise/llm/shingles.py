@@ -294,7 +294,8 @@ def _new_pairs(pairs: DataFrame, roots: DataFrame, checked: DataFrame) -> DataFr
 def _still_open(members: DataFrame, leads: DataFrame, roots: DataFrame) -> Table:
     """key, w, node, root of the keys whose members but the lead, which has
     met them all, are not connected yet."""
-    rooted = stage(members.join(leads, "key").where("node <> lead").join(roots, "node", "left")
+    rooted = stage(members.select("key", "w", "node").join(leads, "key").where("node <> lead")
+                   .join(roots, "node", "left")
                    .select("key", "w", "node", F.coalesce("root", "node").alias("root")),
                    "rooted-members")
     apart = stage(rooted.df.groupBy("key").agg(F.min("root").alias("a"), F.max("root").alias("b"))

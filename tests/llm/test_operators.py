@@ -1,5 +1,6 @@
 """The training-data operators against brute force, on odd and plain rows."""
 
+import itertools
 import re
 import zlib
 
@@ -11,6 +12,7 @@ from tokenizers import Tokenizer
 
 from itemwise.llm import (exact_dedup, huffman, knn, mixing, ngram_join, packing, paragraphs,
                           quality, sharding, token_counts)
+from itemwise.llm import shingles as near_sets
 from itemwise.llm.common import shared_path
 from itemwise.llm.tokens import encoder
 
@@ -194,6 +196,34 @@ def test_clusters_without_a_hub(spark):
     assert {r.component_id for r in ngram_join.near_classes(df, 3, 90, 100).collect()} == {0}
 
 
+@pytest.mark.parametrize("rounds", [1, 3])
+def test_near_classes_of_texts_that_share_phrases(spark, monkeypatch, rounds):
+    """Few words, so that keys have many members that do not link."""
+    rng, called = np.random.default_rng(5), []
+    texts = []
+    for _ in range(150):
+        base = rng.choice(9, rng.integers(5, 14)).tolist()
+        texts.append(base)
+        for _ in range(int(rng.integers(0, 3))):
+            near = list(base)
+            near[int(rng.integers(len(near)))] = int(rng.integers(9))
+            texts.append(near)
+    texts = [" ".join(f"w{x}" for x in t) for t in texts]
+    blocks = near_sets._blocks
+    monkeypatch.setattr(near_sets, "ROUNDS", rounds)
+    monkeypatch.setattr(near_sets, "_blocks", lambda *a: called.append(1) or blocks(*a))
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r.doc_id: r.component_id for r in ngram_join.near_classes(df, 2, 60, 100).collect()}
+    sets = [shingles(t, 2) for t in texts]
+    root = list(range(len(texts)))
+    for a, b in itertools.combinations(range(len(texts)), 2):
+        if 100 * len(sets[a] & sets[b]) >= 60 * len(sets[a] | sets[b]) and root[a] != root[b]:
+            low, high = sorted((root[a], root[b]))
+            root = [low if v == high else v for v in root]
+    assert 50 < len(set(root)) < len(texts)
+    assert got == dict(enumerate(root)) and called
+
+
 def test_repeated_paragraphs(docs, none):
     rows = paragraphs.repeated_paragraphs(docs, 20).collect()
     found = {(r.doc_id, r.paragraph) for r in rows}
