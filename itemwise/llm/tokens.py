@@ -58,17 +58,24 @@ class PieceEncoder:
             known = {w: known[w] for w in self.again}
             self.again = set()
         # a comma or full stop after letters is always a piece of its own
-        base = {w[:-1]: None for w in new if w[-1:] in (",", ".") and w[:-1].isalpha()}
-        asked = [w for w in new if w[:-1] not in base or w[-1:] not in (",", ".")]
-        asked = list({**dict.fromkeys(asked), **{w: None for w in base if w not in known}})
+        marked = [w for w in new if w.endswith((",", ".")) and w[:-1].isalpha()]
+        if marked:
+            asked = dict.fromkeys(new)
+            for w in marked:
+                del asked[w]
+            bases = [w[:-1] for w in marked]
+            asked.update((w, None) for w in bases if w not in known)
+            asked = list(asked)
+        else:
+            asked = new
         known.update(zip(asked, self._ids([" " + w for w in asked]), strict=True))
-        for w in new:
-            if w not in known:
-                known[w] = known[w[:-1]] + self.marks[w[-1]]
+        if marked:
+            comma, stop = self.marks[","], self.marks["."]
+            known.update((w, known[b] + (comma if w[-1] == "," else stop))
+                         for w, b in zip(marked, bases, strict=True))
         out = list(map(known.__getitem__, words))
-        for word in asked:
-            if len(word) > LONGEST:
-                del known[word]
+        for word in [w for w in asked if len(w) > LONGEST]:
+            del known[word]
         self.known = known
         return out
 
