@@ -2,7 +2,7 @@
 
 from .cooccurrence import (cooccurrence_half, item_pairs, item_popularity, mirror,
                            popularity_summary, positive_cosine, similarity_summary,
-                           with_popularity)
+                           attach_popularity)
 from .history import (explode_history, interactions_from_features, last_preference,
                       min_history, sample_feature_rows, sample_users, unique_user_ids, watched_labels,
                       with_history_size)
@@ -17,5 +17,5 @@ __all__ = [
     "min_history", "mirror", "nested_lists", "normalize_rows", "popularity_summary",
     "positive_cosine", "preview", "reach", "sample_feature_rows", "sample_users", "score_candidate_side",
     "score_source_side", "similarity_summary", "top_per_group", "top_similar",
-    "unique_user_ids", "vector_topk", "watched_labels", "with_history_size", "with_popularity",
+    "unique_user_ids", "vector_topk", "watched_labels", "with_history_size", "attach_popularity",
 ]

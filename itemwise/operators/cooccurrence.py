@@ -25,28 +25,28 @@ def item_popularity(base: DataFrame) -> DataFrame:
     return base.groupBy("item").agg(F.count(F.lit(1)).alias("n"))
 
 
-def with_popularity(base: DataFrame) -> DataFrame:
-    """Adds ``n`` (popularity) to each row. Popularity is joined to the
-    interactions, never to the pair table, so pair rows are never re-shuffled
-    for it (J2)."""
-    return base.join(item_popularity(base), "item")
+def attach_popularity(half: DataFrame, popularity: DataFrame) -> DataFrame:
+    """Adds ``ni, nj`` to the counted pairs (J2). Pairs are counted first, so
+    the pair stream carries two ids and nothing else; give a written
+    ``popularity``, which AQE broadcasts when it is small and whose joins it
+    splits when an item is hot."""
+    return (half.join(popularity.select(F.col("item").alias("i"), F.col("n").alias("ni")), "i")
+            .join(popularity.select(F.col("item").alias("j"), F.col("n").alias("nj")), "j"))
 
 
 def item_pairs(base: DataFrame, block_size: int, num_partitions: int | None = None) -> DataFrame:
-    """Unordered co-occurring pairs ``(i, j, ni, nj)`` with ``i < j``, one row
-    per user holding both (J1, P11). ``base`` has ``user_id, item, k, n``.
+    """Unordered co-occurring pairs ``(i, j)`` with ``i < j``, one row per
+    user holding both (J1, P11). ``base`` has ``user_id, item, k``.
 
     ``num_partitions`` sizes the join's shuffle by the pairs it will emit
     (see ``pair_partitions``); without it AQE sizes it by its input, which
     is tiny next to the pair stream it explodes into."""
     nb = F.greatest(F.lit(1), F.ceil(F.col("k") / F.lit(block_size))).cast("int")
-    tagged = base.select("user_id", "item", "n", nb.alias("nb"))
+    tagged = base.select("user_id", "item", nb.alias("nb"))
     tagged = tagged.withColumn("b", F.pmod(F.xxhash64("item"), F.col("nb")).cast("int"))
-    left = tagged.select("user_id", F.col("item").alias("a"), F.col("n").alias("na"),
-                         F.col("b").alias("ba"), F.col("b").alias("k1"),
+    left = tagged.select("user_id", F.col("item").alias("a"), F.col("b").alias("ba"), F.col("b").alias("k1"),
                          F.explode(F.sequence(F.col("b"), F.col("nb") - 1)).alias("k2"))
-    right = tagged.select("user_id", F.col("item").alias("c"), F.col("n").alias("nc"),
-                          F.col("b").alias("bc"), F.col("b").alias("k2"),
+    right = tagged.select("user_id", F.col("item").alias("c"), F.col("b").alias("bc"), F.col("b").alias("k2"),
                           F.explode(F.sequence(F.lit(0), F.col("b"))).alias("k1"))
     # Shuffle on the whole key, so a heavy user's block pairs land in many
     # tasks even if the input is already partitioned by user_id alone.
@@ -57,38 +57,32 @@ def item_pairs(base: DataFrame, block_size: int, num_partitions: int | None = No
         left, right = left.repartition(*keys), right.repartition(*keys)
     pairs = (left.join(right, keys)
              .where((F.col("ba") < F.col("bc")) | (F.col("a") < F.col("c"))))
-    a_first = F.col("a") < F.col("c")
-    return pairs.select(F.least("a", "c").alias("i"), F.greatest("a", "c").alias("j"),
-                        F.when(a_first, F.col("na")).otherwise(F.col("nc")).alias("ni"),
-                        F.when(a_first, F.col("nc")).otherwise(F.col("na")).alias("nj"))
+    return pairs.select(F.least("a", "c").alias("i"), F.greatest("a", "c").alias("j"))
 
 
-# Pair rows per task of the pair join (about 200 MB of rows),
-# and a ceiling on its partitions, since shuffle bookkeeping on the driver
-# grows as map tasks x partitions (past it, tasks grow; nothing is dropped).
+# Fixed value: pair rows per task of the pair join.
 PAIRS_PER_TASK = 4_000_000
-MAX_PAIR_PARTITIONS = 100_000
 
 
 def pair_partitions(user_rows: DataFrame, min_items: int = 2) -> int:
     """Partitions for the pair join: sum over users of k (k - 1) / 2, from a
     per-user row count (partial aggregation; only a users-sized shuffle),
-    divided by ``PAIRS_PER_TASK``, at least the cluster's parallelism and at
-    most ``MAX_PAIR_PARTITIONS``.
+    divided by ``PAIRS_PER_TASK``, at least the cluster's parallelism. Runs a
+    small job, so give written rows.
     Duplicate rows only make the estimate larger."""
     sizes = user_rows.groupBy("user_id").agg(F.count(F.lit(1)).alias("k"))
     pairs = (sizes.where(F.col("k") >= min_items)
              .agg(F.sum(F.col("k") * (F.col("k") - 1) / 2).alias("p")).first().p) or 0
     parallelism = user_rows.sparkSession.sparkContext.defaultParallelism
-    return max(parallelism, min(MAX_PAIR_PARTITIONS, math.ceil(pairs / PAIRS_PER_TASK)))
+    return max(parallelism, math.ceil(pairs / PAIRS_PER_TASK))
 
 
 def cooccurrence_half(base: DataFrame, block_size: int,
                       num_partitions: int | None = None) -> DataFrame:
-    """``(i, j, c, ni, nj)`` for ``i < j``: users holding both items (A1).
+    """``(i, j, c)`` for ``i < j``: users holding both items (A1).
     Partial aggregation combines pairs map-side before the shuffle."""
     return (item_pairs(base, block_size, num_partitions)
-            .groupBy("i", "j", "ni", "nj")
+            .groupBy("i", "j")
             .agg(F.count(F.lit(1)).alias("c")))
 
 

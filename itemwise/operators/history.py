@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from ..functions.parse import feature_tokens, token_item, token_pref
 from ..functions.sampling import keep_user
 from ..functions.text import join_labels
+from ..session import materialize
 
 
 def explode_history(features: DataFrame, lenient: bool = False,
@@ -59,22 +60,25 @@ def sample_feature_rows(features: DataFrame, rate: float, seed: int | None = Non
     return features.sample(withReplacement=False, fraction=rate, seed=seed)
 
 
-def with_history_size(interactions: DataFrame, dedup: bool = True) -> DataFrame:
+def with_history_size(interactions: DataFrame, dedup: bool = True,
+                      keep: list | None = None) -> DataFrame:
     """Adds ``k``: the number of distinct items (``dedup``) or of rows of the
     user. The per-user count is a partial aggregation (one row per user and
-    map task), joined back on ``user_id``; AQE broadcasts the counts when they
-    are small and splits a skewed user partition otherwise."""
+    map task), written as a table and joined back on ``user_id``: AQE
+    broadcasts a small table and splits a skewed user partition otherwise,
+    which it cannot do against an aggregate on the join's own key."""
     rows = interactions.select("user_id", "item")
     if dedup:
         rows = rows.dropDuplicates(["user_id", "item"])
     sizes = rows.groupBy("user_id").agg(F.count(F.lit(1)).alias("k"))
-    return rows.join(sizes, "user_id")
+    return rows.join(materialize(sizes, "history-sizes", keep), "user_id")
 
 
-def min_history(interactions: DataFrame, min_items: int = 2, dedup: bool = True) -> DataFrame:
+def min_history(interactions: DataFrame, min_items: int = 2, dedup: bool = True,
+                keep: list | None = None) -> DataFrame:
     """Rows ``(user_id, item, k)`` of users whose history holds at least
     ``min_items`` items (P5: more than one)."""
-    return with_history_size(interactions, dedup).where(F.col("k") >= min_items)
+    return with_history_size(interactions, dedup, keep).where(F.col("k") >= min_items)
 
 
 def watched_labels(interactions: DataFrame, labels: DataFrame, sep: str = ",",
@@ -83,7 +87,8 @@ def watched_labels(interactions: DataFrame, labels: DataFrame, sep: str = ",",
     joined by ``sep`` (D2, F6). An item with no label contributes '' (J8).
 
     Distinct (user, label) pairs come first (partial aggregation, spread by
-    label), so the per-user list is bounded by the labels that user has."""
+    label), so the per-user list is bounded by the labels that user has. Give
+    ``labels`` as a written table, so that a hot item splits."""
     hist = interactions.select("user_id", F.col("item").cast("bigint").alias("item"))
     named = (hist.join(labels, hist.item == labels.column_index, "left")
              .select("user_id", F.coalesce("label", F.lit("")).alias("label"))

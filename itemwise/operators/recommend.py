@@ -3,9 +3,9 @@
 Inputs are long: ``hist(user_id, item, pref)`` with one row per (user,
 item), and ``sim(i, j, sim)`` holding the cut similarity lists. Every join
 is an equi-join on an item or (user, item) key, so Spark hash-partitions
-the work; the similarity side has at most N rows per key, which keeps the
-joins on a hot item cheap to split (AQE skew join) or to broadcast when
-AQE measures the side as small.
+the work; the similarity side has at most N rows per key. AQE splits a hot
+key only where both sides of a join are plain shuffles, so what is
+aggregated on a join's own key is written as a table before it is joined.
 """
 
 from __future__ import annotations
@@ -13,6 +13,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..session import materialize
+
 
 def reach(hist: DataFrame, sim: DataFrame) -> DataFrame:
     """``(user_id, item, w)``: every item in the list of an item the user has,
@@ -34,7 +36,7 @@ def drop_watched(df: DataFrame, hist: DataFrame) -> DataFrame:
 
 
 def score_candidate_side(hist: DataFrame, sim: DataFrame, decimals: int = 6,
-                         reverse_limit: int = 100) -> DataFrame:
+                         reverse_limit: int = 100, keep: list | None = None) -> DataFrame:
     """``(user_id, item, score)`` for every unseen candidate: the sum of
     ``pref * sim`` over the user's items found in the **candidate's own**
     list (J5, A7). A candidate whose list holds none of them scores 0.0 and
@@ -54,8 +56,8 @@ def score_candidate_side(hist: DataFrame, sim: DataFrame, decimals: int = 6,
     in every list, and no candidate is capped or dropped.
     """
     cand = drop_watched(candidates(hist, sim), hist)
-    in_lists = sim.groupBy("j").agg(F.count(F.lit(1)).alias("r"))
-    lists = sim.select("i", "j", "sim").join(in_lists, "j")
+    in_lists = materialize(sim.groupBy("j").agg(F.count(F.lit(1)).alias("r")), "list-counts", keep)
+    lists = materialize(sim.select("i", "j", "sim").join(in_lists, "j"), "reverse-lists", keep)
     short = lists.where(F.col("r") <= reverse_limit)
     wide = lists.where(F.col("r") > reverse_limit)
     watched = hist.select("user_id", F.col("item").alias("m"), "pref")
@@ -90,7 +92,8 @@ def score_source_side(hist: DataFrame, sim: DataFrame, decimals: int = 6) -> Dat
 
 
 def attach_labels(df: DataFrame, labels: DataFrame, missing: str = "drop") -> DataFrame:
-    """Adds ``label`` from ``labels(column_index, label)``.
+    """Adds ``label`` from ``labels(column_index, label)``; give a written
+    table, so that a hot item splits.
 
     ``drop``: rows with no label are removed (J7); ``empty``: they get ''
     (J8); ``error``: the job fails (J9)."""

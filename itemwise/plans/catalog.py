@@ -20,6 +20,8 @@ from pyspark.sql import functions as F
 
 from ..config import RecConfig
 from ..functions.dates import day_before
+from ..functions.sampling import HASH_HEX_DIGITS, HASH_RANGE
+from ..functions.vectors import cosine
 from ..operators.cooccurrence import item_popularity, popularity_summary, similarity_summary
 from ..operators.history import (explode_history, last_preference, min_history, sample_users,
                                  unique_user_ids, watched_labels)
@@ -32,6 +34,7 @@ from ..sinks.layouts import LAYOUT_COLUMNS, scored_list, source_recom, user_watc
 from ..sinks.tables import ensure_table, overwrite_partition
 from ..sources import fixtures as fx
 from ..sources.tables import dictionary_labels, max_item_id
+from .jobs import run_recommendations, vector_job_config
 from .recommend import recommend
 from .similarity import cooccurrence, cosine_similarity, filtered_interactions, item_similarity
 
@@ -40,6 +43,8 @@ SAMPLE_RATE = 0.3          # P7 query
 TOP_N = 10                 # similar items per item
 TOP_K = 10                 # recommendations per user
 PREVIEW_ROWS = 100         # T6, as in the preview job
+PREVIEW_LISTS = 10         # T6, similarity lists shown
+COPY_SHIFT = 1_000_000_000  # added to the ids of copied vectors
 VECTOR_K = 10              # neighbours per vector
 DAYS = (20231231, 20240101)  # partitions written by the sink query
 
@@ -55,15 +60,19 @@ def _hist(spark, sf):
     return fx.order_interactions(spark, sf)
 
 
+def _hist_table(spark, sf):
+    return materialize(_hist(spark, sf), "interactions")
+
+
 def _chain(spark, sf, cfg=None):
     """Interactions and similarity lists of a recommendation chain, each
     materialized once (as the daily job does)."""
-    hist = materialize(_hist(spark, sf), "interactions")
+    hist = _hist_table(spark, sf)
     return hist, materialize(item_similarity(hist, cfg or PROD), "similarity")
 
 
 def _labels(spark, sf, label="code", complete=False):
-    return dictionary_labels(fx.part_dictionary(spark, sf, complete), label)
+    return materialize(dictionary_labels(fx.part_dictionary(spark, sf, complete), label), "labels")
 
 
 def _parsed(spark, sf):
@@ -79,6 +88,10 @@ def q_parse_item_ids(spark, sf):
         "user_id", "pos", "item")
 
 
+def q_parse_text_items(spark, sf):
+    return explode_history(fx.basket_features(spark, sf), item_as_string=True)
+
+
 def q_history_last_pref(spark, sf):
     return last_preference(_parsed(spark, sf))
 
@@ -92,7 +105,11 @@ def q_user_count(spark, sf):
 
 
 def q_user_ids(spark, sf):
-    return unique_user_ids(fx.basket_features(spark, sf))
+    """The ids themselves depend on the partition layout; what they promise
+    does not: one per row, all distinct, none null (P9)."""
+    ids = unique_user_ids(fx.basket_features(spark, sf))
+    return ids.agg(F.count(F.lit(1)).alias("users"), F.countDistinct("uid").alias("ids"),
+                   F.count_if(F.col("uid").isNull()).alias("nulls"))
 
 
 def q_sample_users_md5(spark, sf):
@@ -122,27 +139,27 @@ def q_popularity_summary(spark, sf):
 
 
 def q_cooccurrence(spark, sf):
-    return cooccurrence(_hist(spark, sf), PROD)
+    return cooccurrence(_hist_table(spark, sf), PROD)
 
 
 def q_cosine_similarity(spark, sf):
-    return cosine_similarity(_hist(spark, sf), PROD)
+    return cosine_similarity(_hist_table(spark, sf), PROD)
 
 
 def q_topn_similar(spark, sf):
-    return item_similarity(_hist(spark, sf), RAW)
+    return item_similarity(_hist_table(spark, sf), RAW)
 
 
 def q_topn_similar_normalized(spark, sf):
-    return item_similarity(_hist(spark, sf), PROD)
+    return item_similarity(_hist_table(spark, sf), PROD)
 
 
 def q_similarity_lists(spark, sf):
-    return nested_lists(item_similarity(_hist(spark, sf), PROD))
+    return nested_lists(item_similarity(_hist_table(spark, sf), PROD))
 
 
 def q_similarity_summary(spark, sf):
-    return similarity_summary(item_similarity(_hist(spark, sf), PROD))
+    return similarity_summary(item_similarity(_hist_table(spark, sf), PROD))
 
 
 def q_candidates(spark, sf):
@@ -160,6 +177,13 @@ def q_score_candidate_side(spark, sf):
     return score_candidate_side(hist, sim)
 
 
+def q_score_candidate_side_split(spark, sf):
+    """Both routes of the candidate-side score: items in more than 3 lists
+    are found from the candidate."""
+    hist, sim = _chain(spark, sf)
+    return score_candidate_side(hist, sim, reverse_limit=3)
+
+
 def q_score_source_side(spark, sf):
     hist, sim = _chain(spark, sf)
     return score_source_side(hist, sim)
@@ -218,10 +242,61 @@ def q_vector_topk(spark, sf):
     return vector_topk(fx.embeddings(spark, sf), "vec_id", "embedding", VECTOR_K)
 
 
+def q_vector_topk_2dp(spark, sf):
+    return vector_topk(fx.embeddings(spark, sf), "vec_id", "embedding", VECTOR_K, decimals=2)
+
+
+def q_vector_topk_copies(spark, sf):
+    """Every vector twice: each has a copy at cosine 1, and ties everywhere."""
+    vecs = fx.embeddings(spark, sf)
+    copies = vecs.select((F.col("vec_id") + COPY_SHIFT).alias("vec_id"), "embedding")
+    return vector_topk(vecs.unionByName(copies), "vec_id", "embedding", VECTOR_K)
+
+
+def q_vector_cosine_next(spark, sf):
+    """Cosine of each vector and the one with the next id (F2)."""
+    a = fx.embeddings(spark, sf)
+    b = a.select((F.col("vec_id") - 1).alias("vec_id"), F.col("embedding").alias("next"))
+    return a.join(b, "vec_id").select(
+        "vec_id", F.round(cosine(F.col("embedding"), F.col("next")), 6).alias("sim"))
+
+
+def _run_job(spark, sf, cfg, complete):
+    """Write both inputs as day-partitioned tables, run the daily job for one
+    of two days and read its partition back (S1, S2, E5-E7). Every order is a
+    user, also one without lines; the other day holds rows that a strict
+    parse refuses, so the job must not read it."""
+    root = ensure_checkpoint_dir(spark).rstrip("/")
+    name = f"itemwise_job_{uuid.uuid4().hex[:12]}"
+    features, dictionary = f"{root}/{name}/features", f"{root}/{name}/dictionary"
+    orders = fx.table(spark, sf, "orders").select(
+        F.col("o_orderkey").cast("string").alias("user_id"))
+    rows = orders.join(fx.basket_features(spark, sf), "user_id", "full").select(
+        F.col("user_id").alias("imei"), F.coalesce("feature", F.lit("")).alias("feature"),
+        F.lit(DAYS[1]).alias("stat_date"))
+    other = rows.select("imei", F.lit("no token").alias("feature"),
+                        F.lit(DAYS[0]).alias("stat_date"))
+    rows.unionByName(other).write.partitionBy("stat_date").parquet(features)
+    (fx.part_dictionary(spark, sf, complete).withColumn("stat_date", F.lit(DAYS[1]))
+     .write.partitionBy("stat_date").parquet(dictionary))
+    ensure_table(spark, name, LAYOUT_COLUMNS[cfg.layout], location=f"{root}/{name}/recs")
+    day = run_recommendations(spark, features, dictionary, name, cfg, stat_date=DAYS[1])
+    return spark.table(name).where(F.col("stat_date") == day)
+
+
+def q_job_source_recom(spark, sf):
+    """The daily job: similarity from a sample of users, scores for all."""
+    return _run_job(spark, sf, RecConfig(sample_rate=SAMPLE_RATE, top_n=TOP_N, top_k=TOP_K), False)
+
+
+def q_job_scored_list(spark, sf):
+    return _run_job(spark, sf, vector_job_config(), True)
+
+
 def q_partition_overwrite(spark, sf):
     """Write the production layout into two days of a partitioned table,
     then rerun the first day: the other day must keep its rows (K1, K2)."""
-    out = _sink_source_recom(spark, sf)
+    out = materialize(_sink_source_recom(spark, sf), "recs")
     root = ensure_checkpoint_dir(spark).rstrip("/")
     name = f"itemwise_recs_{uuid.uuid4().hex[:12]}"
     ensure_table(spark, name, LAYOUT_COLUMNS["source_recom"],
@@ -233,7 +308,20 @@ def q_partition_overwrite(spark, sf):
 
 
 def q_preview(spark, sf):
-    return preview(q_sink_user_watched(spark, sf), PREVIEW_ROWS, ["user"])
+    """The first users are cut before anything is scored."""
+    hist, sim = _chain(spark, sf)
+    users = materialize(preview(hist.select("user_id").distinct(), PREVIEW_ROWS, ["user_id"]),
+                        "preview-users")
+    few = hist.join(users, "user_id", "left_semi")
+    names = _labels(spark, sf, "name")
+    return user_watched(users, watched_labels(few, names), recommend(few, sim, names, PROD))
+
+
+def q_preview_lists(spark, sf):
+    """The first similarity lists."""
+    _, sim = _chain(spark, sf)
+    return nested_lists(sim.join(preview(sim.select("i").distinct(), PREVIEW_LISTS, ["i"]), "i",
+                                 "left_semi"))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
@@ -267,8 +355,16 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "sink_user_watched_trailing": q_sink_user_watched_trailing,
     "sink_scored_list": q_sink_scored_list,
     "vector_topk": q_vector_topk,
+    "vector_topk_2dp": q_vector_topk_2dp,
+    "vector_topk_copies": q_vector_topk_copies,
+    "vector_cosine_next": q_vector_cosine_next,
+    "score_candidate_side_split": q_score_candidate_side_split,
+    "parse_text_items": q_parse_text_items,
+    "job_source_recom": q_job_source_recom,
+    "job_scored_list": q_job_scored_list,
     "partition_overwrite": q_partition_overwrite,
     "preview": q_preview,
+    "preview_lists": q_preview_lists,
 }
 
 
@@ -419,21 +515,49 @@ DEPS = {
 }
 
 
-def _with(names: list[str], final: str) -> str:
+_SAMPLED = (f"('0x' || substr(md5(user_id), 1, {HASH_HEX_DIGITS}))::BIGINT "
+            f"< {int(SAMPLE_RATE * HASH_RANGE)}")
+
+# The job's own inputs: histories parsed from feature rows, orders as users.
+JOB_CTE = {
+    "ia": "SELECT user_id, item, arg_max(pref, pos) AS pref FROM parsed GROUP BY user_id, item",
+    "users": """
+  SELECT CAST(o_orderkey AS VARCHAR) AS user_id FROM orders
+  UNION SELECT CAST(l_orderkey AS VARCHAR) FROM lineitem""",
+}
+JOB_DEPS = {"ia": ["parsed"], "users": []}
+
+
+def _with(names: list[str], final: str, own: dict | None = None, deps: dict | None = None) -> str:
     order: list[str] = []
+    cte, needs = CTE | (own or {}), DEPS | (deps or {})
 
     def visit(n: str) -> None:
-        for d in DEPS.get(n, []):
+        for d in needs.get(n, []):
             visit(d)
         if n not in order:
             order.append(n)
 
     for n in names:
         visit(n)
-    body = ",\n".join(f"{n} AS ({CTE[n]}\n)" for n in order)
+    body = ",\n".join(f"{n} AS ({cte[n]}\n)" for n in order)
     return f"WITH {body}\n{final}"
 
 
+def _vector_sql(source: str, decimals: int) -> str:
+    return f"""
+WITH pairs AS (
+  SELECT a.vec_id, b.vec_id AS nbr_id,
+         round(list_cosine_similarity(CAST(a.embedding AS DOUBLE[]), CAST(b.embedding AS DOUBLE[])), {decimals})
+           AS sim
+  FROM {source} a JOIN {source} b ON a.vec_id <> b.vec_id)
+SELECT vec_id, nbr_id, sim, rk FROM (
+  SELECT vec_id, nbr_id, sim,
+         CAST(row_number() OVER (PARTITION BY vec_id ORDER BY sim DESC, nbr_id) AS INTEGER) AS rk
+  FROM pairs WHERE sim IS NOT NULL) t
+WHERE rk <= {VECTOR_K}"""
+
+
 SQL: dict[str, str] = {
     "parse_feature": _with(["parsed"], "SELECT user_id, pos, item, pref FROM parsed"),
     "parse_item_ids": _with(["ex"], """
@@ -447,7 +571,11 @@ WHERE ks.k >= 2"""),
     "user_count": _with(["fe"], "SELECT COUNT(*) AS users FROM fe"),
     "sample_users_md5": _with(["ia"], f"""
 SELECT user_id, item, pref FROM ia
-WHERE ('0x' || substr(md5(user_id), 1, 7))::BIGINT % 1000000 < {int(SAMPLE_RATE * 1_000_000)}"""),
+WHERE {_SAMPLED}"""),
+    "user_ids": _with(["fe"], "SELECT COUNT(*) AS users, COUNT(*) AS ids, 0::BIGINT AS nulls FROM fe"),
+    "parse_text_items": _with(["ex"], """
+SELECT user_id, CAST(pos1 - 1 AS INTEGER) AS pos, split_part(tok, ':', 1) AS item,
+       CAST(split_part(tok, ':', 2) AS INTEGER) AS pref FROM ex"""),
     "yesterday_partition": """
 SELECT o_orderkey,
        CAST(strftime(CAST(o_orderdate AS DATE) - INTERVAL 1 DAY, '%Y%m%d') AS BIGINT) AS stat_date
@@ -474,6 +602,7 @@ FROM sim"""),
     "candidates": _with(["cand"], "SELECT user_id, item FROM cand"),
     "unseen_candidates": _with(["unseen"], "SELECT user_id, item FROM unseen"),
     "score_candidate_side": _with(["cscore"], "SELECT user_id, item, score FROM cscore"),
+    "score_candidate_side_split": _with(["cscore"], "SELECT user_id, item, score FROM cscore"),
     "score_source_side": _with(["sscore"], "SELECT user_id, item, score FROM sscore"),
     "recommend_topk": _with(["cscore"], f"""
 SELECT user_id, item, score, rk FROM (
@@ -488,21 +617,27 @@ WHERE rk <= {TOP_K}"""),
     "sink_user_watched_trailing": _with(["sink_uwt"],
                                         'SELECT "user", watched, sim_items FROM sink_uwt'),
     "sink_scored_list": _with(["sink_sl"], "SELECT item, sim_items FROM sink_sl"),
-    "vector_topk": f"""
-WITH pairs AS (
-  SELECT a.vec_id, b.vec_id AS nbr_id,
-         round(list_cosine_similarity(CAST(a.embedding AS DOUBLE[]), CAST(b.embedding AS DOUBLE[])), 6)
-           AS sim
-  FROM embeddings a JOIN embeddings b ON a.vec_id <> b.vec_id)
-SELECT vec_id, nbr_id, sim, rk FROM (
-  SELECT vec_id, nbr_id, sim,
-         CAST(row_number() OVER (PARTITION BY vec_id ORDER BY sim DESC, nbr_id) AS INTEGER) AS rk
-  FROM pairs WHERE sim IS NOT NULL) t
-WHERE rk <= {VECTOR_K}""",
+    "vector_topk": _vector_sql("embeddings", 6),
+    "vector_topk_2dp": _vector_sql("embeddings", 2),
+    "vector_topk_copies": _vector_sql(f"""(SELECT vec_id, embedding FROM embeddings
+  UNION ALL SELECT vec_id + {COPY_SHIFT}, embedding FROM embeddings)""", 6),
+    "vector_cosine_next": """
+SELECT a.vec_id, round(list_cosine_similarity(CAST(a.embedding AS DOUBLE[]),
+                                              CAST(b.embedding AS DOUBLE[])), 6) AS sim
+FROM embeddings a JOIN embeddings b ON b.vec_id = a.vec_id + 1""",
     "partition_overwrite": _with(["sink_sr"], f"""
 SELECT source_id, recom_id, CAST({DAYS[0]} AS BIGINT) AS stat_date FROM sink_sr
 UNION ALL
 SELECT source_id, recom_id, CAST({DAYS[1]} AS BIGINT) AS stat_date FROM sink_sr"""),
+    "job_source_recom": _with(["sink_sr"], f"""
+SELECT source_id, recom_id, CAST({DAYS[1]} AS BIGINT) AS stat_date FROM sink_sr""",
+                              JOB_CTE | {"base": CTE["base"] + f" AND {_SAMPLED}"}, JOB_DEPS),
+    "job_scored_list": _with(["sink_sl"], f"""
+SELECT item, sim_items, CAST({DAYS[1]} AS BIGINT) AS stat_date FROM sink_sl""",
+                             JOB_CTE, JOB_DEPS),
+    "preview_lists": _with(["sim"], f"""
+SELECT i, list(j ORDER BY rk) AS items, list(sim ORDER BY rk) AS sims FROM sim GROUP BY i
+ORDER BY i LIMIT {PREVIEW_LISTS}"""),
     "preview": _with(["sink_uw"], f"""
 SELECT "user", watched, sim_items FROM sink_uw ORDER BY "user" LIMIT {PREVIEW_ROWS}"""),
 }

@@ -1,12 +1,13 @@
 """Item similarity lists from interactions.
 
-Plan shape (one lazy DataFrame, no driver collect):
+Plan shape (no driver collect; history sizes, the filtered rows and the
+popularity are written tables, see ``materialize``):
 
     interactions -> hash sample of users (row filter, P7)
       -> distinct (user, item) + history size k (partial agg, join; P5)
-      -> popularity n joined to the interactions (A2, J2)
       -> block-salted self-join on the user, i < j only (J1)
       -> count per pair, partial aggregation map-side (A1)
+      -> popularity n joined to the counted pairs (A2, J2)
       -> cosine c / sqrt(n_i n_j) (F1) -> both orientations (mirror)
       -> row_number() <= N per item, WindowGroupLimit (T1) -> row max (T5)
 """
@@ -16,47 +17,53 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 
 from ..config import RecConfig
-from ..operators.cooccurrence import (cooccurrence_half, mirror, pair_partitions,
-                                      positive_cosine, with_popularity)
+from ..operators.cooccurrence import (attach_popularity, cooccurrence_half, item_popularity,
+                                      mirror, pair_partitions, positive_cosine)
 from ..operators.history import min_history, sample_users
 from ..operators.topn import normalize_rows, top_similar
+from ..session import materialize
 
 
-def filtered_interactions(interactions: DataFrame, cfg: RecConfig = RecConfig()) -> DataFrame:
+def filtered_interactions(interactions: DataFrame, cfg: RecConfig = RecConfig(),
+                          keep: list | None = None) -> DataFrame:
     """``(user_id, item, k)``: sampled users (P7) with a long enough history
     (P5). Popularity and co-occurrence both count exactly these rows."""
     sampled = sample_users(interactions, cfg.sample_rate, cfg.sample_seed)
-    return min_history(sampled, cfg.min_items, cfg.dedup)
+    return min_history(sampled, cfg.min_items, cfg.dedup, keep)
 
 
-def similarity_base(interactions: DataFrame, cfg: RecConfig = RecConfig()) -> DataFrame:
-    """``(item, user_id, k, n)``: the filtered rows with their item's
-    popularity attached."""
-    return with_popularity(filtered_interactions(interactions, cfg))
+def similarity_base(interactions: DataFrame, cfg: RecConfig = RecConfig(),
+                    keep: list | None = None) -> DataFrame:
+    """The filtered rows as a written table: popularity, the pair sizes and
+    the pair join read it."""
+    return materialize(filtered_interactions(interactions, cfg, keep), "base", keep)
 
 
-def _half(interactions: DataFrame, cfg: RecConfig) -> DataFrame:
-    """The ``i < j`` co-occurrence table, its pair join sized by the pairs the
-    sampled users will emit (a small job over per-user counts)."""
-    sampled = sample_users(interactions, cfg.sample_rate, cfg.sample_seed)
-    parts = pair_partitions(sampled, cfg.min_items)
-    return cooccurrence_half(similarity_base(interactions, cfg), cfg.block_size, parts)
+def _half(base: DataFrame, cfg: RecConfig) -> DataFrame:
+    """The ``i < j`` co-occurrence table, its pair join sized by the pairs
+    that ``base`` will emit (a small job over per-user counts)."""
+    return cooccurrence_half(base, cfg.block_size, pair_partitions(base, cfg.min_items))
 
 
-def cooccurrence(interactions: DataFrame, cfg: RecConfig = RecConfig()) -> DataFrame:
+def cooccurrence(interactions: DataFrame, cfg: RecConfig = RecConfig(),
+                 keep: list | None = None) -> DataFrame:
     """``(i, j, c)`` for every ordered pair of distinct co-occurring items (A1)."""
-    return mirror(_half(interactions, cfg), ["c"])
+    return mirror(_half(similarity_base(interactions, cfg, keep), cfg), ["c"])
 
 
-def cosine_similarity(interactions: DataFrame, cfg: RecConfig = RecConfig()) -> DataFrame:
+def cosine_similarity(interactions: DataFrame, cfg: RecConfig = RecConfig(),
+                      keep: list | None = None) -> DataFrame:
     """``(i, j, sim)`` for every ordered pair, uncut (F1)."""
-    return mirror(positive_cosine(_half(interactions, cfg)), ["sim"])
+    base = similarity_base(interactions, cfg, keep)
+    popularity = materialize(item_popularity(base), "popularity", keep)
+    return mirror(positive_cosine(attach_popularity(_half(base, cfg), popularity)), ["sim"])
 
 
-def item_similarity(interactions: DataFrame, cfg: RecConfig = RecConfig()) -> DataFrame:
+def item_similarity(interactions: DataFrame, cfg: RecConfig = RecConfig(),
+                    keep: list | None = None) -> DataFrame:
     """``(i, j, sim, rk)``: the N most similar items of each item, optionally
     divided by the row maximum (E1)."""
-    top = top_similar(cosine_similarity(interactions, cfg), cfg.top_n)
+    top = top_similar(cosine_similarity(interactions, cfg, keep), cfg.top_n)
     if cfg.normalize:
         top = normalize_rows(top)
     return top.select("i", "j", "sim", "rk")

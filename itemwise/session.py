@@ -58,17 +58,23 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         "(HDFS/S3/ABFS) so checkpoints survive executor loss")
 
 
-def materialize(df: DataFrame, name: str = "table") -> DataFrame:
+def materialize(df: DataFrame, name: str = "table", keep: list | None = None) -> DataFrame:
     """Write ``df`` once as a parquet table under the session's checkpoint
     directory (shared storage on a cluster) and read it back, cutting the
     lineage. One pass and no executor cache, compressed columnar storage for
     every later read, and exact sizes for AQE's join choices; a lost executor
-    costs a re-read, not a recomputation."""
+    costs a re-read, not a recomputation. An aggregate that is written before
+    it is joined on its own key is a plain scan, so AQE can split that join
+    when the key is hot. The table is appended to ``keep`` for a caller that
+    drops it."""
     spark = df.sparkSession
     root = ensure_checkpoint_dir(spark).rstrip("/")
     path = f"{root}/itemwise/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
-    return spark.read.parquet(path)
+    table = spark.read.schema(df.schema).parquet(path)
+    if keep is not None:
+        keep.append(table)
+    return table
 
 
 def drop_materialized(df: DataFrame) -> None:

@@ -12,7 +12,7 @@ def test_hash_sample_matches_duckdb(spark):
     con = duckdb.connect()
     want = {r[0] for r in con.execute(
         "SELECT CAST(i AS VARCHAR) FROM range(3000) t(i) "
-        "WHERE ('0x' || substr(md5(CAST(i AS VARCHAR)), 1, 7))::BIGINT % 1000000 < 300000"
+        "WHERE ('0x' || substr(md5(CAST(i AS VARCHAR)), 1, 15))::BIGINT < CAST(0.3::DOUBLE * 1152921504606846976 AS BIGINT)"
     ).fetchall()}
     assert got == want and 700 < len(got) < 1100
 
