@@ -103,7 +103,8 @@ def test_materialized_tables_are_dropped(spark, inputs):
     labels = read_dictionary(spark, f"{inputs}/items", DAYS[0])
     keep = []
     out = build_output(feats, labels, RecConfig(), keep=keep)
-    assert out.count() == 150 and len(keep) == 2
+    # interactions, labels, history sizes, base, popularity, similarity, list counts and lists
+    assert out.count() == 150 and len(keep) == 8
     folders = [df.inputFiles()[0].rsplit("/", 1)[0].replace("file:", "") for df in keep]
     assert all(os.path.isdir(f) for f in folders)
     for df in keep:
