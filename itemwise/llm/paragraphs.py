@@ -1,4 +1,4 @@
-"""Substring deduplication by paragraph MinHash banding.
+"""Substring deduplication by paragraph MinHash banding and exact passages.
 
 A paragraph is a line of a text with at least ``MIN_WORDS`` words. Its
 distinct five-word shingles give a MinHash signature of ``BANDS`` bands of
@@ -8,25 +8,39 @@ that share a band are verified by exact Jaccard (``shingles.linked``) and
 clustered by components; of each cluster the first paragraph stays, by doc_id
 and place, and the others are removed.
 
+Passages find what whole lines do not: runs of words inside longer lines. A
+passage is ``MIN_WORDS`` words of one line that begin at a chosen word, the
+one of smallest hash (of ``CONTEXT`` words) in any ``WINDOW`` in a row. The
+choice depends on the words of the window alone, so both copies of a run of
+MIN_WORDS + WINDOW - 1 words (29) or more choose alike and hold at least one
+whole common passage (of equal ones that overlap in a text, as those of a word
+said over and over do, the first stands for all). Equal passages are one cluster; the first occurrence
+stays, and of the others what no removed line and no later removed passage
+covers is a row, so rows of a text do not overlap.
+
 Contract: words as in the n-gram join (A-Z lower-cased, ASCII blanks). Equal
 shingle sets are one node, so thousands of copies of a passage are compared
 once. Null and empty texts have no paragraphs; rows repeated with the same
 doc_id are one document; an empty table returns none; other columns are not
-read. Result: one row per paragraph to remove: doc_id, paragraph (line
-number from 0), start and length (characters), n_words, cluster_id, keep_doc_id
-and keep_paragraph.
+read. Result: one row per paragraph or passage to remove: doc_id, paragraph
+(line number from 0, of a passage the line it begins in), start and length
+(characters), n_words, cluster_id, keep_doc_id and keep_paragraph.
 """
 
 from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+import xxhash
+from pyspark import TaskContext
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from itemwise.llm.common import id_key, plain, stage
 from itemwise.llm.shingles import (
+    HELD_KEYS,
     KEYS,
+    LOWER,
     deal_keys,
     in_windows,
     linked,
@@ -39,21 +53,105 @@ from itemwise.llm.shingles import (
 from itemwise.llm.tokens import in_slices
 
 WORDS, NUM, DEN, BANDS, ROWS, MIN_WORDS = 5, 80, 100, 20, 4, 20
+#: Chosen words: the smallest hash of ``CONTEXT`` words in ``WINDOW`` places.
+CONTEXT, WINDOW = 3, 10
+_P = np.uint64(0x9E3779B97F4A7C15)
+_BLANK = np.isin(np.arange(256), list(b" \t\n\r\x0b\x0c"))
 _SEEDS = mix(np.arange(1, BANDS * ROWS + 1, dtype=np.uint64))
 _BAND = mix(np.arange(1001, BANDS + 1001, dtype=np.uint64))
 
 
 def paragraphs(text: str | None, min_words: int = MIN_WORDS):
-    """(line number, start, length, words, bytes, shingles) of the paragraphs."""
-    start = 0
+    """(line number, first word, start, length, words, bytes, shingles) of the
+    paragraphs."""
+    at = start = 0
     for i, line in enumerate((text or "").split("\n")):
         raw = line.encode("utf-8", "surrogatepass")
         n = len(raw.split())
         if n >= max(min_words, 1):
-            yield i, start, len(line), n, raw, shingle_set(raw, WORDS)
+            yield i, at, start, len(line), n, raw, shingle_set(raw, WORDS)
+        at += n
         start += len(line) + 1
 
 
+def _runs(h: np.ndarray, n: int) -> np.ndarray:
+    """A hash of every ``n`` words in a row."""
+    out = np.full(len(h) - n + 1, n, dtype=np.uint64)
+    for i in range(n):
+        out = out * _P + h[i: len(out) + i]
+    return mix(out)
+
+
+def _sliding(x: np.ndarray, n: int, least: bool) -> np.ndarray:
+    """Minimum or maximum of every ``n`` values in a row."""
+    best, width = np.minimum if least else np.maximum, 1
+    while width < n:
+        step = min(width, n - width)
+        x = best(x[:-step], x[step:])
+        width += step
+    return x
+
+
+def _no_overlap(row: np.ndarray, name_: np.ndarray, at: np.ndarray, size: int) -> np.ndarray:
+    """Which passages stay so that no equal ones of a text overlap, as those of
+    a word said over and over do; of every name some stay."""
+    order = np.lexsort((at, name_, row))
+    close = np.zeros(len(at), dtype=bool)
+    a, b = order[:-1], order[1:]
+    close[1:] = (row[a] == row[b]) & (name_[a] == name_[b]) & (at[b] - at[a] < size)
+    stay = np.ones(len(at), dtype=bool)
+    last = 0
+    for i in np.flatnonzero(close):
+        if not close[i - 1]:
+            last = at[order[i - 1]]
+        if at[order[i]] - last < size:
+            stay[order[i]] = False
+        else:
+            last = at[order[i]]
+    return stay
+
+
+def passages(texts: list[str | None], size: int = MIN_WORDS) -> dict[str, np.ndarray]:
+    """All passages of some texts: row (place in the list), name, at (first
+    word), line, start and length (characters)."""
+    raws = [(t or "").encode("utf-8", "surrogatepass") for t in texts]
+    joined = b"\n".join(raws)
+    found = joined.translate(LOWER).split()
+    names = ["row", "name", "at", "line", "start", "length"]
+    need = max(size, CONTEXT + WINDOW - 1)
+    if len(found) < need:
+        return {k: np.zeros(0, dtype=np.int64) for k in names}
+    h = np.fromiter(map(xxhash.xxh3_64_intdigest, found), dtype=np.uint64, count=len(found))
+    raw = np.frombuffer(joined, dtype=np.uint8)
+    word = ~_BLANK[raw]
+    begin = np.flatnonzero(word & np.concatenate([[True], ~word[:-1]]))
+    end = np.flatnonzero(word & np.concatenate([~word[1:], [True]])) + 1
+    texts_at = np.cumsum([0, *[len(r) + 1 for r in raws]])[:-1]
+    breaks = np.flatnonzero(raw == 10)
+    owner = np.searchsorted(breaks, begin)
+    rare = _runs(h, CONTEXT)
+    low = _sliding(rare, WINDOW, least=True)
+    # a window over two owners chooses nothing
+    low[owner[: len(low)] != owner[CONTEXT + WINDOW - 2:]] = 0
+    edge = np.zeros(WINDOW - 1, dtype=np.uint64)
+    chosen = np.flatnonzero(rare == _sliding(np.concatenate([edge, low, edge]), WINDOW, least=False))
+    chosen = chosen[chosen + size <= len(h)]
+    chosen = chosen[owner[chosen] == owner[chosen + size - 1]]
+    name_ = np.full(len(chosen), size, dtype=np.uint64)
+    for i in range(size):
+        name_ = name_ * _P + h[chosen + i]
+    row = np.searchsorted(texts_at, begin[chosen], side="right") - 1
+    apart = _no_overlap(row, name_, chosen, size)
+    row, name_, chosen = row[apart], name_[apart], chosen[apart]
+    base = texts_at[row]
+    inner = np.flatnonzero((raw & 0xC0) == 0x80)  # bytes that begin no character
+    place = [x - np.searchsorted(inner, x) for x in (base, begin[chosen], end[chosen + size - 1])]
+    return dict(zip(names, [
+        row, mix(name_).view(np.int64), chosen - np.searchsorted(begin, base),
+        np.searchsorted(breaks, begin[chosen]) - np.searchsorted(breaks, base),
+        place[1] - place[0], place[2] - place[1]], strict=True))
+
+
 def bands(shingles: np.ndarray) -> np.ndarray:
     """One key per band of the MinHash signature."""
     low = np.full(len(_SEEDS), np.iinfo(np.uint64).max, dtype=np.uint64)
@@ -67,6 +165,93 @@ def bands(shingles: np.ndarray) -> np.ndarray:
     return key
 
 
+def _dealt(batches, size: int):
+    """Passages of one task as rows of ``_PASSAGES``, dealt like ``deal_keys``
+    does: of those that are equal here one goes to the other tasks (salt 0),
+    the rest stay on a salt of this task."""
+    salt = TaskContext.get().partitionId() + 1
+    held, count, flushed = [], 0, 0
+
+    def deal():
+        table = pa.Table.from_batches(held).combine_chunks()
+        order = np.argsort(table["name"].to_numpy(), kind="stable")
+        table = table.take(pa.array(order))
+        names = table["name"].to_numpy()
+        head = np.ones(len(names), dtype=bool)
+        head[1:] = names[1:] != names[:-1]
+        many = ~head
+        many[:-1] |= ~head[1:]
+        table = table.append_column("salt", pa.array(
+            np.where(head, 0, salt + (flushed << 32)).astype(np.int64)))
+        yield from table.append_column("many", pa.array(many)).to_batches(max_chunksize=1 << 16)
+
+    for batch in batches:
+        for part in in_slices(batch, 256):
+            got = passages(part.column("text").to_pylist(), size)
+            row = pa.array(got.pop("row"))
+            if not len(row):
+                continue
+            held.append(pa.RecordBatch.from_arrays(
+                [part.column("doc_id").take(row), part.column("h").take(row),
+                 *[pa.array(x, pa.int64()) for x in got.values()]],
+                names=["doc_id", "h", "name", "at", "paragraph", "start", "length"]))
+            count += len(row)
+            if count >= HELD_KEYS:
+                yield from deal()
+                held, count, flushed = [], 0, flushed + 1
+    if held:
+        yield from deal()
+
+
+_PASSAGES = ("doc_id long, h long, name long, at long, paragraph long, start long, length long, "
+             "salt long, many boolean")
+
+
+def repeated_passages(named: DataFrame, size: int) -> DataFrame:
+    """Passages that an earlier place has too, but for those that overlap it;
+    they overlap each other."""
+    group = Window.partitionBy("name", "salt")
+    shared = stage(
+        named.mapInArrow(lambda batches: _dealt(batches, size), _PASSAGES)
+        .withColumn("other", (F.count("*").over(group) > 1) | F.max("many").over(group))
+        .where("other").drop("other", "salt", "many"), "shared-passages").df
+    first = stage(shared.groupBy("name").agg(
+        F.min(F.struct("doc_id", "paragraph", "start", "h", "at")).alias("keep")),
+        "first-passages").df
+    return (shared.join(first, "name")
+            .where(f"not (doc_id <=> keep.doc_id and h = keep.h and at < keep.at + {size})")
+            .select("doc_id", "h", "at", F.lit(size).cast("long").alias("n_words"), "paragraph",
+                    "start", "length", F.col("name").alias("cluster_id"),
+                    F.col("keep.doc_id").alias("keep_doc_id"),
+                    F.col("keep.paragraph").alias("keep_paragraph")))
+
+
+def _apart(lines: DataFrame, parts: DataFrame) -> DataFrame:
+    """Removed lines, and of the removed passages the words that no removed
+    line and no later removed passage of the text has."""
+    both = (lines.select(*parts.columns, F.lit(0).alias("kind"))
+            .unionByName(parts.withColumn("kind", F.lit(1)))
+            .withColumn("till", F.col("at") + F.col("n_words"))
+            .withColumn("stop", F.col("start") + F.col("length")))
+    order = Window.partitionBy("doc_id", "h").orderBy("at", "kind")
+    line = F.when(F.col("kind") == 0, F.struct("till", "stop", "paragraph"))
+    seen = (both.withColumn("line", F.last(line, ignorenulls=True).over(
+                order.rowsBetween(Window.unboundedPreceding, -1)))
+            .withColumn("next", F.lead(F.struct("at", "start")).over(order)))
+    part = F.col("kind") == 1
+    cut = part & F.coalesce(F.col("line.till") > F.col("at"), F.lit(False))
+    met = part & F.coalesce(F.col("next.at") < F.col("till"), F.lit(False))
+    start = F.when(cut, F.col("line.stop") + 1).otherwise(F.col("start"))
+    at = F.when(cut, F.col("line.till")).otherwise(F.col("at"))
+    n_words = F.when(met, F.col("next.at")).otherwise(F.col("till")) - at
+    length = F.when(met, F.col("next.start")).otherwise(F.col("stop")) - start
+    return seen.select(
+        "doc_id", F.when(cut, F.col("line.paragraph") + 1).otherwise(F.col("paragraph"))
+        .alias("paragraph"), start.alias("start"), length.alias("length"),
+        n_words.alias("n_words"), "cluster_id", "keep_doc_id", "keep_paragraph").where(
+        "n_words > 0")
+
+
 def repeated_paragraphs(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     """Paragraphs to remove; see the module's contract."""
     named = plain(docs).withColumn("h", F.xxhash64("text"))
@@ -74,14 +259,14 @@ def repeated_paragraphs(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFram
     def spans(batches):
         for batch in batches:
             for part in in_slices(batch):
-                rows = [(d, h, i, s, n, w, len(x), name(x)) for d, h, t in
+                rows = [(d, h, i, a, s, n, w, len(x), name(x)) for d, h, t in
                         zip(*[part.column(c).to_pylist() for c in ("doc_id", "h", "text")],
                             strict=True)
-                        for i, s, n, w, _, x in paragraphs(t, min_words)]
+                        for i, a, s, n, w, _, x in paragraphs(t, min_words)]
                 if rows:
                     yield pa.RecordBatch.from_arrays(
                         [pa.array(c, pa.int64()) for c in zip(*rows, strict=True)],
-                        names=["doc_id", "h", "paragraph", "start", "length", "n_words", "n",
+                        names=["doc_id", "h", "paragraph", "at", "start", "length", "n_words", "n",
                                "node"])
 
     def banded(batches):
@@ -109,8 +294,8 @@ def repeated_paragraphs(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFram
                          packed([raw for _, _, raw in rows])], names=["node", "n", "body"])
 
     lines = stage(named.mapInArrow(
-        spans, "doc_id long, h long, paragraph long, start long, length long, n_words long, "
-        "n long, node long"), "paragraphs").df
+        spans, "doc_id long, h long, paragraph long, at long, start long, length long, "
+        "n_words long, n long, node long"), "paragraphs").df
     shared = shared_keys(named.select("text").mapInArrow(banded, KEYS))
     sizes = stage(lines.groupBy("node").agg(
         F.min(F.struct("doc_id", "h")).alias("of"), F.max("n").alias("n")), "sizes")
@@ -136,7 +321,6 @@ def repeated_paragraphs(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFram
         F.min(F.struct("doc_id", "paragraph")).alias("keep"), F.count("*").alias("n"))
         .where("n > 1").select("cluster_id", F.col("keep.doc_id").alias("keep_doc_id"),
                                F.col("keep.paragraph").alias("keep_paragraph")), "kept").df
-    return (rooted.join(keep, "cluster_id")
-            .where("not (doc_id <=> keep_doc_id and paragraph = keep_paragraph)")
-            .select("doc_id", "paragraph", "start", "length", "n_words", "cluster_id",
-                    "keep_doc_id", "keep_paragraph"))
+    removed = (rooted.join(keep, "cluster_id")
+               .where("not (doc_id <=> keep_doc_id and paragraph = keep_paragraph)"))
+    return _apart(removed, repeated_passages(named, min_words))

@@ -321,3 +321,34 @@ def test_drop_copies_keeps_columns_of_clashing_names(spark):
     docs = spark.createDataFrame(rows, "doc_id long, text string, _id string, _digest long")
     got = [tuple(r) for r in exact_dedup.drop_copies(docs).collect()]
     assert len(got) == 2 and set(got) <= set(rows)
+
+
+def covered(rows, doc, text):
+    """Characters of a text that the result's rows cover, none of them twice."""
+    marks = np.zeros(len(text), dtype=int)
+    for r in rows:
+        if r.doc_id == doc:
+            marks[r.start: r.start + r.length] += 1
+            got = text[r.start: r.start + r.length]
+            assert len(got.split()) == r.n_words and got[0] not in " \n"
+            assert text[: r.start].count("\n") == r.paragraph
+    assert marks.max() < 2
+    return marks.astype(bool)
+
+
+def test_repeated_passage_inside_long_lines(spark):
+    """60 words inside lines that are otherwise different."""
+    texts, cases = [], []
+    for i in range(0, 20, 2):
+        passage, heads = prose(60), [prose(int(n)) + f" é{n} " for n in RNG.choice(200, 4, False) + 300]
+        louder = re.sub("[a-z]", lambda m: m[0].upper(), passage)
+        texts += [heads[0] + passage + " " + heads[1], "x\n" + heads[2] + louder + " " + heads[3]]
+        cases.append((i, 2 + len(heads[2]), len(passage)))
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    rows = paragraphs.repeated_paragraphs(df).collect()
+    assert {(r.doc_id, r.paragraph, r.keep_doc_id, r.keep_paragraph) for r in rows} == {
+        (i + 1, 1, i, 0) for i, _, _ in cases}
+    for i, at, length in cases:
+        marks = covered(rows, i + 1, texts[i + 1])
+        assert not marks[:at].any() and not marks[at + length:].any()
+        assert sum(r.n_words for r in rows if r.doc_id == i + 1) >= 60 - 2 * 9
