@@ -8,9 +8,10 @@ that share a band are verified by exact Jaccard (``shingles.linked``) and
 clustered by components; of each cluster the first paragraph stays, by doc_id
 and place, and the others are removed.
 
-Passages find what whole lines do not: runs of words inside longer lines. A
-passage is ``MIN_WORDS`` words of one line that begin at a chosen word, the
-one of smallest hash (of ``CONTEXT`` words) in any ``WINDOW`` in a row. The
+Passages find what whole lines do not: runs of words inside longer lines, or
+over several lines, short ones too. A passage is ``MIN_WORDS`` words of a text,
+whatever blanks and line ends stand between them, that begin at a chosen word,
+the one of smallest hash (of ``CONTEXT`` words) in any ``WINDOW`` in a row. The
 choice depends on the words of the window alone, so both copies of a run of
 MIN_WORDS + WINDOW - 1 words (29) or more choose alike and hold at least one
 whole common passage (of equal ones that overlap in a text, as those of a word
@@ -128,10 +129,10 @@ def passages(texts: list[str | None], size: int = MIN_WORDS) -> dict[str, np.nda
     end = np.flatnonzero(word & np.concatenate([~word[1:], [True]])) + 1
     texts_at = np.cumsum([0, *[len(r) + 1 for r in raws]])[:-1]
     breaks = np.flatnonzero(raw == 10)
-    owner = np.searchsorted(breaks, begin)
+    owner = np.searchsorted(texts_at, begin, side="right")
     rare = _runs(h, CONTEXT)
     low = _sliding(rare, WINDOW, least=True)
-    # a window over two owners chooses nothing
+    # a window over two texts chooses nothing
     low[owner[: len(low)] != owner[CONTEXT + WINDOW - 2:]] = 0
     edge = np.zeros(WINDOW - 1, dtype=np.uint64)
     chosen = np.flatnonzero(rare == _sliding(np.concatenate([edge, low, edge]), WINDOW, least=False))

@@ -352,3 +352,27 @@ def test_repeated_passage_inside_long_lines(spark):
         marks = covered(rows, i + 1, texts[i + 1])
         assert not marks[:at].any() and not marks[at + length:].any()
         assert sum(r.n_words for r in rows if r.doc_id == i + 1) >= 60 - 2 * 9
+
+
+def test_repeated_passage_in_short_lines(spark):
+    """60 words in lines of 10, and the same words in one line or in lines of 7."""
+    texts, cases = [], []
+    for i in range(0, 30, 3):
+        words = prose(60).split()
+        laid = [[" ".join(words[j: j + n]) for j in range(0, 60, n)] for n in (10, 60, 7)]
+        for lines in laid:
+            n = len(texts)
+            # no word is next to the passage in two texts
+            around = [[f"a{n}b{j}c{k}" for j in range(10)] for k in range(40)]
+            around = [" ".join(x) for x in around]
+            texts.append("\n".join([*around[:20], *lines, "", *around[20:]]))
+            cases.append((n, i, len("\n".join(around[:20])) + 1, len("\n".join(lines))))
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    rows = paragraphs.repeated_paragraphs(df).collect()
+    assert {r.doc_id for r in rows} == {n for n, i, _, _ in cases if n != i}
+    assert all(r.doc_id - r.doc_id % 3 <= r.keep_doc_id < r.doc_id for r in rows)
+    for n, i, at, length in cases:
+        if n != i:
+            marks = covered(rows, n, texts[n])
+            assert not marks[:at].any() and not marks[at + length:].any()
+            assert sum(r.n_words for r in rows if r.doc_id == n) >= 60 - 2 * 9
