@@ -12,6 +12,7 @@ from __future__ import annotations
 import os
 import re
 from array import array
+from unicodedata import normalize
 
 import numpy as np
 import pyarrow as pa
@@ -27,6 +28,11 @@ CHUNK_CHARS, REMEMBERED, LONGEST = 6_000_000, 1_200_000, 24
 _encoders: dict[str, PieceEncoder] = {}
 
 
+def _letters(word: str) -> bool:
+    """Letters only, also after the normalisers of the vocabularies."""
+    return word.isalpha() and (word.isascii() or normalize("NFC", word).lower().isalpha())
+
+
 class PieceEncoder:
     """Ids as little-endian unsigned integers of ``width`` bytes."""
 
@@ -57,8 +63,9 @@ class PieceEncoder:
             # what came twice stays
             known = {w: known[w] for w in self.again}
             self.again = set()
-        # a comma or full stop after letters is always a piece of its own
-        marked = [w for w in new if w.endswith((",", ".")) and w[:-1].isalpha()]
+        # a comma or full stop after letters is always a piece of its own; a
+        # letter that a vocabulary's normaliser may turn into letter and mark is not safe
+        marked = [w for w in new if w.endswith((",", ".")) and _letters(w[:-1])]
         if marked:
             asked = dict.fromkeys(new)
             for w in marked:

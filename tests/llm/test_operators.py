@@ -376,3 +376,12 @@ def test_repeated_passage_in_short_lines(spark):
             marks = covered(rows, n, texts[n])
             assert not marks[:at].any() and not marks[at + length:].any()
             assert sum(r.n_words for r in rows if r.doc_id == n) >= 60 - 2 * 9
+
+
+@pytest.mark.parametrize("path", [BYTE, WORD])
+def test_marks_after_letters_that_are_normalised(path):
+    enc, tok = encoder(path), Tokenizer.from_file(path)
+    words = ["İ", "Hİ", "a\u0958", "a\u09dc", "\u0a59", "\ufb2a", "é", "straße", "plain"]
+    texts = [f"x {w}{m} y" for w in words for m in ",."]
+    for got, t in zip(enc.encode(texts), texts, strict=True):
+        assert np.frombuffer(got, enc.dtype).tolist() == ids_of(tok, t)
