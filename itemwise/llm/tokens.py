@@ -11,6 +11,7 @@ from __future__ import annotations
 
 import os
 import re
+import string
 from array import array
 from unicodedata import normalize
 
@@ -21,16 +22,105 @@ import pyarrow.compute as pc
 #: White space before a blank; without it, cutting at every blank is the same.
 ODD = "[\\s\\x0b\\x1c-\\x1f\\x{85}\\p{Z}] "
 CUT = re.compile(r"(?<=\S)(?= )")
-#: Characters of text that are cut at a time, pieces that a worker remembers
-#: (about 200 bytes each), and the longest piece worth remembering.
-CHUNK_CHARS, REMEMBERED, LONGEST = 6_000_000, 1_200_000, 24
+MARKS = string.punctuation
+#: Characters of text that are cut at a time; pieces of one generation that a
+#: worker remembers (about 200 bytes each, two generations); the longest piece
+#: worth remembering; words of letters that are encoded as one text.
+CHUNK_CHARS, REMEMBERED, LONGEST, TOGETHER = 6_000_000, 400_000, 24, 100
+#: Bytes of text that operators hold at a time.
+SLICE_BYTES = 8 << 20
 
 _encoders: dict[str, PieceEncoder] = {}
 
 
-def _letters(word: str) -> bool:
-    """Letters only, also after the normalisers of the vocabularies."""
-    return word.isalpha() and (word.isascii() or normalize("NFC", word).lower().isalpha())
+def _safe(word: str) -> bool:
+    """Letters stay letters under the normalisers of the vocabularies."""
+    return word.isascii() or normalize("NFC", word).lower().isalpha()
+
+
+class _Words:
+    """Ids of ``lead`` + word for words without white space, encoded once."""
+
+    def __init__(self, encoder: PieceEncoder, lead: str):
+        self.encoder, self.lead = encoder, lead
+        self.young: dict[str, bytes] = {}
+        self.old: dict[str, bytes] = {}
+        # a word of letters ends with a token of the word-end kind, or begins
+        # with the token of its lead
+        suffix = encoder.tokenizer.model.end_of_word_suffix
+        self.closes = bool(suffix)
+        sign = "\u0120" if lead == " " else "\u010a"
+        self.edge = np.array([t.endswith(suffix) if suffix else t.startswith(sign)
+                              for t in encoder.tokens])
+
+    def _spelled(self, words: list[str]) -> list[bytes]:
+        """Words of letters: many are one text, whose ids are parted again
+        where words end. A text whose parts are not as many as its words is
+        encoded word by word."""
+        enc, lead = self.encoder, self.lead
+        groups = [words[i: i + TOGETHER] for i in range(0, len(words), TOGETHER)]
+        found = enc.tokenizer.encode_batch_fast([lead + lead.join(g) for g in groups],
+                                                add_special_tokens=False)
+        out: list[bytes] = []
+        for group, e in zip(groups, found, strict=True):
+            ids = np.array(e.ids, dtype=enc.dtype)
+            at = np.flatnonzero(self.edge[ids])
+            ends = (at + 1 if self.closes else np.append(at[1:], len(ids))).tolist()
+            if len(at) != len(group) or ends[-1] != len(ids) or not (self.closes or at[0] == 0):
+                out += enc.ids([lead + w for w in group])
+                continue
+            raw, w = ids.tobytes(), enc.width
+            out += [raw[a * w: b * w] for a, b in zip([0, *ends], ends, strict=False)]
+        return out
+
+    def remembered(self, words: list[str]) -> list[bytes | None]:
+        """What is known; what the older generation knows grows young."""
+        if len(self.young) > REMEMBERED:
+            self.young, self.old = {}, self.young
+        out = list(map(self.young.get, words))
+        if self.old:
+            old, young = self.old.get, self.young
+            for i in [i for i, x in enumerate(out) if x is None]:
+                x = old(words[i])
+                if x is not None:
+                    young[words[i]] = out[i] = x
+        return out
+
+    def learn(self, words: list[str]) -> dict[str, bytes]:
+        """Ids of distinct words that are not remembered; they are now."""
+        spelled, marked, other = [], [], []
+        for w in words:
+            if w.isalpha() and _safe(w):
+                spelled.append(w)
+                continue
+            base = w.rstrip(MARKS)
+            if len(base) < len(w) and base.isalpha() and _safe(base):
+                marked.append((w, base, w[len(base):]))
+            else:
+                other.append(w)
+        # ASCII marks after letters are always a piece of their own
+        bases = list({base: None for _, base, _ in marked}.keys() - set(spelled))
+        known = self.remembered(bases)
+        spelled += [b for b, x in zip(bases, known, strict=True) if x is None]
+        found = dict(zip(spelled, self._spelled(spelled), strict=True))
+        base_of = found | {b: x for b, x in zip(bases, known, strict=True) if x is not None}
+        tails = list({tail: None for _, _, tail in marked})
+        tail_of = dict(zip(tails, self.encoder.ids(tails), strict=True))
+        found.update((w, base_of[base] + tail_of[tail]) for w, base, tail in marked)
+        found.update(zip(other, self.encoder.ids([self.lead + w for w in other]), strict=True))
+        self.young.update(found)
+        for w in [w for w in found if len(w) > LONGEST]:
+            del self.young[w]
+        return found
+
+    def ids(self, words: list[str]) -> list[bytes]:
+        """Ids of distinct words."""
+        out = self.remembered(words)
+        new = [i for i, x in enumerate(out) if x is None]
+        found = self.learn([words[i] for i in new])
+        for i in new:
+            out[i] = found[words[i]]
+        return out
 
 
 class PieceEncoder:
@@ -43,47 +133,35 @@ class PieceEncoder:
         self.tokenizer = Tokenizer.from_file(vocabulary)
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
-        self.width = 2 if self.tokenizer.get_vocab_size(with_added_tokens=True) <= 1 << 16 else 4
+        size = self.tokenizer.get_vocab_size(with_added_tokens=True)
+        self.tokens = [self.tokenizer.id_to_token(i) or "" for i in range(size)]
+        self.width = 2 if size <= 1 << 16 else 4
         self.dtype = np.dtype(f"<u{self.width}")
         self.code = "H" if self.width == 2 else "I"
-        self.known: dict[str, bytes] = {}
-        self.again: set[str] = set()
-        self.marks = dict(zip(",.", self._ids([",", "."]), strict=True))
+        self.after_blank, self.after_line = _Words(self, " "), _Words(self, "\n")
 
-    def _ids(self, pieces: list[str]) -> list[bytes]:
+    def ids(self, pieces: list[str]) -> list[bytes]:
         found = self.tokenizer.encode_batch_fast(pieces, add_special_tokens=False)
         return [array(self.code, e.ids).tobytes() for e in found]
 
     def _known(self, words: list[str]) -> list[bytes]:
-        """Ids of " " + word for distinct words."""
-        known = self.known
-        new = [w for w in words if w not in known]
-        self.again.update(known.keys() & words if len(new) < len(words) else ())
-        if len(known) + len(new) > REMEMBERED:
-            # what came twice stays
-            known = {w: known[w] for w in self.again}
-            self.again = set()
-        # a comma or full stop after letters is always a piece of its own; a
-        # letter that a vocabulary's normaliser may turn into letter and mark is not safe
-        marked = [w for w in new if w.endswith((",", ".")) and _letters(w[:-1])]
-        if marked:
-            asked = dict.fromkeys(new)
-            for w in marked:
-                del asked[w]
-            bases = [w[:-1] for w in marked]
-            asked.update((w, None) for w in bases if w not in known)
-            asked = list(asked)
-        else:
-            asked = new
-        known.update(zip(asked, self._ids([" " + w for w in asked]), strict=True))
-        if marked:
-            comma, stop = self.marks[","], self.marks["."]
-            known.update((w, known[b] + (comma if w[-1] == "," else stop))
-                         for w, b in zip(marked, bases, strict=True))
-        out = list(map(known.__getitem__, words))
-        for word in [w for w in asked if len(w) > LONGEST]:
-            del known[word]
-        self.known = known
+        """Ids of " " + word for distinct words. A single line end between
+        characters other than white space is a piece, and words on both sides
+        of it are pieces of their own."""
+        blank = self.after_blank
+        out = blank.remembered(words)
+        new = [i for i, x in enumerate(out) if x is None]
+        lines = {i: parts for i in new if "\n" in words[i]
+                 and (parts := words[i].split("\n")) == words[i].split()}
+        found = blank.learn([words[i] for i in new if i not in lines])
+        for i in new:
+            out[i] = found.get(words[i])
+        heads = list({parts[0] for parts in lines.values()}.difference(found))
+        found.update(zip(heads, blank.ids(heads), strict=True))
+        rest = list({p for parts in lines.values() for p in parts[1:]})
+        after = dict(zip(rest, self.after_line.ids(rest), strict=True))
+        for i, parts in lines.items():
+            out[i] = b"".join([found[parts[0]], *[after[p] for p in parts[1:]]])
         return out
 
     def _join(self, pieces: pa.ListArray) -> list[bytes]:
@@ -92,19 +170,16 @@ class PieceEncoder:
         coded = pieces.values.dictionary_encode()
         ends = pieces.offsets.to_numpy()
         heads = ends[:-1]
-        words = self._known(coded.dictionary.to_pylist())
-        first = self._ids(pieces.values.take(pa.array(heads)).to_pylist())
-        found = words + first
-        size = np.fromiter(map(len, found), dtype=np.int64, count=len(found)) // self.width
-        begin = np.cumsum(size) - size
-        pool = np.frombuffer(b"".join(found), dtype=self.dtype)
+        words = self._known(coded.dictionary.to_numpy(zero_copy_only=False).tolist())
+        first = self.ids(pieces.values.take(pa.array(heads)).to_pylist())
         word = coded.indices.to_numpy(zero_copy_only=False).astype(np.int64)
         word[heads] = len(words) + np.arange(len(heads))
-        n = size[word]
-        till = np.cumsum(n)
-        ids = pool[np.repeat(begin[word] - (till - n), n) + np.arange(n.sum())]
-        cuts = [0, *till[ends[1:] - 1].tolist()]
-        return [ids[a:b].tobytes() for a, b in zip(cuts, cuts[1:], strict=False)]
+        # Arrow copies the ids of all pieces one after another
+        ids = pa.array(words + first, pa.large_binary()).take(pa.array(word))
+        _, till, raw = ids.buffers()
+        cuts = np.frombuffer(till, dtype=np.int64)[ends].tolist()
+        raw = memoryview(raw or b"")
+        return [bytes(raw[a:b]) for a, b in zip(cuts, cuts[1:], strict=False)]
 
     def _chunk(self, texts: list[str | None]) -> list[bytes]:
         if not texts:
@@ -150,7 +225,17 @@ def encoder(vocabulary: str) -> PieceEncoder:
     return _encoders[vocabulary]
 
 
-def in_slices(batch, rows: int = 1024):
-    """An Arrow batch in slices of few rows: bounded memory for long texts."""
-    for i in range(0, batch.num_rows, rows):
-        yield batch.slice(i, rows)
+def in_slices(batch, rows: int = 4096, size: int = SLICE_BYTES):
+    """An Arrow batch in slices of few rows and bytes (one row at least):
+    bounded memory for long texts."""
+    held = np.zeros(batch.num_rows, dtype=np.int64)
+    for column in batch.columns:
+        if pa.types.is_string(column.type) or pa.types.is_binary(column.type):
+            held += pc.fill_null(pc.binary_length(column), 0).to_numpy(zero_copy_only=False)
+    till, first = np.cumsum(held), 0
+    while first < batch.num_rows:
+        before = till[first - 1] if first else 0
+        last = int(np.searchsorted(till, before + size, side="right"))
+        last = min(max(last, first + 1), first + rows, batch.num_rows)
+        yield batch.slice(first, last - first)
+        first = last
