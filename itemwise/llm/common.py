@@ -93,6 +93,36 @@ def number(table: DataFrame, keys: list[str], order: list[str], name: str,
                          (F.col("r._start") + F.col("l._in")).alias(name))
 
 
+def ranked(table: DataFrame, group: list[str], order: list[str], name: str,
+           range_rows: int = 1 << 15) -> Table:
+    """``table`` written again with column ``name``: 0, 1, ... without gaps
+    within each value of ``group``, by ``order`` ascending (nulls first).
+
+    Rows are sorted into ranges of all groups together, numbered inside their
+    range, and shifted by the counts of the group's ranges before. So no
+    group needs to fit one task; let ``order`` end with a row id where rows
+    repeat. ``table`` is read twice, so give a written one. Nulls in
+    ``group`` form a group of their own.
+    """
+    ranges = max(1, math.ceil(table.count() / range_rows))
+    keys = [F.col(c).asc_nulls_first() for c in [*group, *order]]
+    dealt = stage(table.repartitionByRange(ranges, *keys)
+                  .withColumn("_range", F.spark_partition_id()), "ranges")
+    counts = dealt.df.groupBy(*group, "_range").agg(F.count("*").alias("_n"))
+    before = Window.partitionBy(*group).orderBy("_range").rowsBetween(
+        Window.unboundedPreceding, -1)
+    starts = counts.select(*group, "_range",
+                           F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_start"))
+    inside = Window.partitionBy(*group, "_range").orderBy(
+        *[F.col(c).asc_nulls_first() for c in order])
+    rows = dealt.df.withColumn("_in", F.row_number().over(inside) - 1)
+    joined = rows.alias("l").join(starts.alias("r"), same(rows, starts, [*group, "_range"]))
+    out = stage(joined.select(*[F.col(f"l.{c}") for c in table.columns],
+                              (F.col("r._start") + F.col("l._in")).alias(name)), "ranked")
+    dealt.drop()
+    return out
+
+
 def plain(docs: DataFrame) -> DataFrame:
     """``doc_id`` and ``text`` only, so that no other column can clash."""
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"),

@@ -8,14 +8,17 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline
 from itemwise.llm import (
+    bin_completion,
     exact_dedup,
     huffman,
     knn,
+    merkle,
     mixing,
     ngram_join,
     packing,
     paragraphs,
     quality,
+    repair,
     sharding,
     token_counts,
 )
@@ -82,10 +85,27 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return counts.withColumn("over_limit", F.col("n_tokens") > TOKEN_LIMIT)
 
 
+def op11_bin_completion(spark: SparkSession, sf_dir: str) -> DataFrame:
+    packed = bin_completion.pack(_table(spark, sf_dir, "documents"),
+                                 public_tokenizers.path(BYTE_BPE), end_id=0)
+    return packed.select("doc_id", "piece", "start", "length", "ids_crc32", "sequence_id",
+                         "offset")
+
+
+def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    tampered = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 3 == 0
+    return merkle.proofs(_table(spark, sf_dir, "documents"), tampered)
+
+
+def op13_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repair.damaged_and_repaired(_table(spark, sf_dir, "conversations"))
+
+
 QUERIES = {f.__name__: f for f in (
     op1_huffman_ids, op2_byte_shards, op3_mix_sources, op4_quality_scores,
     op5_repeated_paragraphs, op6_ngram_join, op7_pack_sequences, op8_voronoi_knn,
-    op9_exact_dedup, op10_token_counts)} | {"pipeline": corpus_pipeline.run}
+    op9_exact_dedup, op10_token_counts, op11_bin_completion, op12_merkle_manifest,
+    op13_conversation_repair)} | {"pipeline": corpus_pipeline.run}
 
 _LOWER = ("translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', "
           "'abcdefghijklmnopqrstuvwxyz')")
