@@ -37,6 +37,8 @@ def parse_args(argv: list[str] | None = None) -> argparse.Namespace:
     p.add_argument("--as-of", type=dt.date.fromisoformat, help="run as if today were this date")
     p.add_argument("--sample-rate", type=float, default=d.sample_rate)
     p.add_argument("--sample-seed", default=d.sample_seed)
+    p.add_argument("--sample-exact", type=_bool, default=d.sample_exact,
+                   help="keep exactly floor(users x rate) users")
     p.add_argument("--top-n", type=int, default=d.top_n)
     p.add_argument("--top-k", type=int, default=d.top_k)
     p.add_argument("--normalize", type=_bool, default=d.normalize)
@@ -54,6 +56,7 @@ def parse_args(argv: list[str] | None = None) -> argparse.Namespace:
 
 def config_from(args: argparse.Namespace) -> RecConfig:
     return RecConfig(sample_rate=args.sample_rate, sample_seed=args.sample_seed,
+                     sample_exact=args.sample_exact,
                      top_n=args.top_n, top_k=args.top_k, normalize=args.normalize,
                      scoring=args.scoring, label=args.label, missing_label=args.missing_label,
                      layout=args.layout, block_size=args.block_size, dedup=args.dedup,

@@ -11,6 +11,7 @@ class RecConfig:
     # similarity
     sample_rate: float = 1.0        # P7: keep users when 0 < rate < 1
     sample_seed: str = ""           # P7: prefix of the hashed user id
+    sample_exact: bool = False      # P10: exactly floor(users x rate) users
     top_n: int = 10                 # T1: similar items kept per item
     normalize: bool = True          # T5: divide by the row maximum
     dedup: bool = True              # Q4: count each (user, item) once

@@ -7,14 +7,20 @@ spread over tasks by item in every step below.
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.parse import feature_tokens, token_item, token_pref
-from ..functions.sampling import keep_user
+from ..functions.sampling import HASH_RANGE, keep_user, user_hash
 from ..functions.text import join_labels
 from ..session import materialize
 
+# Parts of a range that one round of refinement counts; a power of two that
+# divides the hash range evenly at every round.
+HISTOGRAM_PARTS = 4096
+
 
 def explode_history(features: DataFrame, lenient: bool = False,
                     item_as_string: bool = False) -> DataFrame:
@@ -50,6 +56,43 @@ def sample_users(interactions: DataFrame, rate: float, seed: str = "") -> DataFr
     return interactions.where(keep_user(F.col("user_id"), rate, seed))
 
 
+def sample_users_exact(interactions: DataFrame, rate: float, seed: str = "",
+                       keep: list | None = None) -> DataFrame:
+    """Keep the rows of exactly ``floor(users x rate)`` users (P10): those
+    with the least hashes, equal hashes by user id. The same users in every
+    run and on every partition layout.
+
+    The last hash to keep is found by rounds of histogram refinement over the
+    written hashes: each round counts the users of 4096 equal parts of the
+    range that is still open and goes on inside the part where the count is
+    reached. No global sort; the driver sees at most 4096 counts a round.
+    Rows without a user are no user's and go."""
+    if not 0 < rate < 1:
+        return interactions
+    user = F.col("user_id")
+    hashes = materialize(interactions.select("user_id").where(user.isNotNull()).distinct()
+                         .withColumn("h", user_hash(user, seed)), "user-hashes", keep)
+    wanted = math.floor(hashes.count() * rate)
+    low, width, below = 0, HASH_RANGE, 0
+    while below < wanted and width > 1:
+        width //= HISTOGRAM_PARTS
+        inside = hashes.where((F.col("h") >= low) & (F.col("h") < low + width * HISTOGRAM_PARTS))
+        part = F.expr(f"(h - {low}L) div {width}L").alias("part")
+        for r in inside.groupBy(part).count().orderBy("part").collect():
+            if below + r["count"] > wanted:
+                low += r.part * width
+                break
+            below += r["count"]
+            if below == wanted:
+                low += (r.part + 1) * width
+                break
+    # users of one and the same hash that straddle the count
+    ties = [r.user_id for r in hashes.where(F.col("h") == low).orderBy("user_id")
+            .limit(wanted - below).collect()] if below < wanted else []
+    h = user_hash(user, seed)
+    return interactions.where((h < low) | ((h == low) & user.isin(ties)) if ties else h < low)
+
+
 def sample_feature_rows(features: DataFrame, rate: float, seed: int | None = None) -> DataFrame:
     """Bernoulli sample of feature rows (one row per user), the original
     ``sample(false, rate)`` (P7). Which users are kept depends on the

@@ -24,10 +24,13 @@ from ..functions.sampling import HASH_HEX_DIGITS, HASH_RANGE
 from ..functions.vectors import cosine
 from ..operators.cooccurrence import item_popularity, popularity_summary, similarity_summary
 from ..operators.history import (explode_history, last_preference, min_history, sample_users,
-                                 unique_user_ids, watched_labels)
+                                 sample_users_exact, unique_user_ids, watched_labels)
+from ..operators.item_vectors import (dense_user_ids, item_vectors, vector_overlap,
+                                      vector_popularity)
 from ..operators.recommend import (candidates, drop_watched, score_candidate_side,
                                    score_source_side)
 from ..operators.topn import nested_lists, preview, top_per_group
+from ..operators.vector_pruning import vector_topk_pruned
 from ..operators.vector_search import vector_topk
 from ..session import ensure_checkpoint_dir, materialize
 from ..sinks.layouts import LAYOUT_COLUMNS, scored_list, source_recom, user_watched
@@ -46,6 +49,8 @@ PREVIEW_ROWS = 100         # T6, as in the preview job
 PREVIEW_LISTS = 10         # T6, similarity lists shown
 COPY_SHIFT = 1_000_000_000  # added to the ids of copied vectors
 VECTOR_K = 10              # neighbours per vector
+VECTOR_BLOCK = 128         # rows of a block in the query of the pruned search
+RANGE = 2048               # users of one bitmap in the item-vector queries
 DAYS = (20231231, 20240101)  # partitions written by the sink query
 
 PROD = RecConfig(top_n=TOP_N, top_k=TOP_K, normalize=True, scoring="candidate")
@@ -116,6 +121,37 @@ def q_sample_users_md5(spark, sf):
     return sample_users(_hist(spark, sf), SAMPLE_RATE)
 
 
+def q_sample_users_exact(spark, sf):
+    """Exactly floor(users x rate) users, orders as users (P10)."""
+    return sample_users_exact(materialize(fx.basket_interactions(spark, sf), "interactions"),
+                              SAMPLE_RATE)
+
+
+def _item_vectors(spark, sf):
+    """Item vectors over orders as users, written."""
+    base = materialize(fx.basket_interactions(spark, sf), "interactions")
+    ids = materialize(dense_user_ids(base), "user-ids")
+    return materialize(item_vectors(base, ids, RANGE), "item-vectors")
+
+
+def q_item_vectors(spark, sf):
+    """Bitmaps by item and user range, as their numbers of users."""
+    return _item_vectors(spark, sf).select("item", "user_range", "users")
+
+
+def q_item_vectors_popularity(spark, sf):
+    """Users of an item, from its bitmaps."""
+    return vector_popularity(_item_vectors(spark, sf))
+
+
+def q_item_vectors_overlap(spark, sf):
+    """Users that hold both of two items, from bitmaps, for each item and the
+    one with the next id."""
+    vectors = _item_vectors(spark, sf)
+    items = vectors.select(F.col("item").alias("i")).distinct()
+    return vector_overlap(vectors, items.select("i", (F.col("i") + 1).alias("j")))
+
+
 def q_yesterday_partition(spark, sf):
     return fx.table(spark, sf, "orders").select(
         "o_orderkey", day_before(F.col("o_orderdate")).alias("stat_date"))
@@ -253,6 +289,12 @@ def q_vector_topk_copies(spark, sf):
     return vector_topk(vecs.unionByName(copies), "vec_id", "embedding", VECTOR_K)
 
 
+def q_vector_topk_pruned(spark, sf):
+    """By bounds, in small blocks, so that groups, blocks and slices are many."""
+    return vector_topk_pruned(fx.embeddings(spark, sf), "vec_id", "embedding", VECTOR_K,
+                              block_rows=VECTOR_BLOCK)
+
+
 def q_vector_cosine_next(spark, sf):
     """Cosine of each vector and the one with the next id (F2)."""
     a = fx.embeddings(spark, sf)
@@ -261,7 +303,7 @@ def q_vector_cosine_next(spark, sf):
         "vec_id", F.round(cosine(F.col("embedding"), F.col("next")), 6).alias("sim"))
 
 
-def _run_job(spark, sf, cfg, complete):
+def _run_job(spark, sf, cfg, complete, by_name=False):
     """Write both inputs as day-partitioned tables, run the daily job for one
     of two days and read its partition back (S1, S2, E5-E7). Every order is a
     user, also one without lines; the other day holds rows that a strict
@@ -276,9 +318,16 @@ def _run_job(spark, sf, cfg, complete):
         F.lit(DAYS[1]).alias("stat_date"))
     other = rows.select("imei", F.lit("no token").alias("feature"),
                         F.lit(DAYS[0]).alias("stat_date"))
-    rows.unionByName(other).write.partitionBy("stat_date").parquet(features)
-    (fx.part_dictionary(spark, sf, complete).withColumn("stat_date", F.lit(DAYS[1]))
-     .write.partitionBy("stat_date").parquet(dictionary))
+    rows = rows.unionByName(other)
+    items = fx.part_dictionary(spark, sf, complete).withColumn("stat_date", F.lit(DAYS[1]))
+    for df, path in ((rows, features), (items, dictionary)):
+        writer = df.write.partitionBy("stat_date")
+        if by_name:
+            writer.option("path", path).saveAsTable(path.rsplit("/", 1)[1] + f"_{name}")
+        else:
+            writer.parquet(path)
+    if by_name:
+        features, dictionary = f"features_{name}", f"dictionary_{name}"
     ensure_table(spark, name, LAYOUT_COLUMNS[cfg.layout], location=f"{root}/{name}/recs")
     day = run_recommendations(spark, features, dictionary, name, cfg, stat_date=DAYS[1])
     return spark.table(name).where(F.col("stat_date") == day)
@@ -293,6 +342,34 @@ def q_job_scored_list(spark, sf):
     return _run_job(spark, sf, vector_job_config(), True)
 
 
+def q_job_by_table_name(spark, sf):
+    """The daily job on catalog tables instead of paths."""
+    return _run_job(spark, sf, RecConfig(sample_rate=SAMPLE_RATE, top_n=TOP_N, top_k=TOP_K), False,
+                    by_name=True)
+
+
+def q_partition_rerun_failure(spark, sf):
+    """Two days are written; a rerun of the first fails on its last row: both
+    days keep their rows (K2, E7)."""
+    out = materialize(_sink_source_recom(spark, sf), "recs")
+    root = ensure_checkpoint_dir(spark).rstrip("/")
+    name = f"itemwise_rerun_{uuid.uuid4().hex[:12]}"
+    ensure_table(spark, name, LAYOUT_COLUMNS["source_recom"], location=f"{root}/tables/{name}")
+    for day in DAYS:
+        overwrite_partition(out, name, day)
+    last = out.agg(F.max("source_id")).first()[0]
+    broken = out.withColumn("recom_id", F.when(F.col("source_id") == last, F.raise_error(
+        F.lit("item without label"))).otherwise(F.col("recom_id")))
+    try:
+        overwrite_partition(broken, name, DAYS[0])
+    except Exception as e:  # noqa: BLE001
+        if "item without label" not in str(e):
+            raise
+    else:
+        raise AssertionError("the rerun was to fail")
+    return spark.table(name)
+
+
 def q_partition_overwrite(spark, sf):
     """Write the production layout into two days of a partitioned table,
     then rerun the first day: the other day must keep its rows (K1, K2)."""
@@ -365,6 +442,13 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "partition_overwrite": q_partition_overwrite,
     "preview": q_preview,
     "preview_lists": q_preview_lists,
+    "sample_users_exact": q_sample_users_exact,
+    "item_vectors": q_item_vectors,
+    "item_vectors_popularity": q_item_vectors_popularity,
+    "item_vectors_overlap": q_item_vectors_overlap,
+    "vector_topk_pruned": q_vector_topk_pruned,
+    "job_by_table_name": q_job_by_table_name,
+    "partition_rerun_failure": q_partition_rerun_failure,
 }
 
 
@@ -635,9 +719,30 @@ SELECT source_id, recom_id, CAST({DAYS[1]} AS BIGINT) AS stat_date FROM sink_sr"
     "job_scored_list": _with(["sink_sl"], f"""
 SELECT item, sim_items, CAST({DAYS[1]} AS BIGINT) AS stat_date FROM sink_sl""",
                              JOB_CTE, JOB_DEPS),
+    "sample_users_exact": _with(["bk"], f"""
+SELECT bk.user_id, bk.item, bk.pref FROM bk JOIN (
+  SELECT user_id, row_number() OVER (
+    ORDER BY ('0x' || substr(md5(user_id), 1, {HASH_HEX_DIGITS}))::BIGINT, user_id) AS place
+  FROM (SELECT DISTINCT user_id FROM bk)) p ON p.user_id = bk.user_id
+WHERE place <= floor((SELECT COUNT(DISTINCT user_id) FROM bk) * {SAMPLE_RATE}::DOUBLE)"""),
+    "item_vectors": _with(["bk"], f"""
+SELECT item, uid // {RANGE} AS user_range, COUNT(DISTINCT uid) AS users
+FROM bk JOIN (
+  SELECT user_id, row_number() OVER (ORDER BY user_id) - 1 AS uid
+  FROM (SELECT DISTINCT user_id FROM bk)) u ON u.user_id = bk.user_id
+GROUP BY item, uid // {RANGE}"""),
+    "item_vectors_popularity": _with(["bk"], """
+SELECT item, COUNT(DISTINCT user_id) AS n FROM bk GROUP BY item"""),
+    "item_vectors_overlap": _with(["bk"], """
+SELECT a.item AS i, b.item AS j, COUNT(DISTINCT a.user_id) AS c
+FROM bk a JOIN bk b ON a.user_id = b.user_id AND b.item = a.item + 1 GROUP BY a.item, b.item"""),
+    "vector_topk_pruned": _vector_sql("embeddings", 6),
     "preview_lists": _with(["sim"], f"""
 SELECT i, list(j ORDER BY rk) AS items, list(sim ORDER BY rk) AS sims FROM sim GROUP BY i
 ORDER BY i LIMIT {PREVIEW_LISTS}"""),
     "preview": _with(["sink_uw"], f"""
 SELECT "user", watched, sim_items FROM sink_uw ORDER BY "user" LIMIT {PREVIEW_ROWS}"""),
 }
+# Other routes to the same rows.
+SQL["job_by_table_name"] = SQL["job_source_recom"]
+SQL["partition_rerun_failure"] = SQL["partition_overwrite"]

@@ -19,16 +19,18 @@ from pyspark.sql import DataFrame
 from ..config import RecConfig
 from ..operators.cooccurrence import (attach_popularity, cooccurrence_half, item_popularity,
                                       mirror, pair_partitions, positive_cosine)
-from ..operators.history import min_history, sample_users
+from ..operators.history import min_history, sample_users, sample_users_exact
 from ..operators.topn import normalize_rows, top_similar
 from ..session import materialize
 
 
 def filtered_interactions(interactions: DataFrame, cfg: RecConfig = RecConfig(),
                           keep: list | None = None) -> DataFrame:
-    """``(user_id, item, k)``: sampled users (P7) with a long enough history
+    """``(user_id, item, k)``: sampled users (P7, P10) with a long enough history
     (P5). Popularity and co-occurrence both count exactly these rows."""
-    sampled = sample_users(interactions, cfg.sample_rate, cfg.sample_seed)
+    sampled = (sample_users_exact(interactions, cfg.sample_rate, cfg.sample_seed, keep)
+               if cfg.sample_exact
+               else sample_users(interactions, cfg.sample_rate, cfg.sample_seed))
     return min_history(sampled, cfg.min_items, cfg.dedup, keep)
 
 

@@ -72,15 +72,18 @@ def materialize(df: DataFrame, name: str = "table", keep: list | None = None) ->
     path = f"{root}/itemwise/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
     table = spark.read.schema(df.schema).parquet(path)
+    table._itemwise_path = path
     if keep is not None:
         keep.append(table)
     return table
 
 
+def delete_path(spark: SparkSession, path: str) -> None:
+    """Delete a folder of the shared storage; a missing one is no error."""
+    jpath = spark._jvm.org.apache.hadoop.fs.Path(path)
+    jpath.getFileSystem(spark._jsc.hadoopConfiguration()).delete(jpath, True)
+
+
 def drop_materialized(df: DataFrame) -> None:
     """Delete the files behind a frame returned by ``materialize``."""
-    spark = df.sparkSession
-    for path in df.inputFiles()[:1]:
-        folder = path.rsplit("/", 1)[0]
-        jpath = spark._jvm.org.apache.hadoop.fs.Path(folder)
-        jpath.getFileSystem(spark._jsc.hadoopConfiguration()).delete(jpath, True)
+    delete_path(df.sparkSession, df._itemwise_path)

@@ -82,6 +82,64 @@ def test_overwrite_keeps_other_days(spark):
     assert got == [("x", 1), ("x", 2), ("y", 2)]
 
 
+def _files(spark, table):
+    return sorted(f.split("/_runs/")[-1] for f in spark.table(table).inputFiles())
+
+
+def test_failed_rerun_keeps_the_day(spark):
+    """Nothing of a day is touched before its new rows are complete."""
+    table = f"t_{uuid.uuid4().hex[:8]}"
+    ensure_table(spark, table, [("a", "STRING")])
+    rows = spark.range(5).select(F.col("id").cast("string").alias("a"))
+    for day in (1, 2):
+        overwrite_partition(rows, table, day)
+    before = _files(spark, table)
+    broken = rows.withColumn("a", F.when(F.col("a") == "4", F.raise_error(F.lit("bad label")))
+                             .otherwise("new"))
+    with pytest.raises(Exception, match="bad label"):
+        overwrite_partition(broken, table, 1)
+    assert _files(spark, table) == before
+    got = sorted((r.a, r.stat_date) for r in spark.table(table).collect())
+    assert got == sorted((str(i), d) for i in range(5) for d in (1, 2))
+    with pytest.raises(ValueError):
+        overwrite_partition(rows.withColumnRenamed("a", "b"), table, 1)
+    overwrite_partition(rows.limit(1), table, 1)
+    assert spark.table(table).groupBy("stat_date").count().orderBy("stat_date").collect() == [
+        (1, 1), (2, 5)]
+
+
+def test_failed_job_keeps_the_day(spark, inputs):
+    """A strict label that is missing costs the run, not the published day."""
+    table = f"recs_{uuid.uuid4().hex[:8]}"
+    args = (spark, f"{inputs}/features", f"{inputs}/items", table)
+    run_recommendations(*args, vector_job_config(missing_label="drop"), DAYS[1])
+    before = sorted(map(tuple, spark.table(table).collect()))
+    with pytest.raises(Exception, match="item without label"):
+        run_recommendations(*args, vector_job_config(), DAYS[1])
+    assert sorted(map(tuple, spark.table(table).collect())) == before and len(before) == 150
+
+
+def test_day_moves_in_one_step(spark):
+    """The new folder is complete before the catalog points at it, readers of
+    the old one can be spared, and an empty day is a day."""
+    from itemwise.session import delete_path
+    from itemwise.sinks import partition_location, publish_partition, stage_partition
+    table = f"t_{uuid.uuid4().hex[:8]}"
+    ensure_table(spark, table, [("a", "STRING"), ("n", "INT")])
+    one = spark.createDataFrame([(7, "x")], "n long, a string")    # other order, other type
+    assert partition_location(spark, table, 1) is None
+    assert overwrite_partition(one, table, 1) is None
+    staged = stage_partition(one.union(one), table, 1)
+    assert spark.table(table).count() == 1
+    old = publish_partition(spark, table, 1, staged)
+    assert [tuple(r) for r in spark.table(table).collect()] == [("x", 7, 1)] * 2
+    assert spark.read.parquet(old).count() == 1
+    delete_path(spark, old)
+    kept = overwrite_partition(one.limit(0), table, 1, keep_old=True)
+    assert spark.table(table).count() == 0 and spark.read.parquet(kept).count() == 2
+    assert partition_location(spark, table, 1) != kept
+
+
 def test_command_line(spark, inputs):
     from itemwise.__main__ import main, parse_args
     table = f"recs_cli_{uuid.uuid4().hex[:8]}"

@@ -13,7 +13,8 @@ def _plan(df):
 
 
 @pytest.mark.parametrize("name", sorted(set(catalog.QUERIES) - {"partition_overwrite", "job_source_recom",
-                                                             "job_scored_list"}))
+                                                             "job_scored_list", "job_by_table_name",
+                                                             "partition_rerun_failure"}))
 def test_no_cartesian_or_nested_loop(spark, name):
     plan = _plan(catalog.QUERIES[name](spark, SF_SMALL))
     assert "CartesianProduct" not in plan

@@ -75,3 +75,58 @@ def test_equal_vectors_give_k_rows_each(spark):
     rows = vector_topk(df, "id", "v", 3).collect()
     assert len(rows) == 600
     assert {r.nbr_id for r in rows if r.id > 3} == {0, 1, 2}
+
+
+def _groups(n, groups, dim=16, seed=3):
+    """Vectors around a few directions, with repeated ones, zero, null and
+    vectors that hold no number."""
+    import numpy as np
+
+    rng = np.random.default_rng(seed)
+    centres = rng.normal(size=(groups, dim))
+    rows = [(i, (centres[i % groups] * 5 + rng.normal(size=dim) * 0.3).tolist()) for i in range(n)]
+    rows += [(n, rows[0][1]), (n + 1, rows[0][1]), (n + 2, [0.0] * dim), (n + 3, None),
+             (n + 4, [float("nan")] * dim)]
+    return rows
+
+
+@pytest.mark.parametrize("n,groups,block_rows,decimals", [
+    (400, 6, 20, 6), (300, 1, 32, 6), (300, 3, 40, 1), (7, 2, 100, 6), (2, 1, 1, 6)])
+def test_pruned_search_matches_brute_force(spark, n, groups, block_rows, decimals):
+    from itemwise.operators import vector_topk_pruned
+
+    rows = _groups(n, groups)
+    df = spark.createDataFrame(rows, "id long, v array<double>")
+    got = vector_topk_pruned(df, "id", "v", 5, block_rows=block_rows, decimals=decimals,
+                             chunk_rows=16).collect()
+    plain = [(i, v) for i, v in rows if v is not None and any(v) and v[0] == v[0]]
+    assert {(r.id, r.nbr_id) for r in got} == _coarse(plain, 5, decimals)
+    assert all(1 <= r.rk <= 5 for r in got)
+
+
+def test_pruned_search_scores_few_pairs_of_grouped_vectors(spark):
+    from itemwise.operators import PrunedSearch
+
+    df = spark.createDataFrame(_groups(2000, 12), "id long, v array<double>")
+    search = PrunedSearch(df, "id", "v", 5, block_rows=100)
+    cost = search.cost().first()
+    assert cost.vectors == 2002
+    assert cost.copies / cost.vectors < cost.blocks / 4      # all pairs: one copy per block
+    assert cost.scored < cost.all_pairs / 4
+    assert search.top().count() == 2002 * 5
+
+
+def test_many_vectors_are_searched_by_bounds(spark):
+    emb = fx.embeddings(spark, SF_SMALL).where(F.col("vec_id") < 150)
+    a = vector_topk(emb, "vec_id", "embedding", 5)
+    b = vector_topk(emb, "vec_id", "embedding", 5, block_rows=32, all_pairs_rows=100)
+    key = lambda r: (r.vec_id, r.rk, r.nbr_id, r.sim)
+    assert sorted(map(key, a.collect())) == sorted(map(key, b.collect()))
+
+
+@pytest.mark.parametrize("rows", [[], [(1, [0.0, 0.0])], [(1, [1.0, 2.0])]])
+def test_pruned_search_of_hardly_any_vector(spark, rows):
+    from itemwise.operators import vector_topk_pruned
+
+    df = spark.createDataFrame(rows, "id long, v array<double>")
+    assert vector_topk_pruned(df, "id", "v", 3).count() == 0
