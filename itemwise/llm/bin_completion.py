@@ -36,7 +36,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from itemwise.llm.common import Table, number, plain, shared_path, stage
-from itemwise.llm.tokens import encoder, in_slices
+from itemwise.llm.tokens import ENCODED_ROWS, encoder, in_slices
 
 CAPACITY = 2048
 #: Effort of the search: nodes in all, and fillings tried at one node.
@@ -216,7 +216,7 @@ def cut(docs: DataFrame, vocabulary: str, end_id: int, capacity: int) -> Table:
         kinds = [pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64(),
                  pa.int32(), pa.binary()]
         for batch in batches:
-            for part in in_slices(batch):
+            for part in in_slices(batch, ENCODED_ROWS):
                 rows = []
                 ids = enc.encode(part.column("text").to_pylist())
                 for doc_id, x in zip(part.column("doc_id").to_pylist(), ids, strict=True):

@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from itemwise.llm.common import Table, plain, shared_path
-from itemwise.llm.tokens import encoder, in_slices
+from itemwise.llm.tokens import ENCODED_ROWS, encoder, in_slices
 
 CHECKPOINT, BLOCK_TOKENS, MAX_BITS = 128, 1 << 19, 18
 
@@ -126,7 +126,7 @@ def _encode_sorted(docs: DataFrame, vocabulary: str, end_id: int) -> Table:
         end = np.array([end_id], dtype=enc.dtype).tobytes()
         pid, first = TaskContext.get().partitionId(), 0
         for batch in batches:
-            for part in in_slices(batch):
+            for part in in_slices(batch, ENCODED_ROWS):
                 ids = [x + end for x in enc.encode(part.column("text").to_pylist())]
                 n = np.array([len(x) // enc.width for x in ids], dtype=np.int64)
                 before = first + np.cumsum(n) - n

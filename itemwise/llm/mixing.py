@@ -25,7 +25,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from itemwise.llm.common import BLANKS, number, stage
+from itemwise.llm.common import BLANKS, fresh, number, stage
 
 WEIGHTS, SHARE, MOST = (3, 1, 2), 1.5, 2
 #: Budget that the dynamic program covers; longer lengths are placed first.
@@ -113,13 +113,17 @@ def _ranked(table: DataFrame, order: list) -> DataFrame:
             .drop("_at", "_part", "_start"))
 
 
-def mix(docs: DataFrame, seed: int = 7, share: float = SHARE) -> DataFrame:
-    """doc_id, text_md5, source, size, source_size, target, taken, copies."""
+def mix(docs: DataFrame, seed: int = 7, share: float = SHARE,
+        row: str | None = None) -> DataFrame:
+    """doc_id, text_md5, source, size, source_size, target, taken, copies, and
+    ``row_id``: column ``row`` of ``docs``, if one is named."""
+    carried = [F.col(row).alias("row_id")] if row else []
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
     rows = stage(docs.select(
         F.col("doc_id").cast("long").alias("doc_id"), F.md5(text).alias("text_md5"),
         F.col("source").cast("string").alias("source"),
-        F.regexp_count(text, F.lit(f"[^{BLANKS}]+")).cast("long").alias("size")), "sizes").df
+        F.regexp_count(text, F.lit(f"[^{BLANKS}]+")).cast("long").alias("size"), *carried),
+        "sizes").df
     lengths = stage(rows.groupBy("source", "size").agg(F.count("*").alias("docs")),
                     "length-counts").df
     by_source = lengths.groupBy("source").agg(
@@ -154,20 +158,21 @@ def mix(docs: DataFrame, seed: int = 7, share: float = SHARE) -> DataFrame:
     copies = F.when(F.col("l.size") == 0, 0).otherwise(
         F.col("r.once") + (F.col("l.at") < F.col("r.extra")).cast("long"))
     return (both.select("l.doc_id", "l.text_md5", "l.source", "l.size", "r.source_size",
-                        "r.target", copies.cast("long").alias("copies"))
+                        "r.target", copies.cast("long").alias("copies"),
+                        *(["l.row_id"] if row else []))
             .withColumn("taken", F.col("copies") * F.col("size")))
 
 
 def mixed_documents(docs: DataFrame, seed: int = 7) -> DataFrame:
     """``docs`` as the mix takes them: a document taken twice stands twice; a
-    document without words is no part of any budget and stays once."""
-    plan = mix(docs, seed).groupBy("doc_id", "text_md5").agg(
-        F.max(F.when(F.col("size") == 0, 1).otherwise(F.col("copies"))).alias("_copies"))
-    plan = plan.select(F.col("doc_id").alias("_id"), F.col("text_md5").alias("_md5"), "_copies")
-    text = F.coalesce(F.col("text").cast("string"), F.lit(""))
-    named = docs.withColumn("_text_md5", F.md5(text))
-    joined = named.join(plan, named["doc_id"].cast("long").eqNullSafe(plan["_id"])
-                        & (named["_text_md5"] == plan["_md5"]))
-    return (joined.where("_copies > 0")
-            .withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_copies"))))
-            .select(*docs.columns))
+    document without words is no part of any budget and stays once. Every row
+    has its own share of the plan, also where id and text repeat. All columns
+    pass through, whatever their names."""
+    row, copies, copy = fresh(docs, "_row", "_copies", "_copy")
+    numbered = stage(docs.withColumn(row, F.monotonically_increasing_id()), "mix-rows").df
+    plan = stage(mix(numbered, seed, row=row).select(
+        F.col("row_id").alias(row),
+        F.when(F.col("size") == 0, 1).otherwise(F.col("copies")).alias(copies)), "mix-plan").df
+    return (numbered.join(plan.where(F.col(copies) > 0), row)
+            .withColumn(copy, F.explode(F.sequence(F.lit(1), F.col(copies))))
+            .select(*[F.col(f"`{c}`") for c in docs.columns]))

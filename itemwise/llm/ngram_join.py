@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from itemwise.llm.common import id_key, plain, stage
+from itemwise.llm.common import fresh, id_key, plain, stage
 from itemwise.llm.shingles import (
     KEYS,
     deal_keys,
@@ -87,8 +87,9 @@ def _bucket_counts(named: DataFrame, words: int) -> np.ndarray:
     return counts
 
 
-def near_classes(docs: DataFrame, words: int = 5, num: int = 80, den: int = 100) -> DataFrame:
-    """doc_id, h (hash of the text), n_shingles, component_id of every row."""
+def _rooted(docs: DataFrame, words: int, num: int, den: int) -> DataFrame:
+    """doc_id, h (hash of the text), n_shingles and the root of its class, of
+    every row; written."""
     named = _named(docs)
     counts = _bucket_counts(named, words)
 
@@ -141,6 +142,12 @@ def near_classes(docs: DataFrame, words: int = 5, num: int = 80, den: int = 100)
     rooted = stage(rows.df.join(roots, "node", "left").select(
         "doc_id", "h", "n_shingles", F.coalesce("root", "node").alias("root")), "rooted").df
     rows.drop()
+    return rooted
+
+
+def near_classes(docs: DataFrame, words: int = 5, num: int = 80, den: int = 100) -> DataFrame:
+    """doc_id, h (hash of the text), n_shingles, component_id of every row."""
+    rooted = _rooted(docs, words, num, den)
     least = stage(rooted.where("n_shingles > 0").groupBy("root").agg(
         F.min("doc_id").alias("least")), "smallest").df
     return rooted.join(least, "root", "left").select(
@@ -150,9 +157,18 @@ def near_classes(docs: DataFrame, words: int = 5, num: int = 80, den: int = 100)
 
 
 def drop_near_copies(docs: DataFrame, words: int = 5, num: int = 80, den: int = 100) -> DataFrame:
-    """``docs`` with the smallest doc_id of every class only, all columns kept."""
-    kept = (near_classes(docs, words, num, den).where("doc_id <=> component_id")
-            .select(id_key(F.col("doc_id")).alias("_id"), F.col("h").alias("_h")))
+    """``docs`` with one document of every class only, all columns kept: the
+    smallest doc_id, null last, then the smallest hash of the text. Rows that
+    share both are one document, so they stay or go together; documents
+    without words are in no class and stay."""
+    rooted = _rooted(docs, words, num, den)
+    first = stage(rooted.where("n_shingles > 0").groupBy("root").agg(
+        F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "h")).alias("first")),
+        "first-of-class").df
+    id_name, hash_name = fresh(docs, "_id", "_h")
+    kept = (rooted.where("n_shingles = 0").select("doc_id", "h")
+            .unionByName(first.select("first.doc_id", "first.h")).distinct()
+            .select(id_key(F.col("doc_id")).alias(id_name), F.col("h").alias(hash_name)))
     key = F.xxhash64(F.col("text").cast("string"))
-    return docs.join(kept, (id_key(docs["doc_id"].cast("long")) == kept["_id"])
-                     & (key == kept["_h"]), "left_semi")
+    return docs.join(kept, (id_key(docs["doc_id"].cast("long")) == kept[id_name])
+                     & (key == kept[hash_name]), "left_semi")

@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from itemwise.llm.common import Table, number, plain, shared_path, stage
-from itemwise.llm.tokens import encoder, in_slices
+from itemwise.llm.tokens import ENCODED_ROWS, encoder, in_slices
 
 CAPACITY, STEP, GAP = 4096, 16, 5e-4
 
@@ -141,7 +141,7 @@ def cut(docs: DataFrame, vocabulary: str, end_id: int = 2, capacity: int = CAPAC
         end = np.array([end_id], dtype=enc.dtype).tobytes()
         piece, wide = TaskContext.get().partitionId() << 33, capacity * enc.width
         for batch in batches:
-            for part in in_slices(batch):
+            for part in in_slices(batch, ENCODED_ROWS):
                 rows = []
                 ids = enc.encode(part.column("text").to_pylist())
                 for doc_id, x in zip(part.column("doc_id").to_pylist(), ids, strict=True):

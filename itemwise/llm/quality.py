@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from itemwise.llm.common import plain
+from itemwise.llm.common import fresh, plain
 from itemwise.llm.tokens import in_slices
 
 MAX_LABELLED, BINS, PAIR_BINS, ROUNDS, PAIR_ROUNDS = 20_000, 32, 8, 150, 60
@@ -216,25 +216,27 @@ def train(docs: DataFrame, labels: DataFrame, max_labelled: int = MAX_LABELLED)
                 yield pa.RecordBatch.from_arrays([part.column("doc_id"), part.column("quality"),
                                                   rows], names=["doc_id", "quality", "x"])
 
-    # the sample is bounded by max_labelled rows of two numbers
+    # bounded by max_labelled rows of numbers, also where ids repeat
     rows = (plain(docs).join(F.broadcast(known), "doc_id")
-            .mapInArrow(run, "doc_id long, quality int, x array<double>").toPandas()
-            .sort_values("doc_id", kind="stable"))
+            .mapInArrow(run, "doc_id long, quality int, x array<double>")
+            .orderBy("doc_id", F.xxhash64("x")).limit(max_labelled).toPandas())
     if not len(rows):
         return fit(np.zeros((0, len(FEATURES))), np.zeros(0))
     return fit(np.array(rows["x"].tolist()), (rows["quality"].to_numpy() > 0).astype(float))
 
 
-def score(docs: DataFrame, model: Model) -> DataFrame:
-    """``docs`` with a column ``_score``; all other columns pass through."""
-    named = docs.withColumn("_text", F.col("text").cast("string"))
+def score(docs: DataFrame, model: Model, column: str = "_score") -> DataFrame:
+    """``docs`` with a new column ``column``, which they must not have yet; all
+    other columns pass through, whatever their names."""
+    text_name, = fresh(docs, "_text")
+    named = docs.withColumn(text_name, F.col("text").cast("string"))
 
     @F.pandas_udf("double")
     def scored(text: pd.Series) -> pd.Series:
         x = np.array([features(t) for t in text], dtype=float).reshape(-1, len(FEATURES))
         return pd.Series(model.score(x))
 
-    return named.withColumn("_score", scored("_text")).drop("_text")
+    return named.withColumn(column, scored(text_name)).drop(text_name)
 
 
 def quality_scores(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD,

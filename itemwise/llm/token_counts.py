@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from itemwise.llm.common import plain, same, stage
-from itemwise.llm.tokens import encoder, in_slices
+from itemwise.llm.tokens import ENCODED_ROWS, encoder, in_slices
 
 RULES = b"ids of tokenizers, no added special tokens, special strings as in the file"
 _CACHE = "tokenizer string, sha binary, n_bytes long, n_tokens long"
@@ -50,7 +50,7 @@ def _encode(texts: DataFrame, vocabulary: str) -> DataFrame:
     def run(batches):
         enc = encoder(vocabulary)
         for batch in batches:
-            for part in in_slices(batch):
+            for part in in_slices(batch, ENCODED_ROWS):
                 n = [len(x) // enc.width for x in enc.encode(part.column("text").to_pylist())]
                 yield pa.RecordBatch.from_arrays(
                     [part.column("sha"), part.column("n_bytes"), pa.array(np.array(n, np.int64))],
@@ -78,6 +78,8 @@ def token_counts(docs: DataFrame, vocabulary: str, cache: str) -> DataFrame:
     (new.groupBy("sha", "n_bytes").agg(F.max("n_tokens").alias("n_tokens"))
      .select(F.lit(version).alias("tokenizer"), "sha", "n_bytes", "n_tokens")
      .write.mode("append").parquet(cache))
-    counts = (spark.read.schema(_CACHE).parquet(cache).where(F.col("tokenizer") == version)
-              .select("sha", "n_bytes", "n_tokens"))
+    # jobs that append at once, or one that runs again, may store a count twice
+    counts = stage(open_cache(spark, cache).where(F.col("tokenizer") == version)
+                   .groupBy("sha", "n_bytes").agg(F.max("n_tokens").alias("n_tokens")),
+                   "cached-counts").df
     return digests.join(counts, ["sha", "n_bytes"]).select("doc_id", "n_bytes", "n_tokens")

@@ -26,9 +26,9 @@ MARKS = string.punctuation
 #: Characters of text that are cut at a time; pieces of one generation that a
 #: worker remembers (about 200 bytes each, two generations); the longest piece
 #: worth remembering; words of letters that are encoded as one text.
-CHUNK_CHARS, REMEMBERED, LONGEST, TOGETHER = 6_000_000, 400_000, 24, 100
-#: Bytes of text that operators hold at a time.
-SLICE_BYTES = 8 << 20
+CHUNK_CHARS, REMEMBERED, LONGEST, TOGETHER = 6_000_000, 250_000, 24, 100
+#: Bytes of text that operators hold at a time, and rows of texts to encode.
+SLICE_BYTES, ENCODED_ROWS = 8 << 20, 4096
 
 _encoders: dict[str, PieceEncoder] = {}
 
@@ -225,7 +225,7 @@ def encoder(vocabulary: str) -> PieceEncoder:
     return _encoders[vocabulary]
 
 
-def in_slices(batch, rows: int = 4096, size: int = SLICE_BYTES):
+def in_slices(batch, rows: int = 1024, size: int = SLICE_BYTES):
     """An Arrow batch in slices of few rows and bytes (one row at least):
     bounded memory for long texts."""
     held = np.zeros(batch.num_rows, dtype=np.int64)

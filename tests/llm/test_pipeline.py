@@ -1,0 +1,214 @@
+"""The five stages of the corpus pipeline, each against plain Python on its own input."""
+
+import re
+import zlib
+from collections import Counter, defaultdict
+
+import numpy as np
+import public_tokenizers
+import pytest
+from pyspark.sql import functions as F
+from tokenizers import Tokenizer
+
+import corpus_pipeline
+from conftest import SF_SMALL
+from itemwise.llm import mixing, ngram_join, quality, token_counts
+from itemwise.llm.common import shared_path, stage
+
+STAGES = dict(corpus_pipeline.STAGES)
+COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
+WORDS = re.compile(r"[^\x20\x09-\x0D]+")
+
+
+def lower(t):
+    return re.sub("[A-Z]", lambda m: m[0].lower(), t or "")
+
+
+@pytest.fixture(scope="module")
+def docs(spark):
+    """All documents of the small table, a long text and rows without text, words or id."""
+    whole = spark.read.parquet(f"{SF_SMALL}/documents.parquet")
+    good = max((r.text for r in whole.collect()), key=len)
+    odd = [(9001, None, "en", "s", 0), (9002, "", "en", None, 0), (9003, " \t ", None, "s", 3),
+           (None, "no id", "en", "s", 5), (9004, "Once " * 30_000, "en", "s", 150_000),
+           (9005, good, "en", "s", 1), (9005, good, "en", "s", 1), (9006, good + " end", "en", "s", 1)]
+    return stage(whole.select(*COLUMNS).unionByName(
+        spark.createDataFrame(odd, whole.select(*COLUMNS).schema)), "pipeline-docs").df
+
+
+@pytest.fixture(scope="module")
+def steps(spark, docs):
+    """Input and output rows of every stage."""
+    out, now = {}, docs
+    for name, step in corpus_pipeline.STAGES:
+        after = stage(step(spark, now, SF_SMALL), name).df
+        out[name] = (now, now.collect(), after, after.collect())
+        now = after
+    return out
+
+
+def test_every_stage_but_the_last_keeps_the_columns(steps):
+    assert list(steps) == ["quality", "exact_dedup", "near_dedup", "mix", "pack"]
+    for name in list(steps)[:-1]:
+        assert steps[name][2].columns == COLUMNS
+
+
+def test_quality(spark, steps):
+    given, before, _, after = steps["quality"]
+    model = quality.train(given, spark.read.parquet(f"{SF_SMALL}/labels.parquet"))
+    scores = model.score(np.array([quality.features(r.text) for r in before], dtype=float))
+    want = Counter(r for r, s in zip(before, scores, strict=True) if s >= quality.THRESHOLD)
+    assert Counter(after) == want and 0 < len(after) < len(before)
+    good = {r.doc_id: r.quality for r in
+            spark.read.parquet(f"{SF_SMALL}/labels.parquet").collect()}
+    kept = {r.doc_id for r in after}
+    unseen = [r.doc_id for r in before if r.doc_id in good
+              and zlib.crc32(str(r.doc_id).encode()) % 4 == 2]
+    assert np.mean([(i in kept) == (good[i] == 1) for i in unseen]) >= 0.9
+
+
+def test_exact_dedup(steps):
+    _, before, _, after = steps["exact_dedup"]
+    best = {}
+    for r in before:
+        key = lower(r.text)
+        if key not in best or (r.doc_id or -1) > best[key]:
+            best[key] = r.doc_id or -1
+    assert Counter((r.doc_id or -1, lower(r.text)) for r in after) == Counter(
+        (i, t) for t, i in best.items())
+
+
+def shingles(text):
+    words = WORDS.findall(lower(text))
+    return {tuple(words[i: i + 5]) for i in range(max(1, len(words) - 4))} if words else set()
+
+
+def classes(rows, num, den):
+    """Index of the first row of each row's class, by id (null last)."""
+    order = sorted(range(len(rows)), key=lambda i: (rows[i].doc_id is None, rows[i].doc_id or 0))
+    sets, root = [shingles(r.text) for r in rows], list(range(len(rows)))
+    place = {i: n for n, i in enumerate(order)}
+
+    def find(i):
+        while root[i] != i:
+            i = root[i]
+        return i
+
+    for a in range(len(rows)):
+        for b in range(a):
+            both = len(sets[a] & sets[b])
+            if both and den * both >= num * (len(sets[a]) + len(sets[b]) - both):
+                x, y = sorted((find(a), find(b)), key=place.get)
+                root[y] = x
+    return [find(i) for i in range(len(rows))]
+
+
+def test_near_dedup(steps):
+    _, before, _, after = steps["near_dedup"]
+    first = classes(before, 80, 100)
+    assert Counter(after) == Counter(r for i, r in enumerate(before) if first[i] == i)
+
+
+def test_near_dedup_of_null_and_repeated_ids(spark):
+    base = " ".join(f"w{i}" for i in range(60))
+    rows = [(None, base, "x"), (None, base + " a", "x"), (None, "other text of its own here", "y"),
+            (4, "p " + base[::-1], "z"), (4, "q " + base[::-1], "z"), (5, base[::-1], "z"),
+            (None, None, "n"), (6, "", "n"), (6, " ", "n")]
+    df = spark.createDataFrame(rows, "doc_id long, text string, _id string")
+    got = [tuple(r) for r in ngram_join.drop_near_copies(df).collect()]
+    assert len([r for r in got if r[2] == "x"]) == 1 and len([r for r in got if r[2] == "z"]) == 1
+    assert all(r[0] == 4 for r in got if r[2] == "z")
+    assert sorted(map(str, (r for r in got if r[2] in "yn"))) == sorted(
+        map(str, (r for r in rows if r[2] in "yn")))
+
+
+def test_mix(steps):
+    _, before, _, after = steps["mix"]
+    size = lambda r: len(WORDS.findall(r.text or ""))
+    times, given = Counter(after), Counter(before)
+    assert set(times) <= set(given)
+    for r, n in given.items():
+        assert times[r] == n if size(r) == 0 else times[r] <= 2 * n
+    whole, taken = Counter(), Counter()
+    for r in before:
+        whole[r.source] += size(r)
+    for r in after:
+        taken[r.source] += size(r)
+    # targets by filling up: what exceeds twice a source goes to the others by weight
+    order = sorted(whole, key=lambda s: (s is None, s or ""))
+    weight = {s: (3, 1, 2)[i % 3] for i, s in enumerate(order)}
+    goal, left, open_ = {}, 1.5 * sum(whole.values()), set(order)
+    while open_:
+        share = left / sum(weight[s] for s in open_)
+        full = {s for s in open_ if share * weight[s] >= 2 * whole[s]}
+        for s in full or open_:
+            goal[s] = 2 * whole[s] if full else share * weight[s]
+        left -= sum(goal[s] for s in full)
+        open_ = open_ - full if full else set()
+    longest = max(map(size, before))
+    assert all(abs(taken[s] - goal[s]) <= max(2, longest if whole[s] < 20 * longest else 2)
+               for s in order)
+
+
+def test_mix_of_repeated_rows_and_clashing_names(spark):
+    rows = [(1, "a b c", "s", 10, "m", 1)] * 5 + [(1, "a b c", "t", 10, "m", 2)] * 2 + [
+        (i, "w " * i, "s", 0, "m", i) for i in range(2, 9)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string, _copies int, "
+                                     "_text_md5 string, _row int")
+    plan = mixing.mix(df).groupBy().agg(F.sum("taken").alias("n")).first().n
+    got = mixing.mixed_documents(df).collect()
+    assert sum(len(r.text.split()) for r in got) == plan
+    assert set(got) <= set(df.collect())
+    assert mixing.mixed_documents(df.limit(0)).count() == 0
+
+
+def test_pack(steps):
+    _, before, _, after = steps["pack"]
+    tok = Tokenizer.from_file(public_tokenizers.path("word_bpe_49k.json"))
+    want = Counter()
+    for r in before:
+        want[r.doc_id, (*tok.encode(r.text or "", add_special_tokens=False).ids, 2)] += 1
+    seats, tokens = defaultdict(list), 0
+    pieces = defaultdict(Counter)
+    for r in after:
+        seats[r.sequence_id].append((r.offset, r.length))
+        ids = np.frombuffer(bytes(r.ids), "<u4")
+        assert len(ids) == r.length
+        pieces[r.doc_id][r.start, r.doc_tokens, tuple(ids)] += 1
+        tokens += r.length
+    for places in seats.values():
+        at = 0
+        for offset, length in sorted(places):
+            assert offset == at
+            at += length
+        assert at <= 4096
+    for (doc_id, ids), n in want.items():
+        for a in range(0, len(ids), 4096):
+            assert pieces[doc_id][a, len(ids), ids[a: a + 4096]] >= n
+    assert tokens == sum(len(ids) * n for (_, ids), n in want.items())
+    assert len(seats) <= 1.05 * tokens / 4096 + 1
+
+
+def test_run_is_the_stages_and_an_empty_table_is_empty(spark, steps):
+    for name, step in corpus_pipeline.STAGES:
+        assert step(spark, steps[name][0].limit(0), SF_SMALL).count() == 0
+    run = corpus_pipeline.run(spark, SF_SMALL)
+    assert run.columns == steps["pack"][2].columns and run.count() > 0
+
+
+def test_score_passes_columns_of_any_name(spark):
+    df = spark.createDataFrame([(1, "a text.", "t", 0.5)],
+                               "doc_id long, text string, _text string, _score double")
+    model = quality.fit(np.zeros((0, len(quality.FEATURES))), np.zeros(0))
+    got = quality.score(df, model, "fresh").collect()
+    assert [tuple(r)[:4] for r in got] == [(1, "a text.", "t", 0.5)]
+
+
+def test_counts_stored_twice_count_once(spark):
+    vocabulary = public_tokenizers.path("byte_bpe_50k.json")
+    df = spark.createDataFrame([(i, f"text {i % 4}") for i in range(20)], "doc_id long, text string")
+    cache = shared_path(spark, "cache")
+    first = sorted(token_counts.token_counts(df, vocabulary, cache).collect())
+    token_counts.open_cache(spark, cache).write.mode("append").parquet(cache)
+    assert sorted(token_counts.token_counts(df, vocabulary, cache).collect()) == first
+    assert len(first) == 20
