@@ -1,7 +1,14 @@
 """A training corpus from ``documents``: quality, deduplication, mix, packing.
 
 Each stage takes what its predecessor kept; all but the last return the
-columns of ``documents``.
+columns of its input, whatever else they are called.
+
+Null texts count as empty. The classifier scores every text, the empty one
+too. Of equal texts (A-Z and a-z alike) the largest ``doc_id`` stays, a null id
+only where there is no other; of texts that are nearly equal the smallest, null
+last. Texts without words have no near copies and stand outside the budgets
+of the mix, which keeps them once. Rows that repeat one another are equal texts,
+so one of them is left. An empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -11,7 +18,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from itemwise.llm import exact_dedup, mixing, ngram_join, packing, quality
-from itemwise.llm.common import stage
+from itemwise.llm.common import fresh, stage
 
 #: No stage but the second is expressible in SQL; tests hold them against brute force.
 ORACLE_SQL = None
@@ -20,7 +27,8 @@ ORACLE_SQL = None
 def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the classifier scores at its threshold or above."""
     model = quality.train(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
-    return (quality.score(docs, model).where(F.col("_score") >= quality.THRESHOLD)
+    score, = fresh(docs, "score")
+    return (quality.score(docs, model, score).where(F.col(score) >= quality.THRESHOLD)
             .select(*docs.columns))
 
 
