@@ -28,7 +28,7 @@ from itemwise.llm.tokens import ENCODED_ROWS, encoder, in_slices
 
 CHECKPOINT, BLOCK_TOKENS, MAX_BITS = 128, 1 << 19, 18
 
-_IDS = "pid int, doc_id long, first long, n_tokens long, width int, ids binary"
+_IDS = "pid int, doc_id long, first long, n_tokens long, width int, ids binary, seen binary"
 _BLOCK = ("start long, n_tokens long, doc_ids array<long>, doc_tokens array<long>, "
           "checkpoints binary, bits binary")
 
@@ -104,7 +104,7 @@ class Codebook:
         """All ids of a block, its checkpoints side by side."""
         at = np.frombuffer(checkpoints, dtype="<u8").astype(np.int64)
         lanes = len(at)
-        out = np.zeros((lanes, CHECKPOINT), dtype=np.uint32)
+        out = np.zeros((CHECKPOINT, lanes), dtype=np.uint32)
         raw = np.frombuffer(bits + bytes(16 - len(bits) % 4), dtype=">u4").astype(np.uint64)
         window = (raw[:-1] << np.uint64(32)) | raw[1:]
         last = len(window) - 1
@@ -112,14 +112,15 @@ class Codebook:
         for k in range(CHECKPOINT):
             at_word = np.minimum(at >> 5, last)
             look = (window[at_word] >> (width - (at & 31)).astype(np.uint64)) & mask
-            out[:, k] = self.symbol[look]
+            out[k] = self.symbol[look]
             at = at + self.step[look]
-        return out.reshape(-1)[:n]
+        return out.T.reshape(-1)[:n]
 
 
 def _encode_sorted(docs: DataFrame, vocabulary: str, end_id: int) -> Table:
     """Ids of every document, range-partitioned and sorted by doc_id; ``first``
-    counts the ids before it in its partition."""
+    counts the ids before it in its partition. The first row of a slice of
+    rows carries how often each id stands in them (``seen``)."""
 
     def run(batches):
         enc = encoder(vocabulary)
@@ -131,11 +132,14 @@ def _encode_sorted(docs: DataFrame, vocabulary: str, end_id: int) -> Table:
                 n = np.array([len(x) // enc.width for x in ids], dtype=np.int64)
                 before = first + np.cumsum(n) - n
                 first += int(n.sum())
+                seen = np.bincount(np.frombuffer(b"".join(ids), dtype=enc.dtype))
                 yield pa.RecordBatch.from_arrays(
                     [pa.array([pid] * len(ids), pa.int32()), part.column("doc_id"),
                      pa.array(before), pa.array(n), pa.array([enc.width] * len(ids), pa.int32()),
-                     pa.array(ids, pa.binary())],
-                    names=["pid", "doc_id", "first", "n_tokens", "width", "ids"])
+                     pa.array(ids, pa.binary()),
+                     pa.array([seen.astype("<i8").tobytes(), *[None] * (len(ids) - 1)],
+                              pa.binary())],
+                    names=["pid", "doc_id", "first", "n_tokens", "width", "ids", "seen"])
 
     ordered = plain(docs).repartitionByRange("doc_id").sortWithinPartitions("doc_id", "text")
     path = shared_path(docs.sparkSession, "token-ids")
@@ -144,27 +148,21 @@ def _encode_sorted(docs: DataFrame, vocabulary: str, end_id: int) -> Table:
     return Table(docs.sparkSession.read.schema(ids.schema).parquet(path), path)
 
 
-def _as_ids(column, width) -> list[np.ndarray]:
-    return [np.frombuffer(x, dtype=f"<u{w}") for x, w in zip(column.to_pylist(), width.to_pylist(),
-                                                              strict=True)]
-
-
 def _counts(ids: DataFrame) -> tuple[np.ndarray, np.ndarray]:
     """Ids that occur and their global counts; at most one row per vocabulary entry."""
 
     def run(batches):
         total = np.zeros(0, dtype=np.int64)
         for batch in batches:
-            for part in in_slices(batch):
-                got = _as_ids(part.column("ids"), part.column("width"))
-                here = np.bincount(np.concatenate(got)) if got else total[:0]
+            for x in batch.column("seen").to_pylist():
+                here = np.frombuffer(x, dtype="<i8").copy()
                 if len(here) > len(total):
-                    here, total = total, here.astype(np.int64)
+                    here, total = total, here
                 total[: len(here)] += here
         at = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(total[at])], names=["id", "n"])
 
-    rows = (ids.select("ids", "width").mapInArrow(run, "id long, n long")
+    rows = (ids.select("seen").where("seen is not null").mapInArrow(run, "id long, n long")
             .groupBy("id").agg(F.sum("n").alias("n")).orderBy("id").toPandas())
     return rows["id"].to_numpy(dtype=np.int64), rows["n"].to_numpy(dtype=np.int64)
 
@@ -218,7 +216,7 @@ def write(docs: DataFrame, folder: str, vocabulary: str, end_id: int = 2,
         if held:
             yield block()
 
-    (table.df.mapInArrow(run, _BLOCK)
+    (table.df.drop("seen").mapInArrow(run, _BLOCK)
      .write.option("compression", "none").parquet(f"{folder}/blocks"))
     table.drop()
 
@@ -237,10 +235,12 @@ def read(spark: SparkSession, folder: str) -> DataFrame:
                 ids = codes.decode(row["bits"], row["checkpoints"], row["n_tokens"]).astype("<u4")
                 n = np.array(row["doc_tokens"], dtype=np.int64)
                 ends = np.cumsum(n)
-                out = [ids[e - k: e].tobytes() for e, k in zip(ends, n, strict=True)]
+                offsets = np.concatenate([[0], ends * 4]).astype("<i4")
+                out = pa.Array.from_buffers(pa.binary(), len(n), [
+                    None, pa.py_buffer(offsets), pa.py_buffer(ids)])
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(row["doc_ids"], pa.int64()), pa.array(row["start"] + ends - n),
-                     pa.array(n), pa.array(out, pa.binary())],
+                     pa.array(n), out],
                     names=["doc_id", "start", "n_tokens", "ids"])
 
     blocks = spark.read.schema(_BLOCK).parquet(f"{folder}/blocks")
