@@ -10,7 +10,9 @@ pairs that meet in none are below the bound and are never formed. The order
 puts rare n-grams first, so that a passage, line or phrase that very many
 documents share is in no short prefix: a table of ``BUCKETS`` counts over all
 n-grams of all documents, of fixed size at any scale, ranks them. The table
-steers the work only; any order gives the same links. The overlap of what is
+steers the work only; any order gives the same links. Pairs that meet are
+held against a second bound first, the parities of both sets in a few hundred
+cells, which rules most of them out before a text moves. The overlap of what is
 left is counted exactly (``shingles.linked``), block pair by block pair, and
 components of the links are the classes.
 
@@ -29,9 +31,10 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from itemwise.llm.common import fresh, id_key, plain, stage
+from itemwise.llm.common import Table, fresh, id_key, plain, stage
 from itemwise.llm.shingles import (
     KEYS,
+    SKETCH,
     deal_keys,
     in_windows,
     linked,
@@ -39,6 +42,7 @@ from itemwise.llm.shingles import (
     packed,
     shared_keys,
     shingle_set,
+    sketch,
 )
 from itemwise.llm.tokens import in_slices
 
@@ -66,42 +70,50 @@ def _sets(part, words: int):
         yield shingle_set((text or "").encode("utf-8", "surrogatepass"), words)
 
 
-def _bucket_counts(named: DataFrame, words: int) -> np.ndarray:
-    """Occurrences of all n-grams of all documents by bucket: at most
-    2 ** BUCKET_BITS numbers, whatever the corpus."""
+def _described(named: DataFrame, words: int) -> tuple[Table, np.ndarray]:
+    """doc_id, h, n_shingles, node (name of the set) and sketch of every row,
+    written; and how often all documents hold the n-grams of each bucket, at
+    most 2 ** BUCKET_BITS numbers whatever the corpus. One pass gives both: a
+    task's counts follow its rows, told apart by ``bucket``."""
+
+    def row(doc_ids, hashes, sets):
+        drawn = np.stack([sketch(s) for s in sets])
+        return [doc_ids, hashes, pa.array([len(s) for s in sets], pa.int64()),
+                pa.array([name(s) for s in sets], pa.int64()),
+                *[pa.array(np.ascontiguousarray(c)) for c in drawn.T],
+                pa.nulls(len(sets), pa.int64()), pa.nulls(len(sets), pa.int64())]
+
+    columns = ["doc_id", "h", "n_shingles", "node", *SKETCH, "bucket", "held"]
 
     def run(batches):
         total = np.zeros(1 << BUCKET_BITS, dtype=np.int64)
         for batch in batches:
             for part in in_slices(batch):
-                total += np.bincount(_bucket(np.concatenate(list(_sets(part, words)))),
-                                     minlength=len(total))
+                sets = list(_sets(part, words))
+                total += np.bincount(_bucket(np.concatenate(sets)), minlength=len(total))
+                yield pa.RecordBatch.from_arrays(
+                    row(part.column("doc_id"), part.column("h"), sets), names=columns)
         at = np.flatnonzero(total)
-        yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(total[at])],
-                                         names=["bucket", "n"])
-
-    rows = (named.select("text").mapInArrow(run, "bucket long, n long")
-            .groupBy("bucket").agg(F.sum("n").alias("n")).toPandas())
+        for i in range(0, len(at), 1 << 16):
+            cut = at[i: i + (1 << 16)]
+            yield pa.RecordBatch.from_arrays(
+                [*[pa.nulls(len(cut), pa.int64())] * (len(columns) - 2), pa.array(cut),
+                 pa.array(total[cut])], names=columns)
+
+    described = stage(named.mapInArrow(run, ", ".join(f"{c} long" for c in columns)), "set-names")
+    found = (described.df.where("bucket is not null").groupBy("bucket")
+             .agg(F.sum("held").alias("n")).toPandas())
     counts = np.zeros(1 << BUCKET_BITS, dtype=np.int64)
-    counts[rows["bucket"].to_numpy(dtype=np.int64)] = rows["n"].to_numpy(dtype=np.int64)
-    return counts
+    counts[found["bucket"].to_numpy(dtype=np.int64)] = found["n"].to_numpy(dtype=np.int64)
+    return Table(described.df.where("bucket is null").drop("bucket", "held"),
+                 described.path), counts
 
 
 def _rooted(docs: DataFrame, words: int, num: int, den: int) -> DataFrame:
     """doc_id, h (hash of the text), n_shingles and the root of its class, of
     every row; written."""
     named = _named(docs)
-    counts = _bucket_counts(named, words)
-
-    def sizes(batches):
-        for batch in batches:
-            for part in in_slices(batch):
-                sets = list(_sets(part, words))
-                yield pa.RecordBatch.from_arrays(
-                    [part.column("doc_id"), part.column("h"),
-                     pa.array([len(s) for s in sets], pa.int64()),
-                     pa.array([name(s) for s in sets], pa.int64())],
-                    names=["doc_id", "h", "n_shingles", "node"])
+    rows, counts = _described(named, words)
 
     def blocks(batches):
         def rows():
@@ -121,11 +133,10 @@ def _rooted(docs: DataFrame, words: int, num: int, den: int) -> DataFrame:
                          for t in part.column("text").to_pylist()])],
                     names=["node", "n", "body"])
 
-    rows = stage(named.mapInArrow(
-        sizes, "doc_id long, h long, n_shingles long, node long"), "set-names")
     shared = shared_keys(named.select("text").mapInArrow(blocks, KEYS))
     sizes = stage(rows.df.groupBy("node").agg(
-        F.min(F.struct("doc_id", "h")).alias("of"), F.max("n_shingles").alias("n")), "sizes")
+        F.min(F.struct("doc_id", "h")).alias("of"), F.max("n_shingles").alias("n"),
+        *[F.max(c).alias(c) for c in SKETCH]), "sizes")
     members = in_windows(shared.df, sizes.df.select("node", "n"), num, den)
     # the text of one document of each set that shares a window with another
     speaker = stage(sizes.df.join(members.df.select("node").distinct(), "node", "left_semi")
@@ -136,7 +147,7 @@ def _rooted(docs: DataFrame, words: int, num: int, den: int) -> DataFrame:
              .join(speaker.df.hint("merge"), ["id", "h"]).dropDuplicates(["id", "h"])
              .select("node", "n", "text"))
     sets = stage(texts.mapInArrow(contents, "node long, n long, body binary"), "candidate-texts")
-    roots = linked(members.df, sets.df, words, num, den)
+    roots = linked(members.df, sets.df, words, num, den, sizes.df.select("node", "n", *SKETCH))
     for done in (shared, sizes, members, speaker, sets):
         done.drop()
     rooted = stage(rows.df.join(roots, "node", "left").select(

@@ -23,6 +23,9 @@ HELD_KEYS, BLOCK_SHINGLES = 1 << 20, 1 << 17
 #: Rounds of leads before what is still open is multiplied in blocks; any
 #: number gives the same links.
 ROUNDS = 3
+#: Bits of a sketch and its columns; they only spare work, see ``sketch``.
+SKETCH_BITS = 512
+SKETCH = [f"s{i}" for i in range(SKETCH_BITS // 64)]
 _P = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -66,6 +69,15 @@ def unpacked(body: bytes, words: int) -> np.ndarray:
     return shingle_set(zstandard.ZstdDecompressor().decompress(body), words)
 
 
+def sketch(shingles: np.ndarray) -> np.ndarray:
+    """Parities of the set's members in SKETCH_BITS cells, as longs. Members
+    that two sets share cancel out, so sketches differ in at most as many bits
+    as the sets do in members."""
+    odd = np.bincount((shingles & np.uint64(SKETCH_BITS - 1)).astype(np.int64),
+                      minlength=SKETCH_BITS) & 1
+    return np.packbits(odd.astype(np.uint8)).view(np.int64)
+
+
 def similar(shared, a, b, num: int, den: int):
     """Jaccard of at least num / den, in integers."""
     return den * shared >= num * (a + b - shared)
@@ -149,13 +161,23 @@ def in_windows(shared: DataFrame, sizes: DataFrame, num: int, den: int) -> Table
     return found
 
 
-def _could_link(pairs: DataFrame, sets: DataFrame, num: int, den: int) -> DataFrame:
-    """Pairs whose sizes allow the link: the overlap cannot pass the smaller set."""
-    sizes = sets.select("node", F.col("n").alias("a"))
-    other = sets.select(F.col("node").alias("lead"), F.col("n").alias("b"))
-    return (pairs.join(sizes, "node").join(other, "lead")
-            .where(F.lit(den) * F.least("a", "b") >= F.lit(num) * F.greatest("a", "b"))
-            .select("lead", "node"))
+def could_link(pairs: DataFrame, sizes: DataFrame, num: int, den: int) -> DataFrame:
+    """Pairs whose sizes, and sketches if ``sizes`` has them, allow the link.
+
+    The overlap cannot pass the smaller set; and sets of a and b members link
+    only where at most (a + b)(den - num) / (den + num) members are in one of
+    them alone, which is no less than the bits that differ. No text is read.
+    """
+    drawn = [c for c in SKETCH if c in sizes.columns]
+    one = sizes.select("node", F.col("n").alias("a"), *[F.col(c).alias(f"a_{c}") for c in drawn])
+    two = sizes.select(F.col("node").alias("lead"), F.col("n").alias("b"),
+                       *[F.col(c).alias(f"b_{c}") for c in drawn])
+    near = F.lit(den) * F.least("a", "b") >= F.lit(num) * F.greatest("a", "b")
+    if drawn:
+        apart = sum((F.bit_count(F.col(f"a_{c}").bitwiseXOR(F.col(f"b_{c}"))) for c in drawn),
+                    F.lit(0))
+        near &= apart * F.lit(den + num) <= (F.col("a") + F.col("b")) * F.lit(den - num)
+    return pairs.join(one, "node").join(two, "lead").where(near).select("lead", "node")
 
 
 def _verify(pairs: DataFrame, sets: DataFrame, words: int, num: int, den: int) -> DataFrame:
@@ -306,12 +328,14 @@ def _still_open(members: DataFrame, leads: DataFrame, roots: DataFrame) -> Table
     return found
 
 
-def linked(members: DataFrame, sets: DataFrame, words: int, num: int, den: int) -> DataFrame:
+def linked(members: DataFrame, sets: DataFrame, words: int, num: int, den: int,
+           sizes: DataFrame | None = None) -> DataFrame:
     """node and root of every node that has a link of Jaccard num / den or more.
 
     ``members`` (key, w, node; from ``in_windows``) must hold a common key for
     every pair that links; ``sets`` holds the packed text (``body``) and set
-    size (``n``) of its nodes. No row per pair of a key is made: in rounds,
+    size (``n``) of its nodes. ``sizes`` (node, n and the columns ``SKETCH``), if
+    given, rules pairs out before a text is read. No row per pair of a key is made: in rounds,
     the members of a key are verified against its lead, which then leaves the
     key, and keys with all members connected close. Keys still open after
     ``ROUNDS`` are bundled by their windows, and inside a bundle all rows
@@ -322,7 +346,7 @@ def linked(members: DataFrame, sets: DataFrame, words: int, num: int, den: int)
     roots = checked = None
     for _ in range(ROUNDS):
         pairs, leads = _leaders(members)
-        close = _could_link(pairs.df, sets, num, den)
+        close = could_link(pairs.df, sets if sizes is None else sizes, num, den)
         if roots is not None:
             close = _new_pairs(close, roots, checked)
         close = stage(close, "close-pairs")
@@ -358,5 +382,5 @@ def linked(members: DataFrame, sets: DataFrame, words: int, num: int, den: int)
     return stage(components(edges), "components").df
 
 
-__all__ = ["KEYS", "block_links", "deal_keys", "in_windows", "linked", "mix", "name", "packed", "shared_keys",
-           "shingle_set", "similar", "unpacked"]
+__all__ = ["KEYS", "SKETCH", "block_links", "could_link", "deal_keys", "in_windows", "linked", "mix",
+           "name", "packed", "shared_keys", "shingle_set", "similar", "sketch", "unpacked"]

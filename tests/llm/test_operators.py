@@ -224,6 +224,30 @@ def test_near_classes_of_texts_that_share_phrases(spark, monkeypatch, rounds):
     assert got == dict(enumerate(root)) and called
 
 
+@pytest.mark.parametrize("num", [60, 80, 90])
+def test_sketches_rule_out_no_link(spark, num):
+    """Every pair that links stays, at the very bound too; most others go."""
+    rng, sets = np.random.default_rng(num), []
+    for n in (1, 2, 9, 19, 40, 300, 2000, 9000):
+        whole = rng.integers(0, 1 << 63, n, dtype=np.uint64)
+        sets.append(np.unique(whole))
+        for gone in {0, 1, n * (100 - num) // 100, n * (100 - num) // 100 + 1, n // 2}:
+            sets.append(np.unique(whole[gone:]) if gone < n else whole[:1])
+            sets.append(np.unique(np.append(whole, rng.integers(0, 1 << 63, gone,
+                                                                dtype=np.uint64))))
+    sizes = spark.createDataFrame(
+        [(i, len(s), *near_sets.sketch(s).tolist()) for i, s in enumerate(sets)],
+        "node long, n long, " + ", ".join(f"{c} long" for c in near_sets.SKETCH))
+    pairs = list(itertools.combinations(range(len(sets)), 2))
+    left = {tuple(r) for r in near_sets.could_link(
+        spark.createDataFrame(pairs, "lead long, node long"), sizes, num, 100).collect()}
+    for a, b in pairs:
+        n = len(np.intersect1d(sets[a], sets[b]))
+        if 100 * n >= num * (len(sets[a]) + len(sets[b]) - n):
+            assert (a, b) in left
+    assert len(left) < len(pairs) / 4
+
+
 def test_repeated_paragraphs(docs, none):
     rows = paragraphs.repeated_paragraphs(docs, 20).collect()
     found = {(r.doc_id, r.paragraph) for r in rows}
