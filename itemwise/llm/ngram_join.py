@@ -11,8 +11,8 @@ puts rare n-grams first, so that a passage, line or phrase that very many
 documents share is in no short prefix: a table of ``BUCKETS`` counts over all
 n-grams of all documents, of fixed size at any scale, ranks them. The table
 steers the work only; any order gives the same links. Pairs that meet are
-held against a second bound first, the parities of both sets in a few hundred
-cells, which rules most of them out before a text moves. The overlap of what is
+held against a second bound first, parities and counts of both sets in a few
+hundred cells, which rules most of them out before a text moves. The overlap of what is
 left is counted exactly (``shingles.linked``), block pair by block pair, and
 components of the links are the classes.
 
@@ -35,6 +35,7 @@ from itemwise.llm.common import Table, fresh, id_key, plain, stage
 from itemwise.llm.shingles import (
     KEYS,
     SKETCH,
+    cells,
     deal_keys,
     in_windows,
     linked,
@@ -71,8 +72,8 @@ def _sets(part, words: int):
 
 
 def _described(named: DataFrame, words: int) -> tuple[Table, np.ndarray]:
-    """doc_id, h, n_shingles, node (name of the set) and sketch of every row,
-    written; and how often all documents hold the n-grams of each bucket, at
+    """doc_id, h, n_shingles, node (name of the set), sketch and cells of every
+    row, written; and how often all documents hold the n-grams of each bucket, at
     most 2 ** BUCKET_BITS numbers whatever the corpus. One pass gives both: a
     task's counts follow its rows, told apart by ``bucket``."""
 
@@ -81,9 +82,10 @@ def _described(named: DataFrame, words: int) -> tuple[Table, np.ndarray]:
         return [doc_ids, hashes, pa.array([len(s) for s in sets], pa.int64()),
                 pa.array([name(s) for s in sets], pa.int64()),
                 *[pa.array(np.ascontiguousarray(c)) for c in drawn.T],
-                pa.nulls(len(sets), pa.int64()), pa.nulls(len(sets), pa.int64())]
+                pa.nulls(len(sets), pa.int64()), pa.nulls(len(sets), pa.int64()),
+                pa.array([cells(s) for s in sets], pa.binary())]
 
-    columns = ["doc_id", "h", "n_shingles", "node", *SKETCH, "bucket", "held"]
+    columns = ["doc_id", "h", "n_shingles", "node", *SKETCH, "bucket", "held", "cells"]
 
     def run(batches):
         total = np.zeros(1 << BUCKET_BITS, dtype=np.int64)
@@ -97,10 +99,11 @@ def _described(named: DataFrame, words: int) -> tuple[Table, np.ndarray]:
         for i in range(0, len(at), 1 << 16):
             cut = at[i: i + (1 << 16)]
             yield pa.RecordBatch.from_arrays(
-                [*[pa.nulls(len(cut), pa.int64())] * (len(columns) - 2), pa.array(cut),
-                 pa.array(total[cut])], names=columns)
+                [*[pa.nulls(len(cut), pa.int64())] * (len(columns) - 3), pa.array(cut),
+                 pa.array(total[cut]), pa.nulls(len(cut), pa.binary())], names=columns)
 
-    described = stage(named.mapInArrow(run, ", ".join(f"{c} long" for c in columns)), "set-names")
+    described = stage(named.mapInArrow(
+        run, ", ".join(f"{c} long" for c in columns[:-1]) + ", cells binary"), "set-names")
     found = (described.df.where("bucket is not null").groupBy("bucket")
              .agg(F.sum("held").alias("n")).toPandas())
     counts = np.zeros(1 << BUCKET_BITS, dtype=np.int64)
@@ -136,7 +139,7 @@ def _rooted(docs: DataFrame, words: int, num: int, den: int) -> DataFrame:
     shared = shared_keys(named.select("text").mapInArrow(blocks, KEYS))
     sizes = stage(rows.df.groupBy("node").agg(
         F.min(F.struct("doc_id", "h")).alias("of"), F.max("n_shingles").alias("n"),
-        *[F.max(c).alias(c) for c in SKETCH]), "sizes")
+        *[F.max(c).alias(c) for c in [*SKETCH, "cells"]]), "sizes")
     members = in_windows(shared.df, sizes.df.select("node", "n"), num, den)
     # the text of one document of each set that shares a window with another
     speaker = stage(sizes.df.join(members.df.select("node").distinct(), "node", "left_semi")
@@ -147,7 +150,7 @@ def _rooted(docs: DataFrame, words: int, num: int, den: int) -> DataFrame:
              .join(speaker.df.hint("merge"), ["id", "h"]).dropDuplicates(["id", "h"])
              .select("node", "n", "text"))
     sets = stage(texts.mapInArrow(contents, "node long, n long, body binary"), "candidate-texts")
-    roots = linked(members.df, sets.df, words, num, den, sizes.df.select("node", "n", *SKETCH))
+    roots = linked(members.df, sets.df, words, num, den, sizes.df.drop("of"))
     for done in (shared, sizes, members, speaker, sets):
         done.drop()
     rooted = stage(rows.df.join(roots, "node", "left").select(

@@ -26,6 +26,9 @@ ROUNDS = 3
 #: Bits of a sketch and its columns; they only spare work, see ``sketch``.
 SKETCH_BITS = 512
 SKETCH = [f"s{i}" for i in range(SKETCH_BITS // 64)]
+#: Cells of the counts that rule out pairs of long sets, whose sketches are
+#: full; pairs of a block that are held against them one by one.
+CELLS, HELD_PAIRS = 256, 1 << 18
 _P = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -78,6 +81,25 @@ def sketch(shingles: np.ndarray) -> np.ndarray:
     return np.packbits(odd.astype(np.uint8)).view(np.int64)
 
 
+def cells(shingles: np.ndarray) -> bytes:
+    """Members of the set in each of CELLS cells, modulo 256."""
+    at = (shingles >> np.uint64(16)) & np.uint64(CELLS - 1)
+    return np.bincount(at.astype(np.int64), minlength=CELLS).astype(np.uint8).tobytes()
+
+
+def apart(x: np.ndarray, y: np.ndarray) -> np.ndarray:
+    """Least number of members in one set alone, from rows of ``cells``; each
+    difference is taken the short way round 256."""
+    d = x - y
+    return np.minimum(d, np.uint8(0) - d).sum(axis=1, dtype=np.int64)
+
+
+def near_enough(alone, a, b, num: int, den: int):
+    """Whether sets of a and b members, ``alone`` of them or more in one set
+    only, can link."""
+    return alone * (den + num) <= (a + b) * (den - num)
+
+
 def similar(shared, a, b, num: int, den: int):
     """Jaccard of at least num / den, in integers."""
     return den * shared >= num * (a + b - shared)
@@ -174,12 +196,65 @@ def could_link(pairs: DataFrame, sizes: DataFrame, num: int, den: int) -> DataFr
                        *[F.col(c).alias(f"b_{c}") for c in drawn])
     near = F.lit(den) * F.least("a", "b") >= F.lit(num) * F.greatest("a", "b")
     if drawn:
-        apart = sum((F.bit_count(F.col(f"a_{c}").bitwiseXOR(F.col(f"b_{c}"))) for c in drawn),
+        alone = sum((F.bit_count(F.col(f"a_{c}").bitwiseXOR(F.col(f"b_{c}"))) for c in drawn),
                     F.lit(0))
-        near &= apart * F.lit(den + num) <= (F.col("a") + F.col("b")) * F.lit(den - num)
+        near &= near_enough(alone, F.col("a"), F.col("b"), num, den)
     return pairs.join(one, "node").join(two, "lead").where(near).select("lead", "node")
 
 
+def cells_allow(pairs: DataFrame, sizes: DataFrame, num: int, den: int) -> DataFrame:
+    """Pairs that the counts of ``cells`` allow to link."""
+    one = sizes.select("node", F.col("n").alias("a"), F.col("cells").alias("x"))
+    two = sizes.select(F.col("node").alias("lead"), F.col("n").alias("b"),
+                       F.col("cells").alias("y"))
+
+    def run(batches):
+        for batch in batches:
+            for at in range(0, batch.num_rows, 4096):
+                part = batch.slice(at, 4096)
+                x, y = (np.frombuffer(b"".join(part.column(c).to_pylist()), dtype=np.uint8)
+                        .reshape(-1, CELLS) for c in "xy")
+                a, b = (part.column(c).to_numpy() for c in "ab")
+                mask = pa.array(near_enough(apart(x, y), a, b, num, den))
+                yield pa.RecordBatch.from_arrays(
+                    [part.column(c).filter(mask) for c in ("lead", "node")],
+                    names=["lead", "node"])
+
+    return pairs.join(one, "node").join(two, "lead").mapInArrow(run, "lead long, node long")
+
+
+def live_rows(rows: pd.DataFrame, num: int, den: int) -> np.ndarray:
+    """Mask of the rows of one block pair that may link with a row of another
+    root there, by sizes, sketches and cells; never less than those that do."""
+    n, side = rows["n"].to_numpy(), rows["side"].to_numpy()
+    _, root = np.unique(rows["root"].to_numpy(), return_inverse=True)
+    bits = np.unpackbits(np.ascontiguousarray(rows[SKETCH].to_numpy(dtype=np.int64))
+                         .view(np.uint8), axis=1).astype(np.float32)
+    held = bits.sum(axis=1)
+    count = np.frombuffer(b"".join(rows["cells"]), dtype=np.uint8).reshape(-1, CELLS)
+    live = np.zeros(len(rows), dtype=bool)
+    two = side.max() > 0
+    left = np.flatnonzero(side == 1) if two else np.arange(len(rows))
+    right = np.flatnonzero(side == 0) if two else left
+    for at in range(0, len(left), 256):
+        x = left[at: at + 256]
+        alone = held[x][:, None] + held[right] - 2 * (bits[x] @ bits[right].T)
+        a, b = n[x][:, None], n[right]
+        met = ((root[x][:, None] != root[right])
+               & (den * np.minimum(a, b) >= num * np.maximum(a, b))
+               & near_enough(alone, a, b, num, den))
+        i, j = np.nonzero(met)
+        i, j = x[i], right[j]
+        if len(i) <= HELD_PAIRS:
+            keep = np.ones(len(i), dtype=bool)
+            for k in range(0, len(i), 4096):
+                u, v = i[k: k + 4096], j[k: k + 4096]
+                keep[k: k + 4096] = near_enough(apart(count[u], count[v]), n[u], n[v], num, den)
+            i, j = i[keep], j[keep]
+        live[i] = live[j] = True
+    return live
+
+
 def _verify(pairs: DataFrame, sets: DataFrame, words: int, num: int, den: int) -> DataFrame:
     """The pairs (lead, node) that link."""
 
@@ -266,8 +341,9 @@ def _leaders(shared: DataFrame) -> tuple[Table, Table]:
     return pairs, lead
 
 
-def _blocks(open_: DataFrame, sets: DataFrame) -> DataFrame:
-    """Rows of block pairs of every bundle in ``open_`` (node, root, bundle)."""
+def _blocks(open_: DataFrame, sets: DataFrame, carried: list[str]) -> DataFrame:
+    """Rows of block pairs of every bundle in ``open_`` (node, root, bundle), with
+    the columns ``carried`` of ``sets``."""
     sized = stage(open_.join(sets.select("node", "n"), "node"), "bundles").df
     largest = (sized.groupBy("bundle", "root").agg(F.count("*").alias("n")).groupBy("bundle")
                .agg(F.max(F.struct("n", "root")).alias("top"))
@@ -300,8 +376,23 @@ def _blocks(open_: DataFrame, sets: DataFrame) -> DataFrame:
             .select(*base, F.lit("rest").alias("kind"), F.least("own", "t").alias("i"),
                     F.greatest("own", "t").alias("j"),
                     (F.col("own") > F.col("t")).cast("int").alias("side")))
+    of = sets.join(open_.select("node").distinct(), "node", "left_semi")
     return main.unionByName(met).unionByName(rest).join(
-        sets.select("node", "body").hint("merge"), "node")
+        of.select("node", *carried).hint("merge"), "node")
+
+
+def _may_meet(open_: DataFrame, sizes: DataFrame, num: int, den: int) -> DataFrame:
+    """The rows of ``open_`` that may link inside their bundle; blocks of
+    sketches are multiplied, so no text is read for the others."""
+
+    def run(pdf: pd.DataFrame) -> pd.DataFrame:
+        return pdf.loc[live_rows(pdf, num, den), ["bundle", "node"]]
+
+    placed = stage(open_, "placed").df
+    live = stage(_blocks(placed, sizes, ["n", "cells", *SKETCH]).groupBy(
+        "bundle", "kind", "i", "j").applyInPandas(run, "bundle long, node long").distinct(),
+        "live").df
+    return stage(placed.join(live, ["bundle", "node"], "left_semi"), "live-nodes").df
 
 
 def _new_pairs(pairs: DataFrame, roots: DataFrame, checked: DataFrame) -> DataFrame:
@@ -334,8 +425,8 @@ def linked(members: DataFrame, sets: DataFrame, words: int, num: int, den: int,
 
     ``members`` (key, w, node; from ``in_windows``) must hold a common key for
     every pair that links; ``sets`` holds the packed text (``body``) and set
-    size (``n``) of its nodes. ``sizes`` (node, n and the columns ``SKETCH``), if
-    given, rules pairs out before a text is read. No row per pair of a key is made: in rounds,
+    size (``n``) of its nodes. ``sizes`` (node, n, cells and the columns
+    ``SKETCH``), if given, rules pairs out before a text is read. No row per pair of a key is made: in rounds,
     the members of a key are verified against its lead, which then leaves the
     key, and keys with all members connected close. Keys still open after
     ``ROUNDS`` are bundled by their windows, and inside a bundle all rows
@@ -349,7 +440,12 @@ def linked(members: DataFrame, sets: DataFrame, words: int, num: int, den: int,
         close = could_link(pairs.df, sets if sizes is None else sizes, num, den)
         if roots is not None:
             close = _new_pairs(close, roots, checked)
+        if sizes is not None:
+            drawn = stage(close, "drawn-pairs")
+            close = cells_allow(drawn.df, sizes, num, den)
         close = stage(close, "close-pairs")
+        if sizes is not None:
+            drawn.drop()
         links = stage(_verify(close.df, sets, words, num, den), "links")
         edges = links.df.select("node", F.col("lead").alias("root"))
         if roots is not None:
@@ -368,7 +464,9 @@ def linked(members: DataFrame, sets: DataFrame, words: int, num: int, den: int,
     open_ = (stage(placed.select("node", "root", "u").distinct(), "open-nodes").df
              .join(bundles.select(F.col("node").alias("u"), F.col("root").alias("bundle")), "u")
              .select("node", "root", "bundle"))
-    rows = _blocks(open_, sets)
+    if sizes is not None:
+        open_ = _may_meet(open_, sizes, num, den)
+    rows = _blocks(open_, sets, ["body"])
 
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
         return pd.DataFrame(block_links(pdf, words, num, den), columns=["a", "b"]).astype("int64")
@@ -382,5 +480,5 @@ def linked(members: DataFrame, sets: DataFrame, words: int, num: int, den: int,
     return stage(components(edges), "components").df
 
 
-__all__ = ["KEYS", "SKETCH", "block_links", "could_link", "deal_keys", "in_windows", "linked", "mix",
-           "name", "packed", "shared_keys", "shingle_set", "similar", "sketch", "unpacked"]
+__all__ = ["KEYS", "SKETCH", "block_links", "cells", "cells_allow", "could_link", "deal_keys", "in_windows", "linked", "live_rows",
+           "mix",           "name", "packed", "shared_keys", "shingle_set", "similar", "sketch", "unpacked"]

@@ -236,16 +236,24 @@ def test_sketches_rule_out_no_link(spark, num):
             sets.append(np.unique(np.append(whole, rng.integers(0, 1 << 63, gone,
                                                                 dtype=np.uint64))))
     sizes = spark.createDataFrame(
-        [(i, len(s), *near_sets.sketch(s).tolist()) for i, s in enumerate(sets)],
-        "node long, n long, " + ", ".join(f"{c} long" for c in near_sets.SKETCH))
+        [(i, len(s), near_sets.cells(s), *near_sets.sketch(s).tolist())
+         for i, s in enumerate(sets)],
+        "node long, n long, cells binary, " + ", ".join(f"{c} long" for c in near_sets.SKETCH))
     pairs = list(itertools.combinations(range(len(sets)), 2))
     left = {tuple(r) for r in near_sets.could_link(
         spark.createDataFrame(pairs, "lead long, node long"), sizes, num, 100).collect()}
+    counted = {tuple(r) for r in near_sets.cells_allow(
+        spark.createDataFrame(pairs, "lead long, node long"), sizes, num, 100).collect()}
+    rows = sizes.toPandas().assign(root=range(len(sets)), side=0)
+    live = near_sets.live_rows(rows, num, 100)
+    by_side = near_sets.live_rows(rows.assign(side=rows["node"] % 2), num, 100)
     for a, b in pairs:
         n = len(np.intersect1d(sets[a], sets[b]))
         if 100 * n >= num * (len(sets[a]) + len(sets[b]) - n):
-            assert (a, b) in left
-    assert len(left) < len(pairs) / 4
+            assert (a, b) in left and (a, b) in counted and live[a] and live[b]
+            assert (a + b) % 2 == 0 or (by_side[a] and by_side[b])
+    assert len(left) < len(pairs) / 4 and len(counted) < len(pairs) / 2
+    assert near_sets.live_rows(rows.assign(root=0), num, 100).sum() == 0
 
 
 def test_repeated_paragraphs(docs, none):
