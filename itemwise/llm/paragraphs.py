@@ -17,13 +17,16 @@ MIN_WORDS + WINDOW - 1 words (29) or more choose alike and hold at least one
 whole common passage (of equal ones that overlap in a text, as those of a word
 said over and over do, the first stands for all). Equal passages are one cluster; the first occurrence
 stays, and of the others what no removed line and no later removed passage
-covers is a row, so rows of a text do not overlap.
+covers is removed, so rows of a text do not overlap. Neighbouring stretches
+that stay in the same document are one row, with the cluster and place of the
+first.
 
 Contract: words as in the n-gram join (A-Z lower-cased, ASCII blanks). Equal
 shingle sets are one node, so thousands of copies of a passage are compared
 once. Null and empty texts have no paragraphs; rows repeated with the same
-doc_id are one document; an empty table returns none; other columns are not
-read. Result: one row per paragraph or passage to remove: doc_id, paragraph
+doc_id and text are one document, rows of one id or none with other texts are
+documents of their own (a null id comes first); an empty table returns none;
+other columns are not read. Result: one row per paragraph or passage to remove: doc_id, paragraph
 (line number from 0, of a passage the line it begins in), start and length
 (characters), n_words, cluster_id, keep_doc_id and keep_paragraph.
 """
@@ -229,9 +232,10 @@ def repeated_passages(named: DataFrame, size: int) -> DataFrame:
 
 def _apart(lines: DataFrame, parts: DataFrame) -> DataFrame:
     """Removed lines, and of the removed passages the words that no removed
-    line and no later removed passage of the text has."""
+    line and no later removed passage of the text has; neighbours joined."""
     both = (lines.select(*parts.columns, F.lit(0).alias("kind"))
             .unionByName(parts.withColumn("kind", F.lit(1)))
+            .dropDuplicates(["doc_id", "h", "at", "kind"])
             .withColumn("till", F.col("at") + F.col("n_words"))
             .withColumn("stop", F.col("start") + F.col("length")))
     order = Window.partitionBy("doc_id", "h").orderBy("at", "kind")
@@ -246,11 +250,26 @@ def _apart(lines: DataFrame, parts: DataFrame) -> DataFrame:
     at = F.when(cut, F.col("line.till")).otherwise(F.col("at"))
     n_words = F.when(met, F.col("next.at")).otherwise(F.col("till")) - at
     length = F.when(met, F.col("next.start")).otherwise(F.col("stop")) - start
-    return seen.select(
-        "doc_id", F.when(cut, F.col("line.paragraph") + 1).otherwise(F.col("paragraph"))
-        .alias("paragraph"), start.alias("start"), length.alias("length"),
-        n_words.alias("n_words"), "cluster_id", "keep_doc_id", "keep_paragraph").where(
-        "n_words > 0")
+    left = seen.select(
+        "doc_id", "h", "kind", at.alias("at"),
+        F.when(cut, F.col("line.paragraph") + 1).otherwise(F.col("paragraph")).alias("paragraph"),
+        start.alias("start"), length.alias("length"), n_words.alias("n_words"),
+        "cluster_id", "keep_doc_id", "keep_paragraph").where("n_words > 0")
+    here = Window.partitionBy("doc_id", "h").orderBy("at")
+    before = F.lag(F.struct("kind", "keep_doc_id", (F.col("at") + F.col("n_words")).alias("till")))
+    joined = ((F.col("kind") == 1) & (F.col("before.kind") == 1)
+              & (F.col("before.till") == F.col("at"))
+              & F.col("before.keep_doc_id").eqNullSafe(F.col("keep_doc_id")))
+    first = [F.min_by(c, "at").alias(c) for c in (
+        "paragraph", "cluster_id", "keep_doc_id", "keep_paragraph")]
+    return (left.withColumn("before", before.over(here))
+            .withColumn("stretch", F.sum(F.when(joined, 0).otherwise(1)).over(here))
+            .groupBy("doc_id", "h", "stretch").agg(
+                F.min("start").alias("start"),
+                (F.max(F.col("start") + F.col("length")) - F.min("start")).alias("length"),
+                F.sum("n_words").alias("n_words"), *first)
+            .select("doc_id", "paragraph", "start", "length", "n_words", "cluster_id",
+                    "keep_doc_id", "keep_paragraph"))
 
 
 def repeated_paragraphs(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
@@ -319,9 +338,10 @@ def repeated_paragraphs(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFram
                    .withColumn("cluster_id", F.coalesce("root", "node")).drop("root", "node", "n"),
                    "rooted-paragraphs").df
     keep = stage(rooted.groupBy("cluster_id").agg(
-        F.min(F.struct("doc_id", "paragraph")).alias("keep"), F.count("*").alias("n"))
+        F.min(F.struct("doc_id", "paragraph", "h")).alias("keep"), F.count("*").alias("n"))
         .where("n > 1").select("cluster_id", F.col("keep.doc_id").alias("keep_doc_id"),
-                               F.col("keep.paragraph").alias("keep_paragraph")), "kept").df
-    removed = (rooted.join(keep, "cluster_id")
-               .where("not (doc_id <=> keep_doc_id and paragraph = keep_paragraph)"))
+                               F.col("keep.paragraph").alias("keep_paragraph"),
+                               F.col("keep.h").alias("keep_h")), "kept").df
+    removed = rooted.join(keep, "cluster_id").where(
+        "not (doc_id <=> keep_doc_id and h = keep_h and paragraph = keep_paragraph)")
     return _apart(removed, repeated_passages(named, min_words))

@@ -410,6 +410,29 @@ def test_repeated_passage_in_short_lines(spark):
             assert sum(r.n_words for r in rows if r.doc_id == n) >= 60 - 2 * 9
 
 
+def test_repeated_paragraphs_of_repeated_rows_and_ids(spark):
+    """A row given twice counts once; texts of one id or none are documents."""
+    head, tails = prose(40), [prose(30) for _ in range(3)]
+    texts = [f"{head}\n{t}" for t in tails]
+    schema = "doc_id long, text string"
+    for ids in ([1, 2, 3], [None] * 3, [7] * 3):
+        df = spark.createDataFrame(list(zip(ids, texts, strict=True)) + [(ids[2], texts[2])] * 3,
+                                   schema)
+        rows = paragraphs.repeated_paragraphs(df).collect()
+        assert sorted((r.doc_id or 0, r.paragraph, r.start, r.length, r.n_words, r.keep_doc_id)
+                      for r in rows) == sorted((d or 0, 0, 0, len(head), 40, ids[0])
+                                               for d in ids[1:])
+
+
+def test_repeated_stretch_is_one_row(spark):
+    passage = prose(200)
+    texts = [f"{prose(50)} {passage} {prose(50)}" for _ in range(2)]
+    rows = paragraphs.repeated_paragraphs(spark.createDataFrame(
+        list(enumerate(texts)), "doc_id long, text string")).collect()
+    assert [r.doc_id for r in rows] == [1] and rows[0].n_words >= 200 - 2 * 9
+    assert texts[1][rows[0].start:][: rows[0].length].strip() in passage
+
+
 @pytest.mark.parametrize("path", [BYTE, WORD])
 def test_marks_after_letters_that_are_normalised(path):
     enc, tok = encoder(path), Tokenizer.from_file(path)
