@@ -11,6 +11,10 @@ than ``GAP``. Patterns are rounded down, what is left is placed first-fit
 decreasing, and every pattern slot then takes the next piece in the ranking
 of its kind.
 
+Steps would waste much of a short piece. So pieces of at most ``SHORT`` ids
+are first packed, by exact lengths and in the same way, into boxes of ``BOX``
+ids; a box then is one piece of as many steps as it holds.
+
 The driver sees one count per kind. Ranking deals a kind into chunks, so a
 length that a third of all pieces share is no single task; offsets are sums
 within one sequence.
@@ -31,6 +35,7 @@ from itemwise.llm.common import Table, number, plain, shared_path, stage
 from itemwise.llm.tokens import ENCODED_ROWS, encoder, in_slices
 
 CAPACITY, STEP, GAP = 4096, 16, 5e-4
+SHORT, BOX = 128, 512
 
 _PIECES = ("piece long, doc_id long, start long, length long, doc_tokens long, width int, "
            "ids binary")
@@ -164,9 +169,9 @@ def cut(docs: DataFrame, vocabulary: str, end_id: int = 2, capacity: int = CAPAC
     return Table(docs.sparkSession.read.schema(found.schema).parquet(path), path)
 
 
-def _places(ranked: DataFrame, plan: list[tuple[np.ndarray, int]]) -> DataFrame:
-    """piece, length, units, sequence_id, slot for every ranked piece."""
-    # bounded by kinds x patterns, both bounded by the capacity
+def _slots(plan: list[tuple[np.ndarray, int]]) -> dict[int, tuple[np.ndarray, ...]]:
+    """Of every kind, by rank: the first rank that a pattern takes, how many
+    each of its sequences takes, its first sequence."""
     table: dict[int, list[tuple[int, int, int]]] = {}
     given: dict[int, int] = {}
     sequence = 0
@@ -176,26 +181,66 @@ def _places(ranked: DataFrame, plan: list[tuple[np.ndarray, int]]) -> DataFrame:
             table.setdefault(int(u), []).append((given.get(int(u), 0), n, sequence))
             given[int(u)] = given.get(int(u), 0) + n * times
         sequence += times
-    looked = {u: tuple(np.array(c) for c in zip(*rows, strict=True)) for u, rows in table.items()}
+    return {u: tuple(np.array(c) for c in zip(*rows, strict=True)) for u, rows in table.items()}
+
+
+def _slot_of(slots: dict, kind: np.ndarray, rank: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Sequence and slot of ranked pieces."""
+    seq, slot = np.zeros(len(rank), np.int64), np.zeros(len(rank), np.int64)
+    for u in np.unique(kind):
+        at = kind == u
+        first, each, base = slots[int(u)]
+        p = np.searchsorted(first, rank[at], side="right") - 1
+        inside = rank[at] - first[p]
+        seq[at], slot[at] = base[p] + inside // each[p], inside % each[p]
+    return seq, slot
+
+
+class Plan:
+    """Where ranked pieces go. ``counts`` has the pieces by kind: steps of a
+    long piece, the length of a short one below zero."""
+
+    def __init__(self, counts: dict[int, int], size: int, step: int):
+        long, short = np.zeros(size, dtype=np.int64), np.zeros(BOX, dtype=np.int64)
+        for kind, n in counts.items():
+            (short if kind < 0 else long)[abs(kind) - 1] = n
+        boxes = patterns(short)
+        # bounded by kinds x patterns, both bounded by the sizes
+        self.in_box = _slots(boxes)
+        held = [-(-int(p @ np.arange(1, BOX + 1)) // step) for p, _ in boxes]
+        #: first box of a pattern, its steps, the rank of its first box among pieces as long
+        self.box = np.cumsum([0, *[n for _, n in boxes]])[:-1]
+        self.steps, self.rank = np.array(held, np.int64), np.zeros(len(boxes), np.int64)
+        for i, (u, (_, n)) in enumerate(zip(held, boxes, strict=True)):
+            self.rank[i] = long[u - 1]
+            long[u - 1] += n
+        self.in_sequence = _slots(patterns(long))
+
+    def places(self, kind: np.ndarray, rank: np.ndarray):
+        """sequence, and what orders a sequence's pieces: steps, slot, inner."""
+        steps, rank, inner = kind.copy(), rank.copy(), np.zeros(len(rank), np.int64)
+        short = kind < 0
+        if short.any():
+            box, slot = _slot_of(self.in_box, -kind[short], rank[short])
+            p = np.searchsorted(self.box, box, side="right") - 1
+            inner[short] = slot + (-kind[short] << 32)
+            steps[short], rank[short] = self.steps[p], self.rank[p] + box - self.box[p]
+        seq, slot = _slot_of(self.in_sequence, steps, rank)
+        return seq, steps, slot, inner
+
+
+def _places(ranked: DataFrame, plan: Plan) -> DataFrame:
+    """piece, length, sequence_id, units, slot, inner for every ranked piece."""
 
     def run(batches):
         for batch in batches:
-            units = batch.column("units").to_numpy()
-            rank = batch.column("rank").to_numpy()
-            seq, slot = np.zeros(len(rank), np.int64), np.zeros(len(rank), np.int64)
-            for u in np.unique(units):
-                at = units == u
-                first, each, base = looked[int(u)]
-                p = np.searchsorted(first, rank[at], side="right") - 1
-                inside = rank[at] - first[p]
-                seq[at], slot[at] = base[p] + inside // each[p], inside % each[p]
+            found = plan.places(batch.column("kind").to_numpy(), batch.column("rank").to_numpy())
             yield pa.RecordBatch.from_arrays(
-                [batch.column("piece"), batch.column("length"), batch.column("units"),
-                 pa.array(seq), pa.array(slot)],
-                names=["piece", "length", "units", "sequence_id", "slot"])
+                [batch.column("piece"), batch.column("length"), *[pa.array(x) for x in found]],
+                names=["piece", "length", "sequence_id", "units", "slot", "inner"])
 
-    return ranked.select("piece", "length", "units", "rank").mapInArrow(
-        run, "piece long, length long, units long, sequence_id long, slot long")
+    return ranked.select("piece", "length", "kind", "rank").mapInArrow(
+        run, "piece long, length long, sequence_id long, units long, slot long, inner long")
 
 
 def _widen(pieces: DataFrame) -> DataFrame:
@@ -220,17 +265,19 @@ def pack(docs: DataFrame, vocabulary: str, end_id: int = 2, capacity: int = CAPA
          step: int = STEP) -> DataFrame:
     """One row per piece: doc_id, start, length, doc_tokens, sequence_id,
     offset and ids (little-endian unsigned 32-bit). ``capacity`` is a multiple
-    of ``step``."""
+    of ``step``, and so is ``BOX``."""
     pieces = cut(docs, vocabulary, end_id, capacity).df
+    # boxes are as long as several short pieces; smaller capacities need none
+    short = SHORT if capacity >= BOX else 0
     narrow = stage(pieces.select("piece", "length", F.expr(
-        f"(length + {step - 1}) div {step}").alias("units")), "piece-lengths").df
-    demand = np.zeros(capacity // step, dtype=np.int64)
-    for row in narrow.groupBy("units").agg(F.count("*").alias("n")).collect():
-        demand[row.units - 1] = row.n
-    ranked = stage(number(narrow, ["units"], ["piece"], "rank"), "ranked-pieces").df
-    before = (Window.partitionBy("sequence_id").orderBy(F.desc("units"), "slot")
+        f"if(length <= {short}, -length, (length + {step - 1}) div {step})").alias("kind")),
+        "piece-lengths").df
+    # bounded by the kinds
+    counts = {r.kind: r.n for r in narrow.groupBy("kind").agg(F.count("*").alias("n")).collect()}
+    ranked = stage(number(narrow, ["kind"], ["piece"], "rank"), "ranked-pieces").df
+    before = (Window.partitionBy("sequence_id").orderBy(F.desc("units"), "slot", "inner")
               .rowsBetween(Window.unboundedPreceding, -1))
-    placed = stage(_places(ranked, patterns(demand)).select(
+    placed = stage(_places(ranked, Plan(counts, capacity // step, step)).select(
         "piece", "sequence_id",
         F.coalesce(F.sum("length").over(before), F.lit(0)).alias("offset")), "placed-pieces").df
     return _widen(pieces.join(placed, "piece").drop("piece"))
