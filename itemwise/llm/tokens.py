@@ -9,6 +9,7 @@ Pieces repeat, so a worker remembers their ids.
 
 from __future__ import annotations
 
+import gc
 import os
 import re
 import string
@@ -90,7 +91,7 @@ class _Words:
         """Ids of distinct words that are not remembered; they are now."""
         spelled, marked, other = [], [], []
         for w in words:
-            if w.isalpha() and _safe(w):
+            if w.isalpha() and (w.isascii() or _safe(w)):
                 spelled.append(w)
                 continue
             base = w.rstrip(MARKS)
@@ -184,6 +185,16 @@ class PieceEncoder:
     def _chunk(self, texts: list[str | None]) -> list[bytes]:
         if not texts:
             return []
+        # millions of strings and no cycles: collections would only walk them
+        collects = gc.isenabled()
+        gc.disable()
+        try:
+            return self._encoded(texts)
+        finally:
+            if collects:
+                gc.enable()
+
+    def _encoded(self, texts: list[str | None]) -> list[bytes]:
         column = pa.array([t or "" for t in texts], pa.string())
         odd = pc.match_substring_regex(column, ODD).to_numpy(zero_copy_only=False)
         out: list[bytes] = [b""] * len(texts)
