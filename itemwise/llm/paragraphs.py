@@ -35,6 +35,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
@@ -49,10 +50,8 @@ from itemwise.llm.shingles import (
     in_windows,
     linked,
     mix,
-    name,
     packed,
     shared_keys,
-    shingle_set,
 )
 from itemwise.llm.tokens import in_slices
 
@@ -61,23 +60,11 @@ WORDS, NUM, DEN, BANDS, ROWS, MIN_WORDS = 5, 80, 100, 20, 4, 20
 CONTEXT, WINDOW = 3, 10
 _P = np.uint64(0x9E3779B97F4A7C15)
 _BLANK = np.isin(np.arange(256), list(b" \t\n\r\x0b\x0c"))
-_SEEDS = mix(np.arange(1, BANDS * ROWS + 1, dtype=np.uint64))
+_SEEDS = mix(np.arange(1, BANDS * ROWS + 1, dtype=np.uint64)).astype(np.uint32)
+_FACTORS = mix(np.arange(2001, BANDS * ROWS + 2001, dtype=np.uint64)).astype(np.uint32) | np.uint32(1)
 _BAND = mix(np.arange(1001, BANDS + 1001, dtype=np.uint64))
 
 
-def paragraphs(text: str | None, min_words: int = MIN_WORDS):
-    """(line number, first word, start, length, words, bytes, shingles) of the
-    paragraphs."""
-    at = start = 0
-    for i, line in enumerate((text or "").split("\n")):
-        raw = line.encode("utf-8", "surrogatepass")
-        n = len(raw.split())
-        if n >= max(min_words, 1):
-            yield i, at, start, len(line), n, raw, shingle_set(raw, WORDS)
-        at += n
-        start += len(line) + 1
-
-
 def _runs(h: np.ndarray, n: int) -> np.ndarray:
     """A hash of every ``n`` words in a row."""
     out = np.full(len(h) - n + 1, n, dtype=np.uint64)
@@ -156,16 +143,91 @@ def passages(texts: list[str | None], size: int = MIN_WORDS) -> dict[str, np.nda
         place[1] - place[0], place[2] - place[1]], strict=True))
 
 
-def bands(shingles: np.ndarray) -> np.ndarray:
-    """One key per band of the MinHash signature."""
-    low = np.full(len(_SEEDS), np.iinfo(np.uint64).max, dtype=np.uint64)
-    for i in range(0, len(shingles), 4096):  # bounded memory for very long lines
-        part = (shingles[i: i + 4096, None] ^ _SEEDS[None]) * np.uint64(0x9E3779B97F4A7C15)
-        low = np.minimum(low, (part ^ (part >> np.uint64(32))).min(axis=0))
-    rows = low.reshape(BANDS, ROWS)
-    key = _BAND.copy()
+def _distinct(values: np.ndarray, owner: np.ndarray) -> np.ndarray:
+    """Places of the values without those that an owner has already; owners
+    ascend. Only values that occur again are sorted by owner."""
+    sorted_ = np.sort(values)
+    again = np.unique(sorted_[1:][sorted_[1:] == sorted_[:-1]])
+    stay = np.ones(len(values), dtype=bool)
+    if len(again):
+        at = np.flatnonzero(np.isin(values, again))
+        at = at[np.lexsort((values[at], owner[at]))]
+        a, b = at[:-1], at[1:]
+        stay[b[(values[a] == values[b]) & (owner[a] == owner[b])]] = False
+    return np.flatnonzero(stay)
+
+
+class Lines:
+    """Paragraphs of some texts, all at once. Arrays with a value per
+    paragraph: row (place in the list), line, at (first word), start and
+    length (characters), n_words, n (distinct shingles), node (the set's
+    name); ``shingles`` holds those of one paragraph after another."""
+
+    def __init__(self, texts: list[str | None], least: int):
+        raws = [(t or "").encode("utf-8", "surrogatepass") for t in texts]
+        self.joined = b"\n".join(raws)
+        found = self.joined.translate(LOWER).split()
+        h = np.fromiter(map(xxhash.xxh3_64_intdigest, found), dtype=np.uint64, count=len(found))
+        raw = np.frombuffer(self.joined, dtype=np.uint8)
+        word = ~_BLANK[raw]
+        begin = np.flatnonzero(word & ~np.concatenate([[False], word])[: len(word)])
+        breaks = np.flatnonzero(raw == 10)
+        texts_at = np.cumsum([0, *[len(r) + 1 for r in raws]])[:-1]
+        low, high = np.append(0, breaks + 1), np.append(breaks, len(raw))
+        first = np.searchsorted(begin, low)
+        n_words = np.searchsorted(begin, high) - first
+        kept = np.flatnonzero(n_words >= max(least, 1))
+        self.low, self.high, first, self.n_words = (x[kept] for x in (low, high, first, n_words))
+        self.row = np.searchsorted(texts_at, self.low, side="right") - 1
+        base = texts_at[self.row]
+        inner = np.flatnonzero((raw & 0xC0) == 0x80)  # bytes that begin no character
+        chars = [x - np.searchsorted(inner, x) for x in (base, self.low, self.high)]
+        self.start, self.length = chars[1] - chars[0], chars[2] - chars[1]
+        self.line = kept - np.searchsorted(low, base)
+        self.at = first - np.searchsorted(begin, base)
+        # a paragraph of fewer words is one shingle
+        many = np.maximum(self.n_words - WORDS + 1, 1)
+        owner = np.repeat(np.arange(len(kept)), many)
+        at = np.arange(len(owner)) + np.repeat(first - (np.cumsum(many) - many), many)
+        runs = _runs(h, WORDS) if len(h) >= WORDS else np.zeros(1, dtype=np.uint64)
+        shingles = runs[np.minimum(at, len(runs) - 1)]
+        for i in np.flatnonzero(self.n_words < WORDS):
+            n = self.n_words[i]
+            shingles[owner == i] = _runs(h[first[i]: first[i] + n], n)
+        stay = _distinct(shingles, owner)
+        self.shingles = shingles[stay]
+        self.n = np.bincount(owner[stay], minlength=len(kept))
+        total = np.add.reduceat(mix(self.shingles ^ _P), self._first()) if len(kept) else \
+            np.zeros(0, dtype=np.uint64)
+        self.node = mix(total + self.n.astype(np.uint64) * _P).view(np.int64)
+
+    def _first(self) -> np.ndarray:
+        return np.cumsum(self.n) - self.n
+
+    def body(self, i: int) -> bytes:
+        return self.joined[self.low[i]: self.high[i]]
+
+    def banded(self):
+        """Keys of the bands and the name of each distinct set."""
+        pick = np.sort(np.unique(self.node, return_index=True)[1])
+        if len(pick):
+            said = np.zeros(len(self.node), dtype=bool)
+            said[pick] = True
+            yield from zip(bands(self.shingles[np.repeat(said, self.n)], self.n[pick]),
+                           self.node[pick].tolist(), strict=True)
+
+
+def bands(shingles: np.ndarray, n: np.ndarray) -> np.ndarray:
+    """Rows of one key per band of the MinHash signature, for sets of ``n``
+    shingles that stand one after another."""
+    first = np.cumsum(n) - n
+    short = shingles.astype(np.uint32)
+    low = np.stack([np.minimum.reduceat((short ^ s) * m, first)
+                    for s, m in zip(_SEEDS, _FACTORS, strict=True)], axis=1).astype(np.uint64)
+    rows = low.reshape(len(n), BANDS, ROWS)
+    key = np.broadcast_to(_BAND, rows.shape[:2])
     for j in range(ROWS):
-        key = mix(key ^ rows[:, j])
+        key = mix(key ^ rows[:, :, j])
     return key
 
 
@@ -278,40 +340,32 @@ def repeated_paragraphs(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFram
 
     def spans(batches):
         for batch in batches:
-            for part in in_slices(batch):
-                rows = [(d, h, i, a, s, n, w, len(x), name(x)) for d, h, t in
-                        zip(*[part.column(c).to_pylist() for c in ("doc_id", "h", "text")],
-                            strict=True)
-                        for i, a, s, n, w, _, x in paragraphs(t, min_words)]
-                if rows:
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array(c, pa.int64()) for c in zip(*rows, strict=True)],
-                        names=["doc_id", "h", "paragraph", "at", "start", "length", "n_words", "n",
-                               "node"])
+            for part in in_slices(batch, 256):
+                x = Lines(part.column("text").to_pylist(), min_words)
+                row = pa.array(x.row)
+                yield pa.RecordBatch.from_arrays(
+                    [part.column("doc_id").take(row), part.column("h").take(row),
+                     *[pa.array(c, pa.int64()) for c in (x.line, x.at, x.start, x.length,
+                                                         x.n_words, x.n, x.node)]],
+                    names=["doc_id", "h", "paragraph", "at", "start", "length", "n_words", "n",
+                           "node"])
 
     def banded(batches):
-        def rows():
-            for batch in batches:
-                for part in in_slices(batch):
-                    for t in part.column("text").to_pylist():
-                        for *_, x in paragraphs(t, min_words):
-                            yield bands(x), name(x)
-        yield from deal_keys(rows())
+        yield from deal_keys(pair for batch in batches for part in in_slices(batch, 256)
+                             for pair in Lines(part.column("text").to_pylist(),
+                                               min_words).banded())
 
     def contents(batches):
         for batch in batches:
             for part in in_slices(batch, 256):
-                rows = []
-                for t, want in zip(part.column("text").to_pylist(),
-                                   part.column("nodes").to_pylist(), strict=True):
-                    want = set(want)
-                    rows += [(k, len(x), raw) for *_, raw, x in paragraphs(t, min_words)
-                             if (k := name(x)) in want]
-                if rows:
+                x = Lines(part.column("text").to_pylist(), min_words)
+                want = pc.list_flatten(part.column("nodes")).to_numpy(zero_copy_only=False)
+                node, first = np.unique(x.node, return_index=True)
+                said = np.isin(node, want)
+                if said.any():
                     yield pa.RecordBatch.from_arrays(
-                        [pa.array([k for k, _, _ in rows], pa.int64()),
-                         pa.array([n for _, n, _ in rows], pa.int64()),
-                         packed([raw for _, _, raw in rows])], names=["node", "n", "body"])
+                        [pa.array(node[said]), pa.array(x.n[first[said]], pa.int64()),
+                         packed([x.body(i) for i in first[said]])], names=["node", "n", "body"])
 
     lines = stage(named.mapInArrow(
         spans, "doc_id long, h long, paragraph long, at long, start long, length long, "

@@ -424,6 +424,38 @@ def test_repeated_paragraphs_of_repeated_rows_and_ids(spark):
                                                for d in ids[1:])
 
 
+def test_lines_equal_those_of_single_texts():
+    """Paragraphs of many texts at once, against one line at a time."""
+    texts = [*TEXTS, "a b c\n\n" + "d e f g h " * 6 + "\né ü  ß\tx\r\ny", "\n", "w", "😀 a b\nc"]
+    for least in (1, 3, 20):
+        x = paragraphs.Lines(texts, least)
+        want = []
+        for i, text in enumerate(texts):
+            at = start = 0
+            for j, line in enumerate((text or "").split("\n")):
+                words = line.encode().split()
+                if len(words) >= least:
+                    got = near_sets.shingle_set(line.encode(), paragraphs.WORDS)
+                    want.append((i, j, at, start, len(line), len(words), len(got), tuple(got)))
+                at, start = at + len(words), start + len(line) + 1
+        sets = [tuple(np.sort(s)) for s in np.split(x.shingles, np.cumsum(x.n)[:-1])]
+        assert list(zip(x.row, x.line, x.at, x.start, x.length, x.n_words, x.n, sets,
+                        strict=True)) == want
+        assert len(set(zip(x.node, sets, strict=True))) == len(set(x.node)) == len(set(sets))
+    assert len(paragraphs.Lines([], 20).node) == len(paragraphs.Lines(["", None], 1).node) == 0
+
+
+def test_bands_of_similar_sets_meet():
+    """Values of a signature agree as often as the sets' Jaccard says."""
+    values = near_sets.mix(np.arange(40_000, dtype=np.uint64)).reshape(400, 100)
+    one, two = values[:, :90], values[:, 10:]  # Jaccard 0.8
+    keys = [paragraphs.bands(x.ravel(), np.full(400, 90)) for x in (one, two)]
+    same = (keys[0] == keys[1]).mean()
+    assert abs(same - 0.8 ** paragraphs.ROWS) < 0.03
+    assert (keys[0] == keys[1]).any(axis=1).mean() > 0.995
+    assert not (keys[0][1:] == keys[1][:-1]).any()
+
+
 def test_repeated_stretch_is_one_row(spark):
     passage = prose(200)
     texts = [f"{prose(50)} {passage} {prose(50)}" for _ in range(2)]
