@@ -130,3 +130,48 @@ def test_pruned_search_of_hardly_any_vector(spark, rows):
 
     df = spark.createDataFrame(rows, "id long, v array<double>")
     assert vector_topk_pruned(df, "id", "v", 3).count() == 0
+
+
+def test_pruned_search_of_bundles_and_slices(spark, monkeypatch):
+    """Bundles of several groups, groups of several bundles and sliced
+    questions give every neighbour."""
+    from itemwise.operators import vector_pruning, vector_topk_pruned
+
+    rows = _groups(300, 4)
+    df = spark.createDataFrame(rows, "id long, v array<double>")
+    plain = _coarse([(i, v) for i, v in rows if v is not None and any(v) and v[0] == v[0]], 5, 6)
+    for bundle, slice_rows, held in ((1000, 1000, 1 << 20), (40, 25, 50), (5, 7, 1)):
+        monkeypatch.setattr(vector_pruning, "BUNDLE_ROWS", bundle)
+        monkeypatch.setattr(vector_pruning, "SLICE_ROWS", slice_rows)
+        monkeypatch.setattr(vector_pruning, "_ANGLES_HELD", held)
+        got = vector_topk_pruned(df, "id", "v", 5, block_rows=20, chunk_rows=16).collect()
+        assert {(r.id, r.nbr_id) for r in got} == plain and len(got) == len(plain)
+
+
+def test_asking_a_group_copies_no_vector(spark):
+    """One row per vector leaves the search for groups to ask, however many
+    they are (before: one per group, with the vector)."""
+    from itemwise.operators import PrunedSearch
+
+    df = spark.createDataFrame(_groups(400, 1), "id long, v array<double>")
+    search = PrunedSearch(df, "id", "v", 5, block_rows=20)
+    assert search.cost().first().copies > 402
+    assert search.asked.count() == 402
+
+
+def test_best_rows_of_wide_blocks():
+    import numpy as np
+    from itemwise.operators import vector_search as vs
+
+    rng = np.random.default_rng(1)
+    for decimals in (1, 2, 6):
+        scores = rng.normal(size=(40, 700))
+        scores[3, :] = np.nan
+        scores[4, :650] = np.nan
+        scores[5, :] = 0.5
+        got = vs._best(scores, np.arange(40), np.arange(700), 10, decimals)
+        for r in range(40):
+            ok = np.flatnonzero(~np.isnan(scores[r]))
+            rounded = vs._rounded(scores[r, ok], decimals)
+            want = [int(ok[i]) for i in np.lexsort((ok, -rounded))[:10]]
+            assert sorted(got[got.src == r].nbr) == sorted(want)
