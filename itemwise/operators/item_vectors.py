@@ -4,8 +4,9 @@ The dense vector of an item has one place per user. Here users are numbered
 densely in the order of their ids, the numbers are cut into ranges of at most
 ``RANGE_USERS``, and a row ``(item, user_range)`` holds one bitmap of its
 range. A vector is never gathered whole: a hot item is many rows of at most
-4 KB, an item that no user of a range has is no row there, and bitmaps are
-built by partial aggregation before anything is shuffled.
+4 KB, an item that no user of a range has is no row there. Places are shuffled,
+not bitmaps: the built-in aggregates hold 4 KB a bitmap, however few users it
+has, so it is built where it stays and cut to the length of its range.
 """
 
 from __future__ import annotations
@@ -47,9 +48,11 @@ def item_vectors(interactions: DataFrame, user_ids: DataFrame,
     placed = interactions.select("user_id", "item").join(user_ids, "user_id").select(
         "item", F.expr(f"uid div {range_users}").alias("user_range"),
         (F.col("uid") % range_users).alias("place"))
-    return (placed.groupBy("item", "user_range")
+    length = -(-range_users // 8)
+    return (placed.repartition("item", "user_range").groupBy("item", "user_range")
             .agg(F.bitmap_construct_agg("place").alias("bits"))
-            .withColumn("users", F.bitmap_count("bits")))
+            .withColumn("users", F.bitmap_count("bits"))
+            .select("item", "user_range", F.substring("bits", 1, length).alias("bits"), "users"))
 
 
 def vector_popularity(vectors: DataFrame) -> DataFrame:

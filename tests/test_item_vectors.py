@@ -71,6 +71,16 @@ def test_popularity_and_overlap_from_vectors(spark, rows, base):
                    if held.get(i, set()) & held.get(j, set())}
 
 
+def test_bitmaps_are_as_long_as_their_range(base):
+    """No 4 KB bitmaps for short ranges, and none in a shuffle."""
+    ids = materialize(dense_user_ids(base), "user-ids")
+    vectors = item_vectors(base, ids, 100)
+    assert {len(r.bits) for r in vectors.collect()} == {13}
+    plan = vectors._jdf.queryExecution().executedPlan().toString()
+    lines = [line for line in plan.splitlines() if "bitmap_construct_agg" in line or "Exchange" in line]
+    assert sum("bitmap_construct_agg" in line for line in lines[:2]) == 2
+
+
 def test_no_interactions(spark, base):
     none = base.where("item < -1")
     ids = materialize(dense_user_ids(none), "user-ids")
