@@ -55,3 +55,25 @@ def test_far_apart_ids(spark):
                                "user_id string, item bigint, pref int")
     got = {(r.i, r.j): r.c for r in cooccurrence(df, RecConfig()).collect()}
     assert got == _counts([("u", i) for i in ids] + [("v", i) for i in ids[:2]])
+
+
+def test_candidates_are_shuffled_once(spark):
+    """Scores, distinct candidates and watched items come out of one
+    aggregation: all candidates are not joined with the history again."""
+    from itemwise.operators import score_candidate_side
+    from itemwise.session import materialize
+
+    df = materialize(spark.createDataFrame([(u, i, 1) for u, i in _rows()] + [(None, 1, 2)],
+                                           "user_id string, item int, pref int"))
+    sim = materialize(item_similarity(df, RecConfig(top_n=3)))
+    for limit in (0, 3, 100):
+        scored = score_candidate_side(df, sim, reverse_limit=limit)
+        rows = {(r.user_id, r.item) for r in scored.collect()}
+        held = {(u, i) for u, i in _rows()}
+        lists = {(r.i, r.j) for r in sim.collect()}
+        assert rows == ({(u, j) for u, i in held for a, j in lists if a == i} - held) | {
+            (None, j) for a, j in lists if a == 1}
+        plan = scored._jdf.queryExecution().optimizedPlan().toString()
+        assert plan.count("LeftAnti") == 1
+        anti = plan[plan.index("LeftAnti"):]
+        assert "LeftSemi" in anti       # only candidates with an item of many lists
