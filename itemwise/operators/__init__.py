@@ -8,7 +8,7 @@ from .history import (explode_history, interactions_from_features, last_preferen
                       unique_user_ids, watched_labels, with_history_size)
 from .item_vectors import dense_user_ids, item_vectors, vector_overlap, vector_popularity
 from .recommend import (attach_labels, candidates, drop_watched, reach, score_candidate_side,
-                        score_source_side)
+                        score_source_side, unseen_candidates)
 from .topn import nested_lists, normalize_rows, preview, top_per_group, top_similar
 from .vector_pruning import PrunedSearch, vector_topk_pruned
 from .vector_search import vector_topk
@@ -21,5 +21,5 @@ __all__ = [
     "score_source_side", "similarity_summary", "top_per_group", "top_similar",
     "PrunedSearch", "dense_user_ids", "item_vectors", "sample_users_exact", "vector_overlap",
     "vector_popularity", "vector_topk_pruned",
-    "unique_user_ids", "vector_topk", "watched_labels", "with_history_size", "attach_popularity",
+    "unique_user_ids", "unseen_candidates", "vector_topk", "watched_labels", "with_history_size", "attach_popularity",
 ]

@@ -1,0 +1,107 @@
+"""Candidates are no rows of a shuffle; heavy users are dealt over tasks."""
+
+import random
+
+import pytest
+
+from itemwise import RecConfig
+from itemwise.operators import (candidates, recommend as operators, score_candidate_side,
+                                score_source_side, unseen_candidates)
+from itemwise.plans.recommend import recommend
+
+
+@pytest.fixture(scope="module")
+def rows(spark):
+    rng = random.Random(5)
+    hist = {("u0", m): rng.randint(1, 9) for m in range(60)}
+    hist |= {(rng.choice(["u1", "u2", "u3", None]), rng.randrange(80)): rng.randint(1, 9)
+             for _ in range(70)}
+    sim = {(i, j): rng.randint(1, 8) / 8 for i in range(90) for j in rng.sample(range(90), 4)
+           if i != j}
+    return (hist, sim,
+            spark.createDataFrame([(*k, p) for k, p in hist.items()],
+                                  "user_id string, item int, pref int"),
+            spark.createDataFrame([(*k, s) for k, s in sim.items()], "i int, j int, sim double"))
+
+
+def _expected(hist, sim):
+    cand = {(u, j) for u, m in hist for i, j in sim if i == m}
+    unseen = {(u, c) for u, c in cand if u is None or (u, c) not in hist}
+    source, own = dict.fromkeys(unseen, 0.0), dict.fromkeys(unseen, 0.0)
+    for (u, m), p in hist.items():
+        for (i, j), s in sim.items():
+            if i == m and (u, j) in unseen:
+                source[u, j] += p * s
+            if j == m and (u, i) in unseen:
+                own[u, i] += p * s
+    return cand, unseen, source, own
+
+
+@pytest.mark.parametrize("terms", [operators.TASK_TERMS, 90])
+def test_against_plain_python(spark, rows, monkeypatch, terms):
+    """With 90 rows a task, u0 is heavy."""
+    monkeypatch.setattr(operators, "TASK_TERMS", terms)
+    hist, sim, h, s = rows
+    cand, unseen, source, own = _expected(hist, sim)
+    assert sorted(map(str, candidates(h, s).collect())) == sorted(
+        f"Row(user_id={u!r}, item={c})" for u, c in cand)
+    got = [(r.user_id, r.item) for r in unseen_candidates(h, s).collect()]
+    assert len(got) == len(unseen) and set(got) == unseen
+    for frame, expected in ((score_source_side(h, s), source), (score_candidate_side(h, s), own)):
+        got = frame.collect()
+        assert len(got) == len(expected)
+        assert {(r.user_id, r.item): r.score for r in got} == pytest.approx(expected)
+
+
+def test_heavy_users_are_found(spark, rows):
+    hist, _, h, _ = rows
+    heavy = operators._heavy_users(h, len(hist), 50, None)
+    assert [tuple(r) for r in heavy.collect()] == [("u0", 2)]
+    assert operators._heavy_users(h, len(hist), 60, None) is None
+
+
+def test_pairs_of_user_and_candidate_are_not_shuffled(spark, rows):
+    """What goes to a user are lists: no exchange by user and item."""
+    _, _, h, s = rows
+    for frame in (candidates(h, s), unseen_candidates(h, s), score_source_side(h, s),
+                  score_candidate_side(h, s)):
+        plan = frame._jdf.queryExecution().executedPlan().toString()
+        keys = [line.split("hashpartitioning(")[1] for line in plan.splitlines()
+                if "Exchange hashpartitioning(" in line]
+        assert any(k.startswith("user_id") for k in keys)
+        assert not any("user_id" in k and "item" in k for k in keys)
+
+
+def test_only_ranked_rows_meet_their_labels(spark, rows):
+    """Labels are joined after the cut, with the same rows as before it."""
+    hist, sim, h, s = rows
+    labels = spark.createDataFrame([(i, f"L{i}") for i in range(0, 90, 3)],
+                                   "column_index long, label string")
+    _, _, _, own = _expected(hist, sim)
+    cfg = RecConfig(top_k=3)
+    out = recommend(h, s, labels, cfg)
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.index("Join Inner") < plan.index("Window")
+    best = {}
+    for (u, c), w in own.items():
+        if c % 3 == 0:
+            best.setdefault(u, []).append((-round(w, 6), c))
+    expected = {(u, c, f"L{c}", rk) for u, found in best.items()
+                for rk, (_, c) in enumerate(sorted(found)[:3], 1)}
+    assert {(r.user_id, r.item, r.label, r.rk) for r in out.collect()} == expected
+
+
+def test_any_unseen_candidate_without_label_is_an_error(spark, rows):
+    """Also one that is not among the best."""
+    hist, sim, h, s = rows
+    _, _, _, own = _expected(hist, sim)
+    user = {c: w for (u, c), w in own.items() if u == "u1"}
+    worst = min(user, key=lambda c: (user[c], -c))
+    labels = spark.createDataFrame([(i, f"L{i}") for i in range(90) if i != worst],
+                                   "column_index long, label string")
+    with pytest.raises(Exception, match="item without label"):
+        recommend(h, s, labels, RecConfig(top_k=1, missing_label="error")).collect()
+    every = spark.createDataFrame([(i, f"L{i}") for i in range(90)],
+                                  "column_index long, label string")
+    assert recommend(h, s, every, RecConfig(top_k=1, missing_label="error")).count() == len(
+        {u for u, _ in own})
