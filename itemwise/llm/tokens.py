@@ -27,7 +27,7 @@ MARKS = string.punctuation
 #: Characters of text that are cut at a time; pieces of one generation that a
 #: worker remembers (about 200 bytes each, two generations); the longest piece
 #: worth remembering; words of letters that are encoded as one text.
-CHUNK_CHARS, REMEMBERED, LONGEST, TOGETHER = 6_000_000, 250_000, 24, 100
+CHUNK_CHARS, REMEMBERED, LONGEST, TOGETHER = 8_400_000, 250_000, 24, 100
 #: Bytes of text that operators hold at a time, and rows of texts to encode.
 SLICE_BYTES, ENCODED_ROWS = 8 << 20, 4096
 
@@ -114,6 +114,12 @@ class _Words:
             del self.young[w]
         return found
 
+    def spell(self, words: list[str]) -> list[bytes]:
+        """Ids of distinct words of letters that are not remembered; they are now."""
+        found = self._spelled(words)
+        self.young.update((w, x) for w, x in zip(words, found, strict=True) if len(w) <= LONGEST)
+        return found
+
     def ids(self, words: list[str]) -> list[bytes]:
         """Ids of distinct words."""
         out = self.remembered(words)
@@ -139,13 +145,14 @@ class PieceEncoder:
         self.width = 2 if size <= 1 << 16 else 4
         self.dtype = np.dtype(f"<u{self.width}")
         self.code = "H" if self.width == 2 else "I"
-        self.after_blank, self.after_line = _Words(self, " "), _Words(self, "\n")
+        self.letters, self.after_blank = _Words(self, " "), _Words(self, " ")
+        self.after_line = _Words(self, "\n")
 
     def ids(self, pieces: list[str]) -> list[bytes]:
         found = self.tokenizer.encode_batch_fast(pieces, add_special_tokens=False)
         return [array(self.code, e.ids).tobytes() for e in found]
 
-    def _known(self, words: list[str]) -> list[bytes]:
+    def _others(self, words: list[str]) -> list[bytes]:
         """Ids of " " + word for distinct words. A single line end between
         characters other than white space is a piece, and words on both sides
         of it are pieces of their own."""
@@ -165,18 +172,56 @@ class PieceEncoder:
             out[i] = b"".join([found[parts[0]], *[after[p] for p in parts[1:]]])
         return out
 
+    def _known(self, words: pa.StringArray) -> pa.Array:
+        """Ids of " " + word for distinct words. Words of letters are looked up
+        without the ASCII marks behind them, which are pieces of their own."""
+        bases = pc.utf8_rtrim(words, MARKS)
+        coded = bases.dictionary_encode()
+        distinct = coded.dictionary.to_numpy(zero_copy_only=False).tolist()
+        base = coded.indices.to_numpy()
+        ids = self.letters.remembered(distinct)
+        new = [i for i, x in enumerate(ids) if x is None]
+        spelled = [i for i in new if distinct[i].isalpha() and _safe(distinct[i])]
+        for i, x in zip(spelled, self.letters.spell([distinct[i] for i in spelled]), strict=True):
+            ids[i] = x
+        lettered = np.array([x is not None for x in ids], dtype=bool)[base]
+        # the marks behind the letters
+        ends = words.offset + np.arange(len(words) + 1)
+        ends = np.frombuffer(words.buffers()[1], dtype="<i4")[ends].astype(np.int64)
+        size = pc.binary_length(bases).to_numpy()
+        starts = ends[:-1] + size
+        marked = np.flatnonzero(lettered & (starts < ends[1:]))
+        raw = memoryview(words.buffers()[2] or b"")
+        tails = [bytes(raw[a:b]) for a, b in zip(starts[marked].tolist(),
+                                                 ends[1:][marked].tolist(), strict=True)]
+        place = {t: i for i, t in enumerate(dict.fromkeys(tails), 1)}
+        tail = np.zeros(len(words), dtype=np.int64)
+        tail[marked] = [place[t] for t in tails]
+        tail_ids = [b"", *self.ids([t.decode() for t in place])]
+        out = pc.binary_join_element_wise(
+            pa.array([x or b"" for x in ids], pa.large_binary()).take(pa.array(base)),
+            pa.array(tail_ids, pa.large_binary()).take(pa.array(tail)),
+            pa.scalar(b"", pa.large_binary()))
+        other = np.flatnonzero(~lettered)
+        if not len(other):
+            return out
+        found = self._others(words.take(pa.array(other)).to_numpy(zero_copy_only=False).tolist())
+        at = np.arange(len(words))
+        at[other] = len(words) + np.arange(len(other))
+        return pa.concat_arrays([out, pa.array(found, pa.large_binary())]).take(pa.array(at))
+
     def _join(self, pieces: pa.ListArray) -> list[bytes]:
         """Ids of texts from their pieces, all but the first without their
         leading blank; no text is without a piece."""
         coded = pieces.values.dictionary_encode()
         ends = pieces.offsets.to_numpy()
         heads = ends[:-1]
-        words = self._known(coded.dictionary.to_numpy(zero_copy_only=False).tolist())
+        words = self._known(coded.dictionary)
         first = self.ids(pieces.values.take(pa.array(heads)).to_pylist())
         word = coded.indices.to_numpy(zero_copy_only=False).astype(np.int64)
         word[heads] = len(words) + np.arange(len(heads))
         # Arrow copies the ids of all pieces one after another
-        ids = pa.array(words + first, pa.large_binary()).take(pa.array(word))
+        ids = pa.concat_arrays([words, pa.array(first, pa.large_binary())]).take(pa.array(word))
         _, till, raw = ids.buffers()
         cuts = np.frombuffer(till, dtype=np.int64)[ends].tolist()
         raw = memoryview(raw or b"")
