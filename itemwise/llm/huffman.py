@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from itemwise.llm.common import Table, plain, shared_path
-from itemwise.llm.tokens import ENCODED_ROWS, encoder, in_slices
+from itemwise.llm.tokens import ENCODED_ROWS, encoder, forget, in_slices
 
 CHECKPOINT, BLOCK_TOKENS, MAX_BITS = 128, 1 << 19, 18
 
@@ -152,6 +152,7 @@ def _counts(ids: DataFrame) -> tuple[np.ndarray, np.ndarray]:
     """Ids that occur and their global counts; at most one row per vocabulary entry."""
 
     def run(batches):
+        forget()
         total = np.zeros(0, dtype=np.int64)
         for batch in batches:
             for x in batch.column("seen").to_pylist():
@@ -185,6 +186,7 @@ def write(docs: DataFrame, folder: str, vocabulary: str, end_id: int = 2,
         [0, *[totals[p] for p in sorted(totals)]]), strict=False))
 
     def run(batches):
+        forget()
         book = Codebook(used, lengths)
         held: list[tuple] = []
 
@@ -228,6 +230,7 @@ def read(spark: SparkSession, folder: str) -> DataFrame:
     used, lengths = [r.id for r in book], [r.bits for r in book]
 
     def run(batches):
+        forget()
         codes = Codebook(used, lengths)
         for batch in batches:
             for part in in_slices(batch, 1):

@@ -28,6 +28,9 @@ MARKS = string.punctuation
 #: worker remembers (about 200 bytes each, two generations); the longest piece
 #: worth remembering; words of letters that are encoded as one text.
 CHUNK_CHARS, REMEMBERED, LONGEST, TOGETHER = 8_400_000, 250_000, 24, 100
+#: Texts that the library encodes at a time: its encodings are many times as
+#: large as their ids.
+AT_ONCE = 256
 #: Bytes of text that operators hold at a time, and rows of texts to encode.
 SLICE_BYTES, ENCODED_ROWS = 8 << 20, 4096
 
@@ -60,8 +63,7 @@ class _Words:
         encoded word by word."""
         enc, lead = self.encoder, self.lead
         groups = [words[i: i + TOGETHER] for i in range(0, len(words), TOGETHER)]
-        found = enc.tokenizer.encode_batch_fast([lead + lead.join(g) for g in groups],
-                                                add_special_tokens=False)
+        found = enc.encodings([lead + lead.join(g) for g in groups])
         out: list[bytes] = []
         for group, e in zip(groups, found, strict=True):
             ids = np.array(e.ids, dtype=enc.dtype)
@@ -148,9 +150,14 @@ class PieceEncoder:
         self.letters, self.after_blank = _Words(self, " "), _Words(self, " ")
         self.after_line = _Words(self, "\n")
 
+    def encodings(self, texts: list[str]):
+        """The library's encodings, few held at a time."""
+        for i in range(0, len(texts), AT_ONCE):
+            yield from self.tokenizer.encode_batch_fast(texts[i: i + AT_ONCE],
+                                                        add_special_tokens=False)
+
     def ids(self, pieces: list[str]) -> list[bytes]:
-        found = self.tokenizer.encode_batch_fast(pieces, add_special_tokens=False)
-        return [array(self.code, e.ids).tobytes() for e in found]
+        return [array(self.code, e.ids).tobytes() for e in self.encodings(pieces)]
 
     def _others(self, words: list[str]) -> list[bytes]:
         """Ids of " " + word for distinct words. A single line end between
@@ -238,6 +245,7 @@ class PieceEncoder:
         finally:
             if collects:
                 gc.enable()
+            pa.default_memory_pool().release_unused()
 
     def _encoded(self, texts: list[str | None]) -> list[bytes]:
         column = pa.array([t or "" for t in texts], pa.string())
@@ -281,6 +289,14 @@ def encoder(vocabulary: str) -> PieceEncoder:
     return _encoders[vocabulary]
 
 
+def forget() -> None:
+    """Free the worker's encoders before a step that encodes nothing: Spark
+    keeps workers from step to step, and what they hold with them."""
+    if _encoders:
+        _encoders.clear()
+        gc.collect()
+
+
 def in_slices(batch, rows: int = 1024, size: int = SLICE_BYTES):
     """An Arrow batch in slices of few rows and bytes (one row at least):
     bounded memory for long texts."""

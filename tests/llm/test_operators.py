@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from itemwise.llm import (exact_dedup, huffman, knn, mixing, ngram_join, packing, paragraphs,
-                          quality, sharding, token_counts)
+                          quality, sharding, token_counts, tokens)
 from itemwise.llm import shingles as near_sets
 from itemwise.llm.common import shared_path
 from itemwise.llm.tokens import encoder
@@ -88,6 +88,44 @@ def test_token_file_round_trip(spark, docs, none):
     assert huffman.write_and_read(none, BYTE).count() == 0
 
 
+def test_steps_that_encode_nothing_free_the_encoders(spark, monkeypatch):
+    steps = []
+    kind = type(spark.range(0))
+    monkeypatch.setattr(kind, "mapInArrow", lambda self, f, *a, g=kind.mapInArrow, **b:
+                        steps.append(f) or g(self, f, *a, **b))
+    docs = spark.createDataFrame([(1, "some words"), (2, None)], "doc_id long, text string")
+    assert huffman.write_and_read(docs, BYTE).count() == 2
+    encode, *others = steps
+    assert len(others) == 3  # counts, blocks, reading
+    for step in others:
+        encoder(BYTE)
+        list(step(iter([])))
+        assert not tokens._encoders
+
+
+def test_encodings_are_few_at_a_time(monkeypatch):
+    whole, sizes = Tokenizer.from_file(BYTE), []
+    enc = tokens.PieceEncoder(BYTE)
+
+    class Counting:
+        def __init__(self, inner):
+            self.inner = inner
+
+        def __getattr__(self, name):
+            return getattr(self.inner, name)
+
+        def encode_batch_fast(self, texts, **options):
+            sizes.append(len(texts))
+            return self.inner.encode_batch_fast(texts, **options)
+
+    enc.tokenizer = Counting(enc.tokenizer)
+    texts = [f"a{i} b-{i}\nc{i}, word" for i in range(3000)]
+    got = enc.encode(texts)
+    assert [np.frombuffer(x, enc.dtype).tolist() for x in got] == [
+        whole.encode(t, add_special_tokens=False).ids for t in texts]
+    assert max(sizes) <= tokens.AT_ONCE
+
+
 def test_byte_shards(docs, none):
     rows = sharding.byte_shards(docs, 4).collect()
     assert len(rows) == docs.count()
