@@ -49,7 +49,8 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Sequences of 4096 tokens: one row per piece, with its ids."""
-    return packing.pack(docs, public_tokenizers.path("word_bpe_49k.json"), end_id=2)
+    return packing.pack(docs, public_tokenizers.path("word_bpe_49k.json"), end_id=2,
+                        text_bytes=packing.CLOSE_BYTES)
 
 
 STAGES = [("quality", keep_good), ("exact_dedup", drop_copies),

@@ -32,10 +32,13 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from itemwise.llm.common import Table, number, plain, shared_path, stage
-from itemwise.llm.tokens import ENCODED_ROWS, encoder, in_slices
+from itemwise.llm.tokens import ENCODED_ROWS, SLICE_BYTES, encoder, forget, in_slices
 
 CAPACITY, STEP, GAP = 4096, 16, 5e-4
 SHORT, BOX = 128, 512
+#: Pieces that a worker remembers, fewer than elsewhere; bytes of text encoded at a
+#: time after steps that leave executors little room (smaller slices cost more CPU).
+CUT_REMEMBERED, CLOSE_BYTES = 100_000, 4 << 20
 
 _PIECES = ("piece long, doc_id long, start long, length long, doc_tokens long, width int, "
            "ids binary")
@@ -138,15 +141,16 @@ def _first_fit(left: np.ndarray) -> list[tuple[np.ndarray, int]]:
     return found
 
 
-def cut(docs: DataFrame, vocabulary: str, end_id: int = 2, capacity: int = CAPACITY) -> Table:
+def cut(docs: DataFrame, vocabulary: str, end_id: int = 2, capacity: int = CAPACITY,
+        text_bytes: int = SLICE_BYTES) -> Table:
     """Encoded pieces of at most ``capacity`` ids, written once."""
 
     def run(batches):
-        enc = encoder(vocabulary)
+        enc = encoder(vocabulary, CUT_REMEMBERED)
         end = np.array([end_id], dtype=enc.dtype).tobytes()
         piece, wide = TaskContext.get().partitionId() << 33, capacity * enc.width
         for batch in batches:
-            for part in in_slices(batch, ENCODED_ROWS):
+            for part in in_slices(batch, ENCODED_ROWS, text_bytes):
                 rows = []
                 ids = enc.encode(part.column("text").to_pylist())
                 for doc_id, x in zip(part.column("doc_id").to_pylist(), ids, strict=True):
@@ -233,6 +237,7 @@ def _places(ranked: DataFrame, plan: Plan) -> DataFrame:
     """piece, length, sequence_id, units, slot, inner for every ranked piece."""
 
     def run(batches):
+        forget()
         for batch in batches:
             found = plan.places(batch.column("kind").to_numpy(), batch.column("rank").to_numpy())
             yield pa.RecordBatch.from_arrays(
@@ -248,6 +253,7 @@ def _widen(pieces: DataFrame) -> DataFrame:
     names = [c for c in pieces.columns if c not in ("width", "ids")]
 
     def run(batches):
+        forget()
         for batch in batches:
             for part in in_slices(batch):
                 ids = [np.frombuffer(x, dtype=f"<u{w}").astype("<u4").tobytes() for x, w in
@@ -262,11 +268,11 @@ def _widen(pieces: DataFrame) -> DataFrame:
 
 
 def pack(docs: DataFrame, vocabulary: str, end_id: int = 2, capacity: int = CAPACITY,
-         step: int = STEP) -> DataFrame:
+         step: int = STEP, text_bytes: int = SLICE_BYTES) -> DataFrame:
     """One row per piece: doc_id, start, length, doc_tokens, sequence_id,
     offset and ids (little-endian unsigned 32-bit). ``capacity`` is a multiple
-    of ``step``, and so is ``BOX``."""
-    pieces = cut(docs, vocabulary, end_id, capacity).df
+    of ``step``, and so is ``BOX``; ``text_bytes`` of text are encoded at a time."""
+    pieces = cut(docs, vocabulary, end_id, capacity, text_bytes).df
     # boxes are as long as several short pieces; smaller capacities need none
     short = SHORT if capacity >= BOX else 0
     narrow = stage(pieces.select("piece", "length", F.expr(

@@ -9,6 +9,7 @@ Pieces repeat, so a worker remembers their ids.
 
 from __future__ import annotations
 
+import ctypes
 import gc
 import os
 import re
@@ -78,7 +79,7 @@ class _Words:
 
     def remembered(self, words: list[str]) -> list[bytes | None]:
         """What is known; what the older generation knows grows young."""
-        if len(self.young) > REMEMBERED:
+        if len(self.young) > self.encoder.remembered:
             self.young, self.old = {}, self.young
         out = list(map(self.young.get, words))
         if self.old:
@@ -136,6 +137,7 @@ class PieceEncoder:
     """Ids as little-endian unsigned integers of ``width`` bytes."""
 
     def __init__(self, vocabulary: str):
+        self.remembered = REMEMBERED
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
 
@@ -282,10 +284,21 @@ class PieceEncoder:
         return out + self._chunk(batch)
 
 
-def encoder(vocabulary: str) -> PieceEncoder:
+def give_back() -> None:
+    """Hand memory that is no longer used to the system: Arrow and the C library
+    keep it, and workers live from step to step."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # of glibc only
+    if trim:
+        trim(0)
+
+
+def encoder(vocabulary: str, remembered: int = REMEMBERED) -> PieceEncoder:
     """The worker's encoder for a vocabulary file."""
     if vocabulary not in _encoders:
+        give_back()  # what steps before left
         _encoders[vocabulary] = PieceEncoder(vocabulary)
+    _encoders[vocabulary].remembered = remembered
     return _encoders[vocabulary]
 
 
@@ -295,6 +308,7 @@ def forget() -> None:
     if _encoders:
         _encoders.clear()
         gc.collect()
+    give_back()
 
 
 def in_slices(batch, rows: int = 1024, size: int = SLICE_BYTES):

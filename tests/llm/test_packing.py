@@ -1,11 +1,13 @@
 """Places of short and long pieces, without Spark and with it."""
 
+import corpus_pipeline
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from tokenizers import Tokenizer
 
-from itemwise.llm import packing
+from itemwise.llm import packing, tokens
 
 RNG = np.random.default_rng(11)
 SIZE = packing.CAPACITY // packing.STEP
@@ -56,3 +58,55 @@ def test_short_documents(spark):
         assert [o for o, _ in sorted(places)] == [0, *ends[:-1]] and ends[-1] <= packing.CAPACITY
     total = sum(map(len, want.values()))
     assert len(by_sequence) <= -(-total // packing.CAPACITY) + 1
+
+
+def test_workers_hold_little(spark, monkeypatch):
+    """Small slices and caches while pieces are cut, no encoder afterwards."""
+    steps, sizes = [], []
+    kind = type(spark.range(0))
+    monkeypatch.setattr(kind, "mapInArrow", lambda self, f, *a, g=kind.mapInArrow, **b:
+                        steps.append(f) or g(self, f, *a, **b))
+    path = public_tokenizers.path("word_bpe_49k.json")
+    docs = spark.createDataFrame([(1, "some words"), (2, None)], "doc_id long, text string")
+    assert corpus_pipeline.pack(spark, docs, "").count() == 2
+    cut, *others = steps
+    assert len(others) == 2  # places, ids as they are returned
+    for step in others:
+        tokens.encoder(path)
+        list(step(iter([])))
+        assert not tokens._encoders
+    encode = tokens.PieceEncoder.encode
+    monkeypatch.setattr(tokens.PieceEncoder, "encode", lambda self, texts:
+                        sizes.append(sum(map(len, texts))) or encode(self, texts))
+    monkeypatch.setattr(packing, "TaskContext", Task)
+    many = ["some words of a text. " * 500] * 1000
+    batch = pa.RecordBatch.from_pydict({"doc_id": list(range(1000)), "text": many})
+    rows = [n for b in cut(iter([batch])) for n in b.column("doc_tokens").to_pylist()]
+    one = len(Tokenizer.from_file(path).encode(many[0], add_special_tokens=False).ids) + 1
+    assert rows and set(rows) == {one} and len(rows) == 1000 * -(-one // packing.CAPACITY)
+    assert sum(sizes) == 1000 * len(many[0]) and max(sizes) <= packing.CLOSE_BYTES
+    assert tokens._encoders[path].remembered < tokens.REMEMBERED
+    tokens.forget()
+
+
+def test_cache_is_bounded():
+    enc = tokens.PieceEncoder(public_tokenizers.path("word_bpe_49k.json"))
+    enc.remembered = 100
+    enc.encode([" ".join(f"w{chr(97 + i % 26)}{chr(97 + i // 26 % 26)}{chr(97 + k)}"
+                         for i in range(90)) for k in range(3)])
+    for k in range(9):
+        enc.encode([" ".join(f"w{chr(97 + i % 26)}{chr(97 + i // 26)}q{chr(97 + k)}"
+                             for i in range(90))])
+        assert len(enc.letters.young) + len(enc.letters.old) <= 2 * (100 + 300)
+
+
+class Task:
+    """Stands for Spark's task context."""
+
+    @staticmethod
+    def get():
+        return Task
+
+    @staticmethod
+    def partitionId():
+        return 0
