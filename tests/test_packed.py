@@ -120,3 +120,24 @@ def test_written_tables_leave_no_shuffle_files(spark):
         time.sleep(0.5)
     assert size() <= start + 1_000_000 and table.count() == 1_000_003
     assert spark.conf.get("spark.sql.classic.shuffleDependency.fileCleanup.enabled") == before
+
+
+@pytest.mark.parametrize("plain", [0, 10**9])
+def test_wide_lists_are_met_by_some_users_at_a_time(spark, monkeypatch, plain):
+    """The same scores in many passes, whose tables hold no more users than fit."""
+    monkeypatch.setattr(operators, "PLAIN_TERMS", plain)
+    hist, sim = _case()
+    hist = {(u, i): p for (u, i), p in hist.items() if u is not None}
+    h = spark.createDataFrame([(*k, p) for k, p in hist.items()], "user_id string, item int, pref int")
+    s = spark.createDataFrame([(*k, x) for k, x in sim.items()], "i int, j int, sim double")
+    _, _, _, own = _expected(hist, sim)
+    for rows, least in ((10**6, 1), (40, 2)):
+        monkeypatch.setattr(operators, "PASS_TERMS", rows)
+        keep = []
+        got = score_candidate_side(h, s, reverse_limit=3, keep=keep).collect()
+        assert len(got) == len(own)
+        assert {(r.user_id, r.item): r.score for r in got} == pytest.approx(own)
+        passes = [t for t in keep if "wide-terms" in t._itemwise_path]
+        assert (len(passes) > 1) == (least > 1)
+        users = [{r.user_id for r in t.select("user_id").distinct().collect()} for t in passes]
+        assert sum(map(len, users)) == len(set().union(*users))
